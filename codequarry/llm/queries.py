@@ -3,11 +3,18 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from codequarry.llm import copies
+from codequarry.functions.names import repository
+from codequarry.llm import capping, copies, syntax
 from codequarry.session import table
 
 
+def setting(spark: SparkSession, d: str, name: str) -> dict[str, float]:
+    """A job setting's items; the table holds a few rows and does not grow."""
+    return {r["item"]: r["amount"] for r in table(spark, d, "job_setting").where(F.col("setting") == name).collect()}
+
+
 def p2_found(spark: SparkSession, d: str) -> DataFrame:
     return copies.copy_groups(table(spark, d, "func"), "ordinal", ["func", "abstract_func_before"])[1].drop("digest")
 
@@ -16,9 +23,41 @@ def p2_groups(spark: SparkSession, d: str) -> DataFrame:
     return copies.copy_groups(table(spark, d, "func"), "ordinal", ["func", "abstract_func_before"])[0]
 
 
+def p3_flags(spark: SparkSession, d: str) -> DataFrame:
+    return syntax.func_flags(table(spark, d, "func"), table(spark, d, "commit_file"))
+
+
+def p3_found(spark: SparkSession, d: str) -> DataFrame:
+    return p3_flags(spark, d).where("problem IS NOT NULL").select("file_ordinal", "func_ordinal")
+
+
+def p3_files(spark: SparkSession, d: str) -> DataFrame:
+    return syntax.file_flags(p3_flags(spark, d))
+
+
+def p3_rates(spark: SparkSession, d: str) -> DataFrame:
+    return syntax.rates(p3_flags(spark, d))
+
+
+def p7_found(spark: SparkSession, d: str) -> DataFrame:
+    share = setting(spark, d, "repo_cap_share")["fix_commit"]
+    kept = capping.cap(table(spark, d, "fix_commit"), repository(F.col("repo_name")), F.col("quality_score"), "ordinal", share=share)
+    return kept.where("NOT keep").select(F.col("ordinal").alias("commit_ordinal"))
+
+
 def queries() -> dict:
-    return {f.__name__: f for f in (p2_found, p2_groups)}
+    return {f.__name__: f for f in (p2_found, p2_groups, p3_found, p3_flags, p3_files, p3_rates, p7_found)}
+
+
+#: Repository of a row, in SQL.
+REPO = r"regexp_replace(lower(regexp_replace(repo_name, '^\s+|\s+$', '', 'g')), '\.git$', '')"
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {
+        "p7_found": f"""
+            WITH r AS (SELECT ordinal, {REPO} AS repo, row_number() OVER (PARTITION BY {REPO}
+                         ORDER BY quality_score IS NULL OR isnan(quality_score), quality_score DESC, ordinal) AS rn FROM fix_commit)
+            SELECT ordinal AS commit_ordinal FROM r WHERE repo IS NOT NULL AND rn > (SELECT ceil(amount::DECIMAL(9, 6) * (SELECT count(*) FROM fix_commit))
+                FROM job_setting WHERE setting = 'repo_cap_share')""",
+    }
