@@ -14,8 +14,8 @@ HOT_SHARE = 0.025
 
 def p1_found(spark: SparkSession, d: str) -> DataFrame:
     prof = skew.key_profile(table(spark, d, "func"), F.col("repo_name"), F.col("commit_hash"), F.col("is_vul"))
-    total = prof.agg(F.sum("n_rows").alias("total"))  # one row
-    hot = prof.join(F.broadcast(total)).where((F.col("n_rows") > F.lit(HOT_SHARE) * F.col("total")) & F.col("key").isNotNull())
+    total = table(spark, d, "func").agg(F.count(F.lit(1))).scalar()  # from the files' footers
+    hot = prof.where((F.col("n_rows") > F.lit(HOT_SHARE) * total) & F.col("key").isNotNull())
     return hot.select(F.col("key").alias("repo_name"))
 
 
