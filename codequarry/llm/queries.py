@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from codequarry.functions.names import repository
-from codequarry.llm import capping, copies, syntax
+from codequarry.llm import capping, copies, nearpairs, syntax
 from codequarry.session import table
 
 
@@ -39,6 +39,10 @@ def p3_rates(spark: SparkSession, d: str) -> DataFrame:
     return syntax.rates(p3_flags(spark, d))
 
 
+def p6_found(spark: SparkSession, d: str) -> DataFrame:
+    return nearpairs.near_pairs(table(spark, d, "func"), "ordinal", ["func", "func_before"], 3, 0.6)
+
+
 def p7_found(spark: SparkSession, d: str) -> DataFrame:
     share = setting(spark, d, "repo_cap_share")["fix_commit"]
     kept = capping.cap(table(spark, d, "fix_commit"), repository(F.col("repo_name")), F.col("quality_score"), "ordinal", share=share)
@@ -46,7 +50,7 @@ def p7_found(spark: SparkSession, d: str) -> DataFrame:
 
 
 def queries() -> dict:
-    return {f.__name__: f for f in (p2_found, p2_groups, p3_found, p3_flags, p3_files, p3_rates, p7_found)}
+    return {f.__name__: f for f in (p2_found, p2_groups, p3_found, p3_flags, p3_files, p3_rates, p6_found, p7_found)}
 
 
 #: Repository of a row, in SQL.
