@@ -3,8 +3,11 @@
 from __future__ import annotations
 
 import atexit
+import shutil
 import tempfile
 import uuid
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -27,7 +30,27 @@ def local_session(cpus: str | int = "*", app: str = "codequarry", **conf) -> Spa
     return b.getOrCreate()
 
 
+def ship(spark: SparkSession) -> None:
+    """Make this package importable in the Python workers of every executor, once a session."""
+    global _shipped
+    sc = spark.sparkContext
+    if _shipped == sc.applicationId:
+        return
+    package = Path(__file__).resolve().parent
+    to = Path(tempfile.mkdtemp(prefix="codequarry-py-"))  # the driver serves this file to the executors
+    atexit.register(shutil.rmtree, to, ignore_errors=True)
+    with zipfile.ZipFile(to / "codequarry.zip", "w", zipfile.ZIP_DEFLATED) as z:
+        for f in package.rglob("*.py"):
+            z.write(f, f"codequarry/{f.relative_to(package)}")
+    sc.addPyFile(str(to / "codequarry.zip"))
+    _shipped = sc.applicationId
+
+
+_shipped = ""
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    ship(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
@@ -37,16 +60,10 @@ def scratch_root(spark: SparkSession) -> str:
     if not root:
         root = "file://" + tempfile.mkdtemp(prefix="codequarry-")
         spark.conf.set("spark.checkpoint.dir", root)
-        atexit.register(_forget, root)
+        atexit.register(shutil.rmtree, root.removeprefix("file://"), ignore_errors=True)
     return root
 
 
-def _forget(root: str) -> None:
-    import shutil
-
-    shutil.rmtree(root.removeprefix("file://"), ignore_errors=True)
-
-
 class Scratch:
     """Writes intermediate tables to the shared folder, which cuts lineage and outlives lost executors.
 
@@ -55,6 +72,7 @@ class Scratch:
     """
 
     def __init__(self, spark: SparkSession):
+        ship(spark)
         self.spark, self.root = spark, f"{scratch_root(spark)}/codequarry-{uuid.uuid4().hex}"
         self.n = 0
         self.paths: dict[int, str] = {}
