@@ -6,8 +6,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from codequarry.functions.names import repository
-from codequarry.llm import capping, copies, nearpairs, syntax
-from codequarry.session import table
+from codequarry.llm import capping, copies, nearpairs, splitting, syntax
+from codequarry.operators.components import components
+from codequarry.session import Scratch, table
 
 
 def setting(spark: SparkSession, d: str, name: str) -> dict[str, float]:
@@ -39,6 +40,32 @@ def p3_rates(spark: SparkSession, d: str) -> DataFrame:
     return syntax.rates(p3_flags(spark, d))
 
 
+def _tied(spark: SparkSession, d: str) -> DataFrame:
+    """fix_commit rows with their CVE, repository and the CVE's severity."""
+    cve = table(spark, d, "cve").select(F.col("ordinal").alias("cve_ordinal"), "cve_id", F.col("cvss_base_severity").alias("severity"))
+    commits = table(spark, d, "fix_commit").select("ordinal", "cve_ordinal", repository(F.col("repo_name")).alias("repository"))
+    return commits.join(cve, "cve_ordinal", "left").drop("cve_ordinal")
+
+
+def p5_found(spark: SparkSession, d: str) -> DataFrame:
+    scratch = Scratch(spark)
+    ties = scratch.save(_tied(spark, d).where("cve_id IS NOT NULL").select("cve_id", "repository").distinct())
+    # CVEs sort before repositories, so a component is named by its smallest CVE
+    cve, repo = F.concat(F.lit("c"), "cve_id"), F.concat(F.lit("r"), "repository")
+    found = components(ties.select(cve.alias("a"), F.coalesce(repo, cve).alias("b")), scratch)
+    found = found.where("node LIKE 'c%' AND node <> component")
+    return found.select(F.substring("component", 2, 1 << 30).alias("cve_id_a"), F.substring("node", 2, 1 << 30).alias("cve_id_b"))
+
+
+def p5_split(spark: SparkSession, d: str) -> DataFrame:
+    out = splitting.split(_tied(spark, d), "ordinal", ["cve_id", "repository"], "severity", dict(sorted(setting(spark, d, "split_share").items())))
+    return out.select(F.col("id").alias("commit_ordinal"), "split")
+
+
+def p5_shares(spark: SparkSession, d: str) -> DataFrame:
+    return p5_split(spark, d).groupBy("split").agg(F.count(F.lit(1)).alias("n_commits"))
+
+
 def p6_found(spark: SparkSession, d: str) -> DataFrame:
     return nearpairs.near_pairs(table(spark, d, "func"), "ordinal", ["func", "func_before"], 3, 0.6)
 
@@ -50,7 +77,7 @@ def p7_found(spark: SparkSession, d: str) -> DataFrame:
 
 
 def queries() -> dict:
-    return {f.__name__: f for f in (p2_found, p2_groups, p3_found, p3_flags, p3_files, p3_rates, p6_found, p7_found)}
+    return {f.__name__: f for f in (p2_found, p2_groups, p3_found, p3_flags, p3_files, p3_rates, p5_found, p5_split, p5_shares, p6_found, p7_found)}
 
 
 #: Repository of a row, in SQL.
@@ -59,6 +86,11 @@ REPO = r"regexp_replace(lower(regexp_replace(repo_name, '^\s+|\s+$', '', 'g')),
 
 def oracle_sql() -> dict[str, str]:
     return {
+        "p5_found": f"""
+            WITH RECURSIVE t AS (SELECT DISTINCT cve_id, {REPO} AS repo FROM fix_commit JOIN cve ON cve.ordinal = cve_ordinal),
+            near AS (SELECT DISTINCT a.cve_id AS x, b.cve_id AS y FROM t a JOIN t b ON a.repo = b.repo),
+            reach AS (SELECT cve_id AS x, cve_id AS y FROM t UNION SELECT reach.x, near.y FROM reach JOIN near ON near.x = reach.y)
+            SELECT min(y) AS cve_id_a, x AS cve_id_b FROM reach GROUP BY x HAVING min(y) <> x""",
         "p7_found": f"""
             WITH r AS (SELECT ordinal, {REPO} AS repo, row_number() OVER (PARTITION BY {REPO}
                          ORDER BY quality_score IS NULL OR isnan(quality_score), quality_score DESC, ordinal) AS rn FROM fix_commit)
