@@ -35,8 +35,8 @@ def _slots(digest: pd.Series, bits: int) -> np.ndarray:
     return (words & np.uint64(bits - 1)).astype(np.int64)
 
 
-def repeat_filter(keys: DataFrame, bits: int) -> np.ndarray:
-    """The merged filter of slots hit at least twice, as bits.
+def slot_filter(keys: DataFrame, bits: int, repeated: bool) -> np.ndarray:
+    """The merged filter of slots hit at all, or hit at least twice, as bits; keys has a column digest of 16 bytes.
 
     Each task fills a filter of slots seen once and one of slots seen again from its own rows and sends only the
     segments it touched; merging a segment makes a slot repeated that is in two tasks' once filters or in any repeated
@@ -60,16 +60,32 @@ def repeat_filter(keys: DataFrame, bits: int) -> np.ndarray:
             o = _unpack(o)
             again |= _unpack(a) | (once & o)
             once |= o
-        return pd.DataFrame({"segment": [pdf["segment"].iloc[0]], "again": [_pack(again)]})
+        return pd.DataFrame({"segment": [pdf["segment"].iloc[0]], "bits": [_pack(again if repeated else once)]})
 
     parts = keys.select("digest").mapInPandas(fill, "segment int, once binary, again binary")
-    merged = parts.groupBy("segment").applyInPandas(merge, "segment int, again binary").collect()  # at most bits / 8 bytes
+    merged = parts.groupBy("segment").applyInPandas(merge, "segment int, bits binary").collect()  # at most bits / 8 bytes
     out = np.zeros(bits, bool)
     for r in merged:
-        out[r["segment"] * SEGMENT : (r["segment"] + 1) * SEGMENT] = _unpack(bytes(r["again"]))
+        out[r["segment"] * SEGMENT : (r["segment"] + 1) * SEGMENT] = _unpack(bytes(r["bits"]))
     return np.packbits(out)
 
 
+def in_filter(flags: np.ndarray, slots: np.ndarray) -> np.ndarray:
+    """Whether all slots of each row are set."""
+    return ((flags[slots >> 3] >> (7 - (slots & 7)).astype(np.uint8)) & 1).all(axis=1)
+
+
+def may_hold(spark, flags: np.ndarray, bits: int):
+    """A column function: whether the filter may hold a 16-byte digest."""
+    shared = spark.sparkContext.broadcast(flags)
+
+    @F.pandas_udf("boolean")
+    def maybe(d: pd.Series) -> pd.Series:
+        return pd.Series(in_filter(shared.value, _slots(d, bits)) if len(d) else [], dtype=bool)
+
+    return maybe
+
+
 def filter_bits(rows: int, most: int = 1 << 27) -> int:
     """Slots of the filters: 16 a row, a power of two, at most 16 MB of bits. A full filter lets more rows be grouped
     exactly, it never changes the result."""
@@ -90,16 +106,7 @@ def copy_groups(df: DataFrame, ordinal: str, fields: list[str], scratch: Scratch
     keys = scratch.save(digests(df, ordinal, fields))
     total = keys.count()
     bits = filter_bits(total)
-    flags = spark.sparkContext.broadcast(repeat_filter(keys, bits))
-
-    @F.pandas_udf("boolean")
-    def maybe(d: pd.Series) -> pd.Series:
-        if not len(d):
-            return pd.Series([], dtype=bool)
-        s = _slots(d, bits)
-        hit = (flags.value[s >> 3] >> (7 - (s & 7)).astype(np.uint8)) & 1
-        return pd.Series(hit.all(axis=1))
-
+    maybe = may_hold(spark, slot_filter(keys, bits, True), bits)
     marked = keys.withColumn("maybe", maybe("digest"))
     alone = marked.where("NOT maybe").select("field", "ordinal", F.lit(1).cast("long").alias("copies"))
     again = scratch.save(marked.where("maybe").select(F.struct("field", "digest").alias("key"), "ordinal"))

@@ -4,7 +4,6 @@ from __future__ import annotations
 
 import hashlib
 import math
-import re
 from collections.abc import Iterator
 from fractions import Fraction
 
@@ -14,10 +13,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from codequarry.llm.canonical import digest
-from codequarry.llm.copies import filter_bits, repeat_filter
+from codequarry.llm.copies import SEGMENT, _pack, _unpack, filter_bits, in_filter, may_hold, slot_filter
 from codequarry.session import Scratch, hot_keys, salted_join
 
-_WORD = re.compile(r"[a-z0-9_]+")
 _M1, _M2 = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
 SKETCH = 256  # bits of the parity sketch
 
@@ -29,40 +27,31 @@ def _mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-class _Words:
+_LOWER = bytes(b + 32 if 65 <= b <= 90 else b if 97 <= b <= 122 or 48 <= b <= 57 or b == 95 else 32 for b in range(256))
+
+
+class _Words(dict):
     """64-bit hashes of words, remembered up to a bound."""
 
-    def __init__(self, most: int = 500_000):
-        self.known: dict[str, int] = {}
-        self.most = most
-
-    def __call__(self, words: list[str]) -> np.ndarray:
-        known = self.known
-        if len(known) > self.most:
-            known.clear()
-        out = np.empty(len(words), np.uint64)
-        for i, w in enumerate(words):
-            h = known.get(w)
-            if h is None:
-                h = int.from_bytes(hashlib.blake2b(w.encode("utf-8", "replace"), digest_size=8).digest(), "little")
-                if len(w) < 64:
-                    known[w] = h
-            out[i] = h
-        return out
+    def __missing__(self, w: bytes) -> int:
+        h = int.from_bytes(hashlib.blake2b(w, digest_size=8).digest(), "little")
+        if len(w) < 64 and len(self) < 500_000:
+            self[w] = h
+        return h
 
 
 def shingle_sets(texts: list[str], k: int, words: _Words) -> list[np.ndarray]:
     """The sorted distinct hashes of each text's runs of k words."""
-    out = []
-    for t in texts:
-        w = words(_WORD.findall(t.lower()))
-        if len(w) < k:
-            out.append(np.empty(0, np.uint64))
-            continue
-        h = np.zeros(len(w) - k + 1, np.uint64)
-        for i in range(k):
-            h = _mix(h + w[i : len(w) - k + 1 + i])
-        out.append(np.unique(h))
+    split = [t.encode("utf-8", "replace").translate(_LOWER).split() for t in texts]
+    sizes = [len(w) for w in split]
+    flat = np.fromiter((words[w] for ws in split for w in ws), np.uint64, sum(sizes))
+    h = np.zeros(max(0, len(flat) - k + 1), np.uint64)
+    for i in range(k):
+        h = _mix(h + flat[i : len(h) + i])
+    out, at = [], 0
+    for n in sizes:
+        out.append(np.unique(h[at : at + n - k + 1]) if n >= k else np.empty(0, np.uint64))
+        at += n
     return out
 
 
@@ -87,16 +76,14 @@ def _list_array(flat: np.ndarray, counts: np.ndarray) -> pa.Array:
     return pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(flat.view(np.int64), pa.int64()))
 
 
-_SETS = "field string, ordinal long, digest binary, rid binary, n int, s0 long, s1 long, s2 long, s3 long, shingles array<long>, paths array<long>"
+_SETS = "field string, ordinal long, digest binary, rid binary, fno int, n int, s0 long, s1 long, s2 long, s3 long, shingles array<long>"
 _SETS_ARROW = pa.schema(
-    [("field", pa.string()), ("ordinal", pa.int64()), ("digest", pa.binary()), ("rid", pa.binary()), ("n", pa.int32())]
-    + [(f"s{i}", pa.int64()) for i in range(4)] + [("shingles", pa.list_(pa.int64())), ("paths", pa.list_(pa.int64()))]
+    [("field", pa.string()), ("ordinal", pa.int64()), ("digest", pa.binary()), ("rid", pa.binary()), ("fno", pa.int32()), ("n", pa.int32())]
+    + [(f"s{i}", pa.int64()) for i in range(4)] + [("shingles", pa.list_(pa.int64()))]
 )
 
 
-def _prepare(k: int, b: float, runs: int, fields: list[str]):
-    seeds = _mix(np.arange(1, runs + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
-
+def _prepare(k: int, fields: list[str]):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words = _Words()
         for batch in batches:
@@ -110,54 +97,146 @@ def _prepare(k: int, b: float, runs: int, fields: list[str]):
                         continue
                     sets = [sets[i] for i in keep]
                     flat, sizes, doc = _flat(sets)
-                    limit = _limits(sizes, b)[doc]
-                    found, owner = [], []
-                    for seed in seeds:
-                        g = _mix(flat ^ seed)
-                        hit = g < limit
-                        found.append(_mix(g[hit] + seed + _mix(np.uint64([f]))[0]))  # fields never meet in a bucket
-                        owner.append(doc[hit])
-                    found, owner = np.concatenate(found), np.concatenate(owner)
-                    order = np.argsort(owner, kind="stable")
                     sk = _sketches(flat, doc, len(sets))
                     rid = [hashlib.blake2b(s.tobytes(), digest_size=16, key=field.encode()[:64]).digest() for s in sets]
                     yield pa.RecordBatch.from_arrays([
                         pa.array([field] * len(sets), pa.string()), pa.array([rows[i][0] for i in keep], pa.int64()),
-                        pa.array([digest(rows[i][1]) for i in keep], pa.binary()), pa.array(rid, pa.binary()), pa.array(sizes.astype(np.int32)),
-                        *[pa.array(np.ascontiguousarray(sk[:, c])) for c in range(4)],
-                        _list_array(flat, sizes), _list_array(found[order], np.bincount(owner, minlength=len(sets))),
+                        pa.array([digest(rows[i][1]) for i in keep], pa.binary()), pa.array(rid, pa.binary()),
+                        pa.array(np.full(len(sets), f, np.int32)), pa.array(sizes.astype(np.int32)),
+                        *[pa.array(np.ascontiguousarray(sk[:, c])) for c in range(4)], _list_array(flat, sizes),
                     ], schema=_SETS_ARROW)
 
     return run
 
 
-_ROW = ["path", "id", "n", "s0", "s1", "s2", "s3"]
-_OUT_ARROW = pa.schema([("path", pa.int64()), ("a", pa.int64()), ("b", pa.int64())])
+COARSE = 1 << 16  # cells of the sketch that finds paths of a great share of all rows
+
+
+class Level:
+    """What is known of the paths of one level: slots of repeated paths, cells of hot paths, slots of heavy paths."""
+
+    def __init__(self, bits: int, repeated: np.ndarray | None, hot: np.ndarray, heavy: np.ndarray | None = None):
+        self.bits, self.repeated, self.hot, self.heavy = bits, repeated, hot, heavy
+
+
+def _slots_of(path: np.ndarray, bits: int) -> np.ndarray:
+    return np.stack([path, _mix(path ^ _M2)], axis=1).astype(np.uint64) & np.uint64(bits - 1)
+
+
+def _cells(path: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    return (path >> np.uint64(48)).astype(np.int64), (_mix(path + _M1) >> np.uint64(48)).astype(np.int64)
+
+
+def _is_hot(hot: np.ndarray, path: np.ndarray) -> np.ndarray:
+    a, b = _cells(path)
+    return hot[0][a] & hot[1][b]
+
+
+def _walk(flat: np.ndarray, sizes: np.ndarray, doc: np.ndarray, fno: np.ndarray, b: float, seeds: np.ndarray, levels: list[Level]) -> tuple[np.ndarray, np.ndarray]:
+    """(path, set) of the level behind the known ones: every path known as heavy or hot goes on with sampled tokens."""
+    limit = _limits(sizes, b)[doc]
+    salt = _mix(fno.astype(np.uint64))[doc]  # fields never meet in a bucket
+    paths, owners = [], []
+    for seed in seeds:
+        g = _mix(flat ^ seed)
+        hit = g < limit
+        paths.append(_mix(g[hit] + seed + salt[hit]))
+        owners.append(doc[hit])
+    path, owner = np.concatenate(paths), np.concatenate(owners)
+    starts = np.concatenate([[0], np.cumsum(sizes)])
+    limits = _limits(sizes, b)
+    for lv in levels:
+        on = _is_hot(lv.hot, path)
+        if lv.heavy is not None:
+            on |= in_filter(lv.heavy, _slots_of(path, lv.bits).astype(np.int64))
+        path, owner = path[on], owner[on]
+        new, own = [np.empty(0, np.uint64)], [np.empty(0, np.int64)]
+        for at in range(0, len(path), 2000):  # so many paths at a time
+            p, o = path[at : at + 2000], owner[at : at + 2000]
+            lengths = sizes[o]
+            rep = np.repeat(np.arange(len(p)), lengths)
+            inner = np.arange(len(rep)) - np.repeat(np.cumsum(lengths) - lengths, lengths)
+            g = _mix(flat[starts[o][rep] + inner] ^ _mix(p)[rep])
+            hit = g < limits[o][rep]
+            new.append(_mix(g[hit] + p[rep[hit]]))
+            own.append(o[rep[hit]])
+        path, owner = np.concatenate(new), np.concatenate(own)
+    return path, owner
+
+
+_PATHS = "path long, rid binary, n int, s0 long, s1 long, s2 long, s3 long"
+
+
+def _emit(b: float, seeds: np.ndarray, levels, this=None, part: str = "near"):
+    """Path rows of the next level. With what is known of this level: near leaves out paths that one set has and hot
+    paths, rest has only heavy and hot paths; without: all. Sets met before in the task are left out."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known: set[bytes] = set()
+        for whole in batches:
+            for at in range(0, whole.num_rows, 1000):
+                batch = whole.slice(at, 1000)
+                rid = batch.column(0).to_pylist()
+                fresh = []
+                for i, r in enumerate(rid):
+                    if r not in known:
+                        known.add(r)
+                        fresh.append(i)
+                if len(known) > 500_000:
+                    known.clear()
+                batch = batch.take(pa.array(fresh, pa.int64()))
+                if not batch.num_rows:
+                    continue
+                lists = batch.column(7)
+                sizes = lists.value_lengths().to_numpy(zero_copy_only=False).astype(np.int64)
+                flat = lists.flatten().to_numpy(zero_copy_only=False).view(np.uint64)
+                doc = np.repeat(np.arange(len(sizes)), sizes)
+                fno = batch.column(1).to_numpy()
+                path, owner = _walk(flat, sizes, doc, fno, b, seeds, levels.value)
+                if this is not None:
+                    lv = this.value
+                    hot = _is_hot(lv.hot, path)
+                    if part == "near":
+                        keep = ~hot if lv.repeated is None else ~hot & in_filter(lv.repeated, _slots_of(path, lv.bits).astype(np.int64))
+                    else:
+                        keep = hot | in_filter(lv.heavy, _slots_of(path, lv.bits).astype(np.int64))
+                    path, owner = path[keep], owner[keep]
+                take = pa.array(owner)
+                yield pa.RecordBatch.from_arrays([pa.array(path.view(np.int64)), batch.column(0).take(take), *[batch.column(i).take(take) for i in range(2, 7)]], names=_ROW)
+
+    return run
+
+
+_ROW = ["path", "rid", "n", "s0", "s1", "s2", "s3"]
+_OUT = "path long, c long, a binary, b binary"
+_OUT_ARROW = pa.schema([("path", pa.int64()), ("c", pa.int64()), ("a", pa.binary()), ("b", pa.binary())])
 
 
 def _compare(limit: int, num: int, den: int):
-    """Rows sorted by path -> (null, a, b) for pairs of one bucket that may be similar, and (path, id, null) for each row
-    of a bucket of more than limit rows. No pair of at least num / den similarity is left out: sets of n and m tokens with
-    that similarity differ in at most (n + m) * (den - num) / (den + num) tokens, and their sketches in no more bits."""
+    """Rows sorted by path and rid -> (null, null, a, b) for pairs of one bucket that may be similar, and (path, rows, null,
+    null) for each bucket of more than limit rows. No pair of at least num / den similarity is left out: sets of n and m
+    tokens with that similarity differ in at most (n + m) * (den - num) / (den + num) tokens, and their sketches in no
+    more bits."""
 
-    def emit(path, a, b, null):
-        a, b = np.asarray(a), np.asarray(b)
-        p = pa.nulls(len(a), pa.int64()) if path is None else pa.array(path)
-        return pa.RecordBatch.from_arrays([p, pa.array(a), pa.nulls(len(a), pa.int64()) if null else pa.array(b)], schema=_OUT_ARROW)
+    def heavy(paths, counts):
+        k = len(paths)
+        return pa.RecordBatch.from_arrays([pa.array(paths, pa.int64()), pa.array(counts, pa.int64()), pa.nulls(k, pa.binary()), pa.nulls(k, pa.binary())], schema=_OUT_ARROW)
 
-    def work(cols: list[np.ndarray]):
-        path, ids, n = cols[0], cols[1], cols[2].astype(np.int64)
+    def work(rows: pa.Table | pa.RecordBatch):
+        path = rows.column(0).to_numpy()
         starts = np.flatnonzero(np.concatenate([[True], path[1:] != path[:-1]]))
         sizes = np.diff(np.concatenate([starts, [len(path)]]))
+        if (sizes > limit).any():
+            yield heavy(path[starts[sizes > limit]], sizes[sizes > limit])
         of_row = np.repeat(sizes, sizes)
-        big = of_row > limit
-        if big.any():
-            yield emit(path[big], ids[big], ids[big], True)
-        small = np.flatnonzero(~big & (of_row > 1))
-        path, ids, n = path[small], ids[small], n[small]
-        sk = np.stack([c[small] for c in cols[3:]], axis=1).view(np.uint64) if len(small) else None
-        here = np.arange(len(small))
-        k = 0
+        small = np.flatnonzero((of_row <= limit) & (of_row > 1))
+        if not len(small):
+            return
+        rows = rows.take(pa.array(small))
+        path, n = path[small], rows.column(2).to_numpy().astype(np.int64)
+        sk = np.stack([rows.column(i).to_numpy() for i in range(3, 7)], axis=1).view(np.uint64)
+        rid = rows.column(1)
+        here, k = np.arange(len(small)), 0
         while len(here):
             k += 1
             here = here[here + k < len(small)]
@@ -170,49 +249,52 @@ def _compare(limit: int, num: int, den: int):
                 i, j = i[ok], j[ok]
                 if len(i):
                     diff = np.bitwise_count(sk[i] ^ sk[j]).sum(axis=1, dtype=np.int64)
-                    ok = (diff * (den + num) <= (n[i] + n[j]) * (den - num)) & (ids[i] != ids[j])
+                    ok = diff * (den + num) <= (n[i] + n[j]) * (den - num)
                     if ok.any():
-                        x, y = ids[i[ok]], ids[j[ok]]
-                        yield emit(None, np.minimum(x, y), np.maximum(x, y), False)
+                        i, j = i[ok], j[ok]
+                        nothing = pa.nulls(len(i), pa.int64())
+                        # rows of a bucket come sorted by rid, so a <= b
+                        yield pa.RecordBatch.from_arrays([nothing, nothing, rid.take(pa.array(i)), rid.take(pa.array(j))], schema=_OUT_ARROW)
+
+    def distinct(rows):
+        path, rid = rows.column(0), rows.column(1)
+        if len(path) < 2:
+            return rows
+        import pyarrow.compute as pc
+
+        same = pc.and_(pc.equal(path.slice(1), path.slice(0, len(path) - 1)), pc.equal(rid.slice(1), rid.slice(0, len(rid) - 1)))
+        return rows.filter(pa.array(np.concatenate([[True], ~same.to_numpy(zero_copy_only=False)])))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[np.ndarray] | None = None
+        held, cut, counted = None, None, 0  # a bucket that goes on and is too large already is only counted
         for b in batches:
-            cols = [b.column(i).to_numpy(zero_copy_only=False) for i in range(len(_ROW))]
+            rows = pa.Table.from_batches([b])
             if held is not None:
-                cols = [np.concatenate(x) for x in zip(held, cols)]
-            if not len(cols[0]):
+                rows = pa.concat_tables([held, rows])
+            rows = distinct(rows.combine_chunks().to_batches()[0] if rows.num_rows else b)
+            held = None
+            if not rows.num_rows:
                 continue
-            last = int(np.searchsorted(cols[0], cols[0][-1]))  # the last bucket may go on
+            path = rows.column(0).to_numpy()
+            if cut is not None:
+                k = int(np.searchsorted(path, cut, side="right"))
+                counted += k
+                if k == len(path):
+                    continue
+                yield heavy([cut], [counted])
+                cut, rows, path = None, rows.slice(k), path[k:]
+            last = int(np.searchsorted(path, path[-1]))
             if last:
-                yield from work([c[:last] for c in cols])
-            held = [c[last:] for c in cols]
-        if held is not None and len(held[0]):
-            yield from work(held)
-
-    return run
-
-
-def _deeper(b: float):
-    """id, n, s0.., shingles, heavy paths -> rows of the next level: each path goes on with tokens sampled by its own hash."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            rows = [batch.column(i) for i in range(batch.num_columns)]
-            out_path, out_row = [], []
-            sizes = rows[1].to_numpy()
-            limits = _limits(sizes, b)
-            for r in range(batch.num_rows):
-                toks = rows[6][r].values.to_numpy().view(np.uint64)
-                for p in rows[7][r].values.to_numpy().view(np.uint64):
-                    g = _mix(toks ^ _mix(np.uint64([p]))[0])
-                    nxt = _mix(g[g < limits[r]] + p)
-                    out_path.append(nxt)
-                    out_row.append(np.full(len(nxt), r))
-            if out_path:
-                take = pa.array(np.concatenate(out_row))
-                kept = [rows[i].take(take) for i in range(6)]
-                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(out_path).view(np.int64)), *kept], names=_ROW)
+                yield from work(rows.slice(0, last))
+            rows = rows.slice(last)
+            if rows.num_rows > limit:
+                cut, counted = int(path[-1]), rows.num_rows
+            else:
+                held = pa.Table.from_batches([rows])
+        if cut is not None:
+            yield heavy([cut], [counted])
+        if held is not None and held.num_rows:
+            yield from work(held.combine_chunks().to_batches()[0])
 
     return run
 
@@ -220,134 +302,161 @@ def _deeper(b: float):
 class NearPairs:
     """The chosen-path join of the texts of some fields of a table.
 
-    Equal shingle sets are one class, named by the id of one of its rows. Level by level, every set samples tokens with a
-    hash that depends on the path so far, once in threshold * |set|, so two sets of that similarity expect to share a
-    sampled token; sets with one path form a bucket. Buckets of at most `bucket` sets are compared by brute force on
-    parity sketches that lose no pair; larger ones are split by another sampled token. After `levels` levels what is
-    still large is compared in blocks, each pair of blocks by itself, so that no bucket is ever cut off. The runs for the
-    target recall follow from a miss of at most exp(-1) a run where no bucket had to be split.
+    Equal shingle sets are one class, named by a 128-bit hash. Level by level, every set samples tokens with a hash that
+    depends on the path so far, once in threshold * |set|, so two sets of that similarity expect to share a sampled token;
+    sets with one path form a bucket. Paths that only one set has are dropped before the shuffle by a filter of repeated
+    hashes. Buckets of at most `bucket` sets are compared by brute force on parity sketches that lose no pair; larger ones
+    are split by another sampled token. Which paths are too large is told to the next level by a filter of fixed size, so
+    the sets themselves are never shuffled; a false hit only costs work. A path of a great share of all rows is not
+    shuffled at all. After `levels` levels what is still large is compared in blocks, each pair of blocks by itself, so that
+    no bucket is ever cut off. The runs for the target recall follow from a miss of at most exp(-1) a run where no bucket
+    had to be split.
     """
 
-    def __init__(self, df: DataFrame, ordinal: str, fields: list[str], k: int = 5, threshold: float = 0.8, recall: float = 0.9999, bucket: int = 400, levels: int = 3):
-        self.scratch = Scratch(df.sparkSession)
+    def __init__(self, df: DataFrame, ordinal: str, fields: list[str], k: int = 5, threshold: float = 0.8, recall: float = 0.9999, bucket: int = 500, levels: int = 3):
+        self.spark = df.sparkSession
+        self.scratch = Scratch(self.spark)
         th = Fraction(str(threshold))
         self.num, self.den, self.bucket, self.b = th.numerator, th.denominator, bucket, float(threshold)
-        runs = math.ceil(1.5 * math.log(1 / (1 - recall)))
+        self.runs = math.ceil(1.5 * math.log(1 / (1 - recall)))
+        self.seeds = _mix(np.arange(1, self.runs + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
         cols = [F.col(ordinal).cast("long").alias("ordinal"), *[F.col(f).cast("string").alias(f"t{i}") for i, f in enumerate(fields)]]
         rows = df.where(F.col(ordinal).isNotNull()).select(*cols)
-        sets = rows.mapInArrow(_prepare(k, self.b, runs, fields), _SETS)
-        self.sets = self.scratch.save(sets.withColumn("uid", F.monotonically_increasing_id()))  # numbers stay once written
-        first = ["n", "s0", "s1", "s2", "s3", "paths"]
-        self.classes = self.scratch.save(
-            self.sets.groupBy("rid").agg(F.min("uid").alias("id"), F.count(F.lit(1)).alias("copies"), *[F.any_value(c).alias(c) for c in first])
-        )
-        self.total = self.classes.count()
-        found = self._join(levels)
-        self.pairs = self.scratch.save(self._verify(found))
-
-    def _rows(self) -> DataFrame:
-        """Level 1: (path, id, n, sketch), without paths that only one class has."""
-        rows = self.classes.select(F.explode("paths").alias("path"), *_ROW[1:])
-        keys = self.classes.select(F.explode("paths").alias("path"))
-        return self._repeated(rows, keys)
-
-    def _repeated(self, rows: DataFrame, keys: DataFrame) -> DataFrame:
-        spark = rows.sparkSession
-        bits = filter_bits(20 * self.total)
-        # as bytes: the path and its scattered double, two slots each
-        as_digest = F.concat(*[F.unhex(F.lpad(F.hex(c), 16, "0")) for c in (F.col("path"), F.xxhash64("path"))])
-        flags = spark.sparkContext.broadcast(repeat_filter(keys.select(as_digest.alias("digest")), bits))
-        mask = bits - 1
-
-        @F.pandas_udf("boolean")
-        def maybe(d):
+        self.sets = self.scratch.save(rows.mapInArrow(_prepare(k, fields), _SETS))
+        self.total = self.sets.count()
+        self.pairs = self._verify(self._join(levels))
+
+    def _paths(self, levels: list[Level], this: Level | None = None, part: str = "near") -> DataFrame:
+        share = self.spark.sparkContext.broadcast
+        use = self.sets.select("rid", "fno", *_ROW[2:], "shingles")
+        return use.mapInArrow(_emit(self.b, self.seeds, share(levels), None if this is None else share(this), part), _PATHS)
+
+    def _survey(self, levels: list[Level], bits: int) -> Level:
+        """One pass over the level's paths: slots hit at least twice, and cells whose count only a hot path can reach."""
+        b, seeds, known = self.b, self.seeds, self.spark.sparkContext.broadcast(levels)
+
+        def fill(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            once, again = np.zeros(bits, bool), np.zeros(bits, bool)
+            counts = np.zeros((2, COARSE), np.int64)
+            for rows in _emit(b, seeds, known)(batches):
+                path = rows.column(0).to_numpy().view(np.uint64)
+                s, n = np.unique(_slots_of(path, bits).astype(np.int64), return_counts=True)
+                again[s] |= once[s] | (n > 1)
+                once[s] = True
+                for i, c in enumerate(_cells(path)):
+                    counts[i] += np.bincount(c, minlength=COARSE)
+            ids = np.unique(np.flatnonzero(once) // SEGMENT)
+            parts = [slice(g * SEGMENT, (g + 1) * SEGMENT) for g in ids]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([*ids, -1], pa.int32()), pa.array([*(_pack(once[p]) for p in parts), b""], pa.binary()),
+                 pa.array([*(_pack(again[p]) for p in parts), counts.astype("<u4").tobytes()], pa.binary())], names=["segment", "once", "again"])
+
+        def merge(pdf):
             import pandas as pd
 
-            if not len(d):
-                return pd.Series([], dtype=bool)
-            s = (np.frombuffer(b"".join(d), "<u8").reshape(-1, 2) & np.uint64(mask)).astype(np.int64)
-            return pd.Series(((flags.value[s >> 3] >> (7 - (s & 7)).astype(np.uint8)) & 1).all(axis=1))
-
-        return rows.where(maybe(as_digest))
+            if pdf["segment"].iloc[0] < 0:
+                total = sum(np.frombuffer(x, "<u4").astype(np.int64) for x in pdf["again"])
+                return pd.DataFrame({"segment": [-1], "bits": [total.tobytes()]})
+            once, again = np.zeros(SEGMENT, bool), np.zeros(SEGMENT, bool)
+            for o, a in zip(pdf["once"], pdf["again"]):
+                o = _unpack(o)
+                again |= _unpack(a) | (once & o)
+                once |= o
+            return pd.DataFrame({"segment": [pdf["segment"].iloc[0]], "bits": [_pack(again)]})
+
+        use = self.sets.select("rid", "fno", *_ROW[2:], "shingles")
+        merged = use.mapInArrow(fill, "segment int, once binary, again binary").groupBy("segment").applyInPandas(merge, "segment int, bits binary").collect()
+        repeated, counts = np.zeros(bits, bool), np.zeros((2, COARSE), np.int64)
+        for r in merged:  # at most bits / 8 bytes and 1 MB of counts
+            if r["segment"] < 0:
+                counts = np.frombuffer(bytes(r["bits"]), np.int64).reshape(2, COARSE)
+            else:
+                repeated[r["segment"] * SEGMENT : (r["segment"] + 1) * SEGMENT] = _unpack(bytes(r["bits"]))
+        return Level(bits, np.packbits(repeated), counts > max(100_000, 0.001 * counts[0].sum()))
 
     def _compared(self, rows: DataFrame, limit: int) -> DataFrame:
-        return rows.select(*_ROW).repartition("path").sortWithinPartitions("path").mapInArrow(_compare(limit, self.num, self.den), "path long, a long, b long")
+        return rows.repartition("path").sortWithinPartitions("path", "rid").mapInArrow(_compare(limit, self.num, self.den), _OUT)
 
-    def _join(self, levels: int) -> DataFrame:
-        save = self.scratch.save
-        rows = save(self._rows())
+    def _join(self, most_levels: int) -> DataFrame:
+        bits = filter_bits(20 * self.total)
+        known: list[Level] = []
         pairs = None
-        for level in range(1, levels + 1):
-            # a path that would fill a task by itself is heavy without being shuffled; there are at most 1000 of them
-            n_rows = rows.count()
-            hot = save(hot_keys(rows.groupBy("path").agg(F.count(F.lit(1)).alias("c")), "path", "c", n_rows))
-            near = rows.join(F.broadcast(hot), "path", "left_anti")
-            out = save(self._compared(near, self.bucket))
-            got = out.where("path IS NULL").select("a", "b")
+        for level in range(1, most_levels + 1):
+            this = self._survey(known, bits)
+            out = self.scratch.save(self._compared(self._paths(known, this), self.bucket))
+            got = out.where("path IS NULL").select("a", "b").distinct()
             pairs = got if pairs is None else pairs.unionByName(got)
-            heavy = out.where("path IS NOT NULL").select("path", F.col("a").alias("id")).unionByName(rows.join(F.broadcast(hot), "path", "left_semi").select("path", "id"))
-            if heavy.isEmpty():
+            heavy = out.where("path IS NOT NULL").select("path")
+            n_heavy = heavy.count()
+            if not n_heavy and not this.hot.any():
                 break
-            if level == levels:
-                pairs = pairs.unionByName(self._blocks(rows, heavy))
-                break
-            by_id = heavy.groupBy("id").agg(F.collect_set("path").alias("heavy"))  # a set has few paths at any level
-            full = self.sets.select(F.col("uid").alias("id"), *_ROW[2:], "shingles").join(by_id, "id")
-            nxt = full.select(*_ROW[1:], "shingles", "heavy").mapInArrow(_deeper(self.b), ", ".join(["path long", "id long", "n int"] + [f"s{i} long" for i in range(4)]))
-            nxt = save(nxt)
-            rows = nxt
-        return pairs.distinct()
-
-    def _blocks(self, rows: DataFrame, heavy: DataFrame) -> DataFrame:
+            this.heavy = _heavy_filter(heavy, bits)
+            if level == most_levels:
+                pairs = pairs.unionByName(self._blocks(self._paths(known, this, "rest")))
+            this.repeated = None  # not needed below
+            known.append(this)
+        return self.scratch.save(pairs.distinct())
+
+    def _blocks(self, rows: DataFrame) -> DataFrame:
         """All pairs of buckets that sampling does not split, block by block."""
-        sizes = heavy.groupBy("path").agg(F.count(F.lit(1)).alias("c"))
-        ways = self.scratch.save(sizes.select("path", F.ceil(F.col("c") / F.lit(self.bucket)).cast("int").alias("ways"), "c"))
+        rows = self.scratch.save(rows.distinct())
+        ways = rows.groupBy("path").agg(F.count(F.lit(1)).alias("c"))
+        ways = self.scratch.save(ways.select("path", F.ceil(F.col("c") / F.lit(self.bucket)).cast("int").alias("ways"), "c"))
         hot = hot_keys(ways, "path", "c", max(1, self.total))
-        both = salted_join(rows.join(heavy.select("path").distinct(), "path", "left_semi"), ways.select("path", "ways"), "path", hot, F.col("id"))
-        block = F.pmod(F.xxhash64("id"), F.col("ways")).cast("int")
-        other = F.explode(F.sequence(F.lit(0), F.col("ways") - 1))
-        both = both.withColumn("x", block).withColumn("y", other)
-        both = both.withColumn("path", F.xxhash64("path", F.least("x", "y"), F.greatest("x", "y")))
+        both = salted_join(rows, ways.select("path", "ways"), "path", hot, F.col("rid"))
+        both = both.withColumn("x", F.pmod(F.xxhash64("rid"), F.col("ways")).cast("int")).withColumn("y", F.explode(F.sequence(F.lit(0), F.col("ways") - 1)))
+        both = both.withColumn("path", F.xxhash64("path", F.least("x", "y"), F.greatest("x", "y"))).select(*_ROW)
         return self._compared(both, 2**31 - 1).select("a", "b")
 
+    def _sets_of(self, rids: DataFrame, cols: list[str]) -> DataFrame:
+        """Rows of self.sets whose rid is among some; others are left out by a filter before the shuffle."""
+        bits = filter_bits(self.total, 1 << 24)
+        maybe = may_hold(self.spark, slot_filter(rids.select(F.col("rid").alias("digest")), bits, False), bits)
+        return self.sets.select("rid", *cols).where(maybe("rid")).join(rids.withColumnRenamed("rid", "_rid"), F.col("rid") == F.col("_rid"), "left_semi")
+
     def _verify(self, pairs: DataFrame) -> DataFrame:
         """(a, b, common, union) of the class pairs that reach the threshold."""
         save = self.scratch.save
-        pairs = save(pairs)
-        need = pairs.select(F.col("a").alias("uid")).unionByName(pairs.select(F.col("b").alias("uid"))).groupBy("uid").agg(F.count(F.lit(1)).alias("c"))
-        need = save(need)
-        hot = hot_keys(need, "uid", "c", max(1, pairs.count()))
-        side = save(self.sets.select("uid", "n", "shingles").join(need.select("uid"), "uid"))
-        at = lambda x: (side.select(F.col("uid").alias(x), F.col("n").alias(f"n_{x}"), F.col("shingles").alias(f"t_{x}")), hot.withColumnRenamed("uid", x))
+        ends = pairs.select(F.col("a").alias("rid")).unionByName(pairs.select(F.col("b").alias("rid")))
+        need = save(ends.groupBy("rid").agg(F.count(F.lit(1)).alias("c")))
+        hot = hot_keys(need, "rid", "c", max(1, pairs.count()))
+        side = save(self._sets_of(need.select("rid"), ["n", "shingles"]).groupBy("rid").agg(F.any_value("n").alias("n"), F.any_value("shingles").alias("shingles")))
+        at = lambda x: (side.select(F.col("rid").alias(x), F.col("n").alias(f"n_{x}"), F.col("shingles").alias(f"t_{x}")), hot.withColumnRenamed("rid", x))
         (sa, ha), (sb, hb) = at("a"), at("b")
         both = salted_join(salted_join(pairs, sa, "a", ha, F.col("b")), sb, "b", hb, F.col("a"))
         both = both.select("a", "b", "n_a", "n_b", F.size(F.array_intersect("t_a", "t_b")).alias("common"))
         both = both.withColumn("union", F.col("n_a") + F.col("n_b") - F.col("common"))
-        return both.where(F.col("common") * self.den >= F.col("union") * self.num).select("a", "b", "common", "union")
-
-    def members(self) -> DataFrame:
-        """(field, ordinal, digest, id): every row with shingles and its class."""
-        hot = hot_keys(self.classes.where("copies > 1"), "rid", "copies", max(1, self.total))
-        return salted_join(self.sets.select("rid", "field", "ordinal", "digest"), self.classes.select("rid", "id"), "rid", hot, F.col("ordinal")).drop("rid")
+        out = save(both.where(F.col("common") * self.den >= F.col("union") * self.num).select("a", "b", "common", "union"))
+        self.scratch.drop(side)
+        return out
 
     def row_pairs(self) -> DataFrame:
         """(field, ordinal_a, ordinal_b): all pairs of rows that reach the threshold and differ in their canonical form."""
         save = self.scratch.save
-        touched = self.pairs.select(F.col("a").alias("id")).unionByName(self.pairs.select(F.col("b").alias("id"))).distinct()
-        mixed_rows = self.sets.groupBy("rid").agg(F.min("digest").alias("lo"), F.max("digest").alias("hi"), F.min("uid").alias("id")).where("lo <> hi").select("id")
-        rows = save(self.members().join(touched.unionByName(mixed_rows).distinct(), "id", "left_semi"))
-        kinds = save(rows.groupBy("id", "digest").agg(F.count(F.lit(1)).alias("c"), F.first("field").alias("field")))
-        a = kinds.select(F.col("id").alias("a"), F.col("digest").alias("da"), "field")
-        b = kinds.select(F.col("id").alias("b"), F.col("digest").alias("db"))
+        mixed = self.sets.groupBy("rid").agg(F.min("digest").alias("lo"), F.max("digest").alias("hi")).where("lo <> hi").select("rid")
+        touched = save(self.pairs.select(F.explode(F.array("a", "b")).alias("rid")).unionByName(mixed).distinct())
+        rows = save(self._sets_of(touched, ["field", "ordinal", "digest"]))
+        kinds = save(rows.select("field", "rid", "digest").distinct())
+        a = kinds.select(F.col("rid").alias("a"), F.col("digest").alias("da"), "field")
+        b = kinds.select(F.col("rid").alias("b"), F.col("digest").alias("db"))
         across = self.pairs.select("a", "b").join(a, "a").join(b, "b").where("da <> db")
         within = a.join(b, (F.col("a") == F.col("b")) & (F.col("da") < F.col("db")))
         links = across.select("field", "a", "da", "b", "db").unionByName(within.select("field", "a", "da", "b", "db"))
-        ra = rows.select(F.col("id").alias("a"), F.col("digest").alias("da"), F.col("ordinal").alias("oa"))
-        rb = rows.select(F.col("id").alias("b"), F.col("digest").alias("db"), F.col("ordinal").alias("ob"))
+        ra = rows.select(F.col("rid").alias("a"), F.col("digest").alias("da"), F.col("ordinal").alias("oa"))
+        rb = rows.select(F.col("rid").alias("b"), F.col("digest").alias("db"), F.col("ordinal").alias("ob"))
         out = links.join(ra, ["a", "da"]).join(rb, ["b", "db"]).where("oa <> ob")
         return out.select("field", F.least("oa", "ob").alias("ordinal_a"), F.greatest("oa", "ob").alias("ordinal_b"))
 
 
+def _heavy_filter(paths: DataFrame, bits: int) -> np.ndarray:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            words = np.ascontiguousarray(_slots_of(b.column(0).to_numpy().view(np.uint64), 1 << 63).astype("<u8"))
+            yield pa.RecordBatch.from_arrays([pa.array([w.tobytes() for w in words], pa.binary())], names=["digest"])
+
+    return slot_filter(paths.mapInArrow(run, "digest binary"), bits, False)
+
+
 def near_pairs(df: DataFrame, ordinal: str, fields: list[str], k: int = 5, threshold: float = 0.8, **kw) -> DataFrame:
     """(field, ordinal_a, ordinal_b): pairs of rows whose texts share at least threshold of all their distinct runs of k
     words, and that are not mere copies in layout. Null texts and texts of fewer than k words have no pairs; an empty
