@@ -6,7 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from codequarry.functions.names import repository
-from codequarry.llm import capping, copies, nearpairs, splitting, syntax
+from codequarry.llm import capping, copies, leaks, nearpairs, packing, repetition, splitting, syntax
+from codequarry.llm.words import token_count
 from codequarry.operators.components import components
 from codequarry.session import Scratch, table
 
@@ -76,16 +77,82 @@ def p7_found(spark: SparkSession, d: str) -> DataFrame:
     return kept.where("NOT keep").select(F.col("ordinal").alias("commit_ordinal"))
 
 
+def p8_pieces(spark: SparkSession, d: str) -> DataFrame:
+    docs = table(spark, d, "documents").select("doc_id", token_count(F.col("text")).alias("n"))
+    return packing.pack(docs, "doc_id", "n", dict(sorted(setting(spark, d, "container_tokens").items())))
+
+
+def p8_found(spark: SparkSession, d: str) -> DataFrame:
+    return p8_pieces(spark, d).where("pieces > 1 AND piece = 0").select(F.col("id").alias("doc_id"), "container")
+
+
+def p8_fill(spark: SparkSession, d: str) -> DataFrame:
+    """How full the containers are."""
+    bins = p8_pieces(spark, d).groupBy("container", "shard", "bin").agg(F.sum("tokens").alias("tokens"), F.count(F.lit(1)).alias("pieces"))
+    return bins.groupBy("container").agg(F.count(F.lit(1)).alias("bins"), F.sum("tokens").alias("tokens"), F.sum("pieces").alias("pieces"))
+
+
+def p9_leaks(spark: SparkSession, d: str) -> DataFrame:
+    return leaks.leaks(table(spark, d, "documents"), "doc_id", "text", table(spark, d, "eval_item"), "item_id", "passage")
+
+
+def p9_found(spark: SparkSession, d: str) -> DataFrame:
+    return p9_leaks(spark, d).select(F.col("doc").alias("doc_id"), "item_id")
+
+
+def p9_clean(spark: SparkSession, d: str) -> DataFrame:
+    return leaks.without_leaks(table(spark, d, "documents"), "doc_id", p9_leaks(spark, d)).select("doc_id")
+
+
+def _measured(spark: SparkSession, d: str) -> DataFrame:
+    docs = table(spark, d, "documents").withColumn("language", F.lower("lang"))
+    return repetition.measures(docs, "doc_id", "text", ["language"])
+
+
+def p10_measures(spark: SparkSession, d: str) -> DataFrame:
+    return _measured(spark, d).withColumnRenamed("doc", "doc_id")
+
+
+def p10_found(spark: SparkSession, d: str) -> DataFrame:
+    return _measured(spark, d).where("repeated_share >= 0.45").select(F.col("doc").alias("doc_id"))
+
+
+def p10_rejected(spark: SparkSession, d: str) -> DataFrame:
+    """Documents outside the fertility band of their language, or repetitive."""
+    measured = Scratch(spark).save(_measured(spark, d))
+    out = repetition.rejected(measured, "language", repetition.bands(measured, "language"))
+    return out.where("odd OR repetitive").select(F.col("doc").alias("doc_id"), "language", "odd", "repetitive")
+
+
 def queries() -> dict:
-    return {f.__name__: f for f in (p2_found, p2_groups, p3_found, p3_flags, p3_files, p3_rates, p5_found, p5_split, p5_shares, p6_found, p7_found)}
+    return {f.__name__: f for f in (p2_found, p2_groups, p3_found, p3_flags, p3_files, p3_rates, p5_found, p5_split, p5_shares, p6_found, p7_found, p8_found, p8_pieces, p8_fill, p9_found, p9_leaks, p9_clean, p10_found, p10_measures, p10_rejected)}
 
 
 #: Repository of a row, in SQL.
 REPO = r"regexp_replace(lower(regexp_replace(repo_name, '^\s+|\s+$', '', 'g')), '\.git$', '')"
 
 
+#: Letter words of a text, in SQL: other characters become blanks before the case is lowered.
+WORDS = "list_filter(string_split(lower(regexp_replace({}, '[^A-Za-z]+', ' ', 'g')), ' '), lambda x: x <> '')"
+TOKENS = r"len(regexp_extract_all(text, '[A-Za-z0-9_]+|[^A-Za-z0-9_\s\x{00a0}\x{0085}\x{2000}-\x{200a}\x{3000}\x{202f}\x{2028}\x{2029}\x{205f}\x{1680}\x1c-\x1f\x0b]+'))"
+
+
 def oracle_sql() -> dict[str, str]:
+    grams = "SELECT {id}, unnest(list_distinct(list_transform(range(1, len(w) - 2), lambda i: array_to_string(w[i:i + 3], ' ')))) AS g FROM (SELECT {id}, " + WORDS + " AS w FROM {t}) WHERE len(w) >= 4"
     return {
+        "p8_found": f"""
+            SELECT doc_id, item AS container FROM (SELECT doc_id, {TOKENS} AS n FROM documents WHERE text IS NOT NULL) d
+            JOIN job_setting s ON s.setting = 'container_tokens' AND d.n > s.amount""",
+        "p9_found": f"""
+            WITH d AS ({grams.format("text", id="doc_id", t="documents")}), e AS ({grams.format("passage", id="item_id", t="eval_item")}),
+            n AS (SELECT item_id, count(*) AS n FROM e GROUP BY 1)
+            SELECT doc_id, item_id FROM d JOIN e USING (g) JOIN n USING (item_id) GROUP BY 1, 2, n HAVING count(*) >= 0.45 * n""",
+        "p10_found": f"""
+            WITH w AS (SELECT doc_id, {WORDS.format("text")} AS w FROM documents),
+            r AS (SELECT doc_id, unnest(range(1, len(w) - 6)) AS i, w FROM w WHERE len(w) >= 8),
+            g AS (SELECT doc_id, i, row_number() OVER (PARTITION BY doc_id, array_to_string(w[i:i + 7], ' ') ORDER BY i) > 1 AS again FROM r),
+            c AS (SELECT DISTINCT doc_id, unnest(range(i, i + 8)) AS p FROM g WHERE again)
+            SELECT doc_id FROM (SELECT doc_id, count(*) AS k FROM c GROUP BY 1) JOIN w USING (doc_id) WHERE k >= 0.45 * len(w)""",
         "p5_found": f"""
             WITH RECURSIVE t AS (SELECT DISTINCT cve_id, {REPO} AS repo FROM fix_commit JOIN cve ON cve.ordinal = cve_ordinal),
             near AS (SELECT DISTINCT a.cve_id AS x, b.cve_id AS y FROM t a JOIN t b ON a.repo = b.repo),
