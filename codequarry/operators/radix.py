@@ -14,11 +14,12 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from codequarry.session import Scratch
 
 
-@F.pandas_udf("long")
+@F.pandas_udf(T.LongType())
 def ascending_double(v: pd.Series) -> pd.Series:
     """Doubles as unsigned 64-bit codes in ascending order; null and NaN become the largest code, -0.0 equals 0.0."""
     x = v.to_numpy(dtype="float64", na_value=np.nan) + 0.0
