@@ -63,17 +63,18 @@ def best_fit(sizes: np.ndarray, capacity: int, most_items: int, attention: float
     return out
 
 
-def pack(sizes: DataFrame, id_: str, size: str, containers: dict[str, float], most_items: int = 256, attention: float = 1.0, shard: int = SHARD) -> DataFrame:
+def pack(sizes: DataFrame, id_: str, size: str, containers: dict[str, float], most_items: int = 256, attention: float = 1.0, shard: int = SHARD, count: int | None = None) -> DataFrame:
     """Pieces of every item in every kind of container: id, container, piece, pieces, first, tokens, shard, bin.
 
     Only an item larger than the container is cut: into full pieces and one rest, first being the piece's first token.
     Each bin keeps at most its capacity of tokens, most_items pieces and attention * capacity**2 of attention cost (a
     piece alone excepted). Rows with a null id or size are left out; an empty item is one piece of no tokens; rows with
     one id are items of their own. (shard, bin) numbers the bins of a container. Shards are cut by a hash of the id, so
-    that no task packs more than about `shard` items; an empty table gives no rows.
+    that no task packs more than about `shard` items; an empty table gives no rows. count is the
+    number of items, where the caller knows it or an upper bound; it only sets the number of shards.
     """
     rows = sizes.where(F.col(id_).isNotNull() & F.col(size).isNotNull()).select(F.col(id_).alias("id"), F.col(size).cast("long").alias("n"))
-    count = rows.count()
+    count = rows.count() if count is None else count
     shards = max(1, math.ceil(count / shard))
     kinds = {k: max(1, int(v)) for k, v in containers.items()}
 

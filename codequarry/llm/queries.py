@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from codequarry.functions.names import repository
 from codequarry.llm import capping, copies, leaks, nearpairs, packing, repetition, splitting, syntax
-from codequarry.llm.words import token_count
+from codequarry.llm.words import with_token_counts
 from codequarry.operators.components import components
 from codequarry.session import Scratch, table
 
@@ -78,8 +78,8 @@ def p7_found(spark: SparkSession, d: str) -> DataFrame:
 
 
 def p8_pieces(spark: SparkSession, d: str) -> DataFrame:
-    docs = table(spark, d, "documents").select("doc_id", token_count(F.col("text")).alias("n"))
-    return packing.pack(docs, "doc_id", "n", dict(sorted(setting(spark, d, "container_tokens").items())))
+    docs = table(spark, d, "documents")
+    return packing.pack(with_token_counts(docs, "doc_id", "text"), "doc_id", "n", dict(sorted(setting(spark, d, "container_tokens").items())), count=docs.count())
 
 
 def p8_found(spark: SparkSession, d: str) -> DataFrame:
