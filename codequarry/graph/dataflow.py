@@ -80,18 +80,25 @@ def _uses(graph: Graph) -> DataFrame:
 
 
 def with_semantics(graph: Graph, uses: DataFrame, semantics: DataFrame | None) -> DataFrame:
-    """uses with used and defined: without a semantic for the call every argument is both; with one, what it says. The table
-    of semantics is small by nature and broadcast."""
+    """uses with used and defined, and pairs (the call's flows between argument numbers, null where any may be): without a
+    semantic for the call every argument is both; with one, what it says. The table of semantics is small by nature and
+    broadcast."""
     if semantics is None:
-        return uses.withColumn("used", F.lit(True)).withColumn("defined", F.lit(True))
+        return uses.withColumn("used", F.lit(True)).withColumn("defined", F.lit(True)).withColumn("pairs", F.lit(None).cast("array<struct<src:int,dst:int>>"))
     calls = graph.nodes.where("label = 'CALL'").select("graph_id", F.col("id").alias("at"), F.coalesce("method_full_name", "name").alias("method"))
     s = F.broadcast(semantics.withColumnRenamed("method", "_m"))
-    hit = calls.join(s, F.when(F.col("regex"), F.col("method").rlike(F.concat(F.lit("^(?:"), F.col("_m"), F.lit(")$")))).otherwise(F.col("method") == F.col("_m")))
-    per = hit.groupBy("graph_id", "at").agg(F.collect_set("src").alias("ins"), F.collect_set("dst").alias("outs"), F.bool_or("passthrough").alias("pass"))
+    hit = calls.join(s, F.when(F.col("regex"), F.rlike("method", F.concat(F.lit("^(?:"), F.col("_m"), F.lit(")$")))).otherwise(F.col("method") == F.col("_m")))
+    per = hit.groupBy("graph_id", "at").agg(F.collect_set("src").alias("ins"), F.collect_set("dst").alias("outs"), F.bool_or("passthrough").alias("pass"), F.collect_set(F.struct("src", "dst")).alias("pairs"))
     j = uses.join(per, ["graph_id", "at"], "left")
     free = F.col("ins").isNull() | (F.col("pass") & (F.col("idx") != RECEIVER))
     known = lambda c: free | F.coalesce(F.array_contains(c, F.coalesce("idx", F.lit(-99))), F.lit(False))
-    return j.withColumn("used", known("ins")).withColumn("defined", known("outs")).drop("ins", "outs", "pass")
+    j = j.withColumn("used", known("ins")).withColumn("defined", known("outs"))
+    return j.withColumn("pairs", F.when(F.coalesce("pass", F.lit(False)), F.lit(None)).otherwise(F.col("pairs"))).drop("ins", "outs", "pass")
+
+
+def _allowed(src, dst):
+    """Whether the call's semantics let argument src flow to dst (-1: to the call's value)."""
+    return F.col("pairs").isNull() | F.exists("pairs", lambda p: (p["src"] == src) & (p["dst"] == dst))
 
 
 def reaching_definitions(graph: Graph, semantics: DataFrame | None = None, most_definitions: int = 4000) -> DataFrame:
@@ -158,8 +165,10 @@ def flow_edges(graph: Graph, semantics: DataFrame | None = None) -> DataFrame:
     uses = with_semantics(graph, _uses(graph), semantics)
     calls = n.where("label = 'CALL'").select("graph_id", F.col("id").alias("at"))
     a = uses.join(calls, ["graph_id", "at"], "left_semi")
-    within = a.where("used").select("graph_id", "at", F.col("arg").alias("src")).join(a.where("defined AND label = 'IDENTIFIER'").select("graph_id", "at", F.col("arg").alias("dst")), ["graph_id", "at"]).where("src <> dst")
-    up = a.where("used").select("graph_id", F.col("arg").alias("src"), F.col("at").alias("dst"))
+    froms = a.where("used").select("graph_id", "at", F.col("arg").alias("src"), F.col("idx").alias("i"), "pairs")
+    tos = a.where("defined AND label = 'IDENTIFIER'").select("graph_id", "at", F.col("arg").alias("dst"), F.col("idx").alias("j"))
+    within = froms.join(tos, ["graph_id", "at"]).where((F.col("src") != F.col("dst")) & _allowed(F.col("i"), F.col("j")))
+    up = froms.where(_allowed(F.col("i"), F.lit(RETURN))).select("graph_id", "src", F.col("at").alias("dst"))
     within = within.select("graph_id", "src", "dst").unionByName(up).select("graph_id", "src", "dst", F.lit(None).cast("long").alias("call"), F.lit("within").alias("kind"))
     link = graph.etype("CALL").select("graph_id", F.col("src").alias("at"), F.col("dst").alias("m"))
     par = graph.etype("AST").select("graph_id", F.col("src").alias("m"), F.col("dst").alias("p")).join(n.where("label = 'METHOD_PARAMETER_IN'").select("graph_id", F.col("id").alias("p"), F.coalesce("index", "order").alias("idx")), ["graph_id", "p"])
