@@ -200,4 +200,4 @@ def leaks(docs: DataFrame, doc_id: str, text: str, items: DataFrame, item_id: st
 
 def without_leaks(docs: DataFrame, doc_id: str, found: DataFrame) -> DataFrame:
     """docs without the documents that leaks() found."""
-    return docs.join(found.select(F.col("doc").alias("_doc")).distinct(), F.col(doc_id) == F.col("_doc"), "left_anti")
+    return docs.join(found.select(F.col("doc").alias("_leaked_doc_")).distinct(), F.col(doc_id) == F.col("_leaked_doc_"), "left_anti")
