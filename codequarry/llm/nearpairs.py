@@ -378,7 +378,8 @@ class NearPairs:
         return rows.repartition("path").sortWithinPartitions("path", "rid").mapInArrow(_compare(limit, self.num, self.den), _OUT)
 
     def _join(self, most_levels: int) -> DataFrame:
-        bits = filter_bits(20 * self.total)
+        # a task holds two filters with a byte for each slot while it fills them, hence the lower bound on their size
+        bits = filter_bits(10 * self.total, 1 << 26)
         known: list[Level] = []
         pairs = None
         for level in range(1, most_levels + 1):
