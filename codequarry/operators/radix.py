@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from codequarry.session import Scratch
+from codequarry.session import Scratch, salted_join
 
 
 @F.pandas_udf(T.LongType())
@@ -64,11 +64,12 @@ def not_beyond(codes: Sequence[str]) -> Column:
     return le
 
 
-def cutoffs(rows: DataFrame, ranks: DataFrame, key: str, codes: Sequence[str], weight: str | None = None, broadcast: bool = False, scratch: Scratch | None = None) -> DataFrame:
+def cutoffs(rows: DataFrame, ranks: DataFrame, key: str, codes: Sequence[str], weight: str | None = None, broadcast: bool = False, hot: DataFrame | None = None, scratch: Scratch | None = None) -> DataFrame:
     """(key, _p0, _p1, ...): the smallest code up to which a key's weights add up to at least its rank.
 
     rows: key, codes and maybe weight. ranks: key and _need >= 1, at most the key's total. Bytes that need not be told
-    apart any more (the running count meets the rank exactly) are set to 255. broadcast says that ranks has a proven bound.
+    apart any more (the running count meets the rank exactly) are set to 255. broadcast says that ranks has a proven bound;
+    else hot (see hot_keys) names the keys whose rows are dealt over several tasks.
     """
     scratch = scratch or Scratch(rows.sparkSession)
     n = F.sum(weight) if weight else F.count(F.lit(1))
@@ -77,8 +78,8 @@ def cutoffs(rows: DataFrame, ranks: DataFrame, key: str, codes: Sequence[str], w
     by_byte = Window.partitionBy(key).orderBy("_b")
     for i in range(8 * len(codes)):
         left = cut.where(~F.col("_done"))
-        side = F.broadcast(left) if broadcast else left
-        hist = rows.join(side, key).where(_agrees(codes, i)).groupBy(key, _byte(codes, i).alias("_b")).agg(n.alias("_n"))
+        met = rows.join(F.broadcast(left) if broadcast else left, key) if broadcast or hot is None else salted_join(rows, left, key, hot, F.xxhash64(*codes))
+        hist = met.where(_agrees(codes, i)).groupBy(key, _byte(codes, i).alias("_b")).agg(n.alias("_n"))
         hist = hist.withColumn("_cum", F.sum("_n").over(by_byte)).join(left.select(key, "_need"), key)
         hit = hist.where((F.col("_cum") >= F.col("_need")) & (F.col("_cum") - F.col("_n") < F.col("_need")))
         hit = hit.select(key, "_b", (F.col("_need") - F.col("_cum") + F.col("_n")).alias("_rest"), (F.col("_cum") == F.col("_need")).alias("_exact"))

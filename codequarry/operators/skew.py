@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from codequarry.operators import radix
-from codequarry.session import Scratch
+from codequarry.session import Scratch, hot_keys, salted_join
 
 
 def value_frequencies(df: DataFrame, key: Column, value: Column, flag: Column | None = None) -> DataFrame:
@@ -51,10 +51,13 @@ def key_percentiles(df: DataFrame, key: Column, value: Column, probs: Sequence[f
     freq = value_frequencies(df, key, value.cast("long"), None).where("key IS NOT NULL AND value IS NOT NULL")
     freq = scratch.save(freq.select("key", "n", radix.ascending_long(F.col("value")).alias("code")))
     prob = F.explode(F.array(*[F.lit(float(p)) for p in probs]))
-    ranks = freq.groupBy("key").agg(F.sum("n").alias("total")).select("key", "total", prob.alias("prob"))
+    sizes = scratch.save(freq.groupBy("key").agg(F.sum("n").alias("total"), F.count(F.lit(1)).alias("values")))
+    ranks = sizes.select("key", "total", prob.alias("prob"))
     ranks = ranks.select(F.struct("key", "prob").alias("kp"), F.greatest(F.lit(1).cast("long"), F.ceil(F.col("total") * F.col("prob"))).alias("_need"))
     rows = freq.select("n", "code", F.explode(F.array(*[F.struct(F.col("key"), F.lit(float(p)).alias("prob")) for p in probs])).alias("kp"))
-    cut = radix.cutoffs(rows, ranks, "kp", ["code"], weight="n", scratch=scratch)
+    per = sizes.select("values", F.explode(F.array(*[F.struct(F.col("key"), F.lit(float(p)).alias("prob")) for p in probs])).alias("kp"))
+    hot = hot_keys(per, "kp", "values", freq.count())
+    cut = radix.cutoffs(rows, ranks, "kp", ["code"], weight="n", hot=hot, scratch=scratch)
     # the cutoff may lie between two values where the count met the rank early: take the largest value not beyond it
-    got = rows.join(cut, "kp").where(radix.not_beyond(["code"])).groupBy("kp").agg(F.max(F.col("code").bitwiseXOR(F.lit(-(2**63)))).alias("value"))
+    got = salted_join(rows, cut, "kp", hot, F.col("code")).where(radix.not_beyond(["code"])).groupBy("kp").agg(F.max(F.col("code").bitwiseXOR(F.lit(-(2**63)))).alias("value"))
     return got.select("kp.key", "kp.prob", "value")

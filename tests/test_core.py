@@ -6,6 +6,7 @@ from collections import Counter, defaultdict
 import pytest
 from pyspark.sql import functions as F
 
+from codequarry import session
 from codequarry.functions import paths, text
 from codequarry.operators import radix, shred, skew, statistics
 from codequarry.operators.components import components
@@ -41,6 +42,18 @@ def test_radix_codes_order(spark):
     assert [codes[i] for i in (0, 1, 2, 4, 5, 6)] == sorted(codes[i] for i in (0, 1, 2, 4, 5, 6))
 
 
+@pytest.mark.parametrize("how", ["inner", "left"])
+def test_salted_join(spark, how):
+    rng = random.Random(8)
+    rows = spark.createDataFrame([(i, rng.choice(["hot", "hot", "warm", f"k{i}", None])) for i in range(400)], "id long, k string")
+    small = rows.where("k IS NOT NULL AND (k IN ('hot', 'warm') OR id % 2 = 0)").select("k").distinct().withColumn("v", F.upper("k"))
+    counts = rows.where("k IS NOT NULL").groupBy("k").count()
+    hot = session.hot_keys(counts, "k", "count", 400, 0.1, 10)
+    assert {r["k"]: r["_ways"] for r in hot.collect()}.keys() == {"hot", "warm"}
+    want = sorted(map(str, rows.join(small, "k", how).select("id", "k", "v").collect()))
+    assert sorted(map(str, session.salted_join(rows, small, "k", hot, F.col("id"), how).select("id", "k", "v").collect())) == want
+
+
 def test_shred_edges(spark):
     deep = '{"a":' * 3000 + "1" + "}" * 3000
     payloads = [
