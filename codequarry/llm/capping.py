@@ -9,7 +9,7 @@ from codequarry.operators import radix
 from codequarry.session import BROADCAST_ROWS, Scratch, hot_keys, salted_join
 
 
-def cap(df: DataFrame, contributor: Column, score: Column, ordinal: str, share: float | None = None, count: int | None = None) -> DataFrame:
+def cap(df: DataFrame, contributor: Column, score: Column, ordinal: str, share: float | None = None, count: int | None = None, most_broadcast: int = BROADCAST_ROWS) -> DataFrame:
     """ordinal, _contributor and keep (boolean) for every row of df.
 
     Each contributor keeps its best `count` rows, or ceil(share * all rows of df): highest score first, null and NaN
@@ -35,10 +35,11 @@ def cap(df: DataFrame, contributor: Column, score: Column, ordinal: str, share:
     if not n_over or count < 1:
         keep = F.col("_contributor").isNull() | F.lit(count >= 1)
         return rows.select(ordinal, "_contributor", keep.alias("keep"))
-    small = n_over <= BROADCAST_ROWS  # a share bounds it by 1 / share; a count may not
-    cut = radix.cutoffs(rows, over.select("_contributor", F.lit(count).cast("long").alias("_need")), "_contributor", ["_c0", "_c1"], broadcast=small, scratch=scratch)
+    small = n_over <= most_broadcast  # a share bounds it by 1 / share; a count may not
+    hot = None if small else hot_keys(over, "_contributor", "_n", total)
+    cut = radix.cutoffs(rows, over.select("_contributor", F.lit(count).cast("long").alias("_need")), "_contributor", ["_c0", "_c1"], broadcast=small, hot=hot, scratch=scratch)
     if small:
         both = rows.join(F.broadcast(cut), "_contributor", "left")
     else:
-        both = salted_join(rows, cut, "_contributor", hot_keys(over, "_contributor", "_n", total), F.col(ordinal), "left")
+        both = salted_join(rows, cut, "_contributor", hot, F.col(ordinal), "left")
     return both.select(ordinal, "_contributor", (F.col("_p0").isNull() | radix.not_beyond(["_c0", "_c1"])).alias("keep"))

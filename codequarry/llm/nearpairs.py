@@ -299,6 +299,28 @@ def _compare(limit: int, num: int, den: int):
     return run
 
 
+def _first_seen(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows whose first column was not met before in the task, as far back as the task remembers."""
+    known: set[bytes] = set()
+    for b in batches:
+        fresh = []
+        for i, r in enumerate(b.column(0).to_pylist()):
+            if r not in known:
+                known.add(r)
+                fresh.append(i)
+        if len(known) > 500_000:
+            known.clear()
+        yield b.take(pa.array(fresh, pa.int64()))
+
+
+def _links_to_rows(links: DataFrame, rows: DataFrame, key: str, hot: DataFrame, spread) -> DataFrame:
+    """links joined with the rows of a key. A key with very many rows is dealt over several tasks, its links repeated."""
+    h = F.broadcast(hot)
+    left = rows.join(h, key, "left").withColumn("_salt", F.pmod(F.xxhash64(spread), F.coalesce("_ways", F.lit(1))).cast("int")).drop("_ways")
+    right = links.join(h, key, "left").withColumn("_salt", F.explode(F.sequence(F.lit(0), F.coalesce("_ways", F.lit(1)) - 1))).drop("_ways")
+    return left.join(right, [key, "_salt"]).drop("_salt")
+
+
 class NearPairs:
     """The chosen-path join of the texts of some fields of a table.
 
@@ -378,7 +400,7 @@ class NearPairs:
         return rows.repartition("path").sortWithinPartitions("path", "rid").mapInArrow(_compare(limit, self.num, self.den), _OUT)
 
     def _join(self, most_levels: int) -> DataFrame:
-        # a task holds two filters with a byte for each slot while it fills them, hence the lower bound on their size
+        # a task that fills filters holds a byte for each slot, twice
         bits = filter_bits(10 * self.total, 1 << 26)
         known: list[Level] = []
         pairs = None
@@ -409,11 +431,16 @@ class NearPairs:
         both = both.withColumn("path", F.xxhash64("path", F.least("x", "y"), F.greatest("x", "y"))).select(*_ROW)
         return self._compared(both, 2**31 - 1).select("a", "b")
 
-    def _sets_of(self, rids: DataFrame, cols: list[str]) -> DataFrame:
-        """Rows of self.sets whose rid is among some; others are left out by a filter before the shuffle."""
+    def _among(self, rids: DataFrame, cols: list[str]) -> DataFrame:
+        """Rows of self.sets whose rid may be among some: most others are left out by a filter before any shuffle."""
         bits = filter_bits(self.total, 1 << 24)
         maybe = may_hold(self.spark, slot_filter(rids.select(F.col("rid").alias("digest")), bits, False), bits)
-        return self.sets.select("rid", *cols).where(maybe("rid")).join(rids.withColumnRenamed("rid", "_rid"), F.col("rid") == F.col("_rid"), "left_semi")
+        return self.sets.select("rid", *cols).where(maybe("rid"))
+
+    def _one_each(self, rids: DataFrame) -> DataFrame:
+        """(rid, n, shingles) once for each rid: repeats go within the tasks first, so a class of any size is no burden."""
+        rows = self._among(rids, ["n", "shingles"]).mapInArrow(_first_seen, "rid binary, n int, shingles array<long>")
+        return rows.groupBy("rid").agg(F.any_value("n").alias("n"), F.any_value("shingles").alias("shingles")).join(rids.select("rid"), "rid", "left_semi")
 
     def _verify(self, pairs: DataFrame) -> DataFrame:
         """(a, b, common, union) of the class pairs that reach the threshold."""
@@ -421,7 +448,7 @@ class NearPairs:
         ends = pairs.select(F.col("a").alias("rid")).unionByName(pairs.select(F.col("b").alias("rid")))
         need = save(ends.groupBy("rid").agg(F.count(F.lit(1)).alias("c")))
         hot = hot_keys(need, "rid", "c", max(1, pairs.count()))
-        side = save(self._sets_of(need.select("rid"), ["n", "shingles"]).groupBy("rid").agg(F.any_value("n").alias("n"), F.any_value("shingles").alias("shingles")))
+        side = save(self._one_each(need))
         at = lambda x: (side.select(F.col("rid").alias(x), F.col("n").alias(f"n_{x}"), F.col("shingles").alias(f"t_{x}")), hot.withColumnRenamed("rid", x))
         (sa, ha), (sb, hb) = at("a"), at("b")
         both = salted_join(salted_join(pairs, sa, "a", ha, F.col("b")), sb, "b", hb, F.col("a"))
@@ -434,18 +461,23 @@ class NearPairs:
     def row_pairs(self) -> DataFrame:
         """(field, ordinal_a, ordinal_b): all pairs of rows that reach the threshold and differ in their canonical form."""
         save = self.scratch.save
-        mixed = self.sets.groupBy("rid").agg(F.min("digest").alias("lo"), F.max("digest").alias("hi")).where("lo <> hi").select("rid")
-        touched = save(self.pairs.select(F.explode(F.array("a", "b")).alias("rid")).unionByName(mixed).distinct())
-        rows = save(self._sets_of(touched, ["field", "ordinal", "digest"]))
-        kinds = save(rows.select("field", "rid", "digest").distinct())
+        per = save(self.sets.groupBy("rid").agg(F.min("digest").alias("lo"), F.max("digest").alias("hi"), F.count(F.lit(1)).alias("c")))
+        hot = hot_keys(per, "rid", "c", max(1, self.total))
+        ends = self.pairs.select(F.explode(F.array("a", "b")).alias("rid"))
+        touched = save(ends.unionByName(per.where("lo <> hi").select("rid")).distinct())
+        rows = save(salted_join(self._among(touched, ["field", "ordinal", "digest"]), touched, "rid", hot, F.col("ordinal")))
+        kinds = save(rows.groupBy("field", "rid", "digest").agg(F.count(F.lit(1)).alias("c")))
         a = kinds.select(F.col("rid").alias("a"), F.col("digest").alias("da"), "field")
         b = kinds.select(F.col("rid").alias("b"), F.col("digest").alias("db"))
         across = self.pairs.select("a", "b").join(a, "a").join(b, "b").where("da <> db")
         within = a.join(b, (F.col("a") == F.col("b")) & (F.col("da") < F.col("db")))
-        links = across.select("field", "a", "da", "b", "db").unionByName(within.select("field", "a", "da", "b", "db"))
-        ra = rows.select(F.col("rid").alias("a"), F.col("digest").alias("da"), F.col("ordinal").alias("oa"))
-        rb = rows.select(F.col("rid").alias("b"), F.col("digest").alias("db"), F.col("ordinal").alias("ob"))
-        out = links.join(ra, ["a", "da"]).join(rb, ["b", "db"]).where("oa <> ob")
+        cols = ["field", F.struct(F.col("a").alias("rid"), F.col("da").alias("digest")).alias("ka"), F.struct(F.col("b").alias("rid"), F.col("db").alias("digest")).alias("kb")]
+        links = save(across.select(*cols).unionByName(within.select(*cols)))
+        # each link meets the rows of both its sides; what one side brings is dealt out before it meets the other
+        many = lambda k: hot_keys(kinds.select(F.struct("rid", "digest").alias(k), "c"), k, "c", max(1, self.total))
+        side = lambda k, o: rows.select(F.struct("rid", "digest").alias(k), F.col("ordinal").alias(o))
+        first = _links_to_rows(links, side("ka", "oa"), "ka", many("ka"), F.col("oa"))
+        out = _links_to_rows(first, side("kb", "ob"), "kb", many("kb"), F.col("ob")).where("oa <> ob")
         return out.select("field", F.least("oa", "ob").alias("ordinal_a"), F.greatest("oa", "ob").alias("ordinal_b"))
 
 

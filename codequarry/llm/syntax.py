@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from codequarry.functions.names import extension, repository
+from codequarry.session import hot_keys, salted_join
 
 
 def syntax_flags(df: DataFrame, keys: list[str], text: str, lang: str) -> DataFrame:
@@ -52,7 +53,12 @@ def func_flags(func: DataFrame, commit_file: DataFrame) -> DataFrame:
     files = commit_file.where("ordinal IS NOT NULL").select(F.col("ordinal").alias("file_ordinal"), lang.alias("_lang")).dropDuplicates(["file_ordinal"])
     rows = func.where("func_before IS NOT NULL").select(
         "file_ordinal", F.col("ordinal").alias("func_ordinal"), repository(F.col("repo_name")).alias("repository"), "func_before"
-    ).join(files, "file_ordinal", "left")
+    )
+    # a file with a great share of all functions is parsed by several tasks
+    counts = rows.groupBy("file_ordinal").agg(F.count(F.lit(1)).alias("_c"))
+    hot = hot_keys(counts, "file_ordinal", "_c", func.count())
+    rows = salted_join(rows, files, "file_ordinal", hot, F.col("func_ordinal"), "left")
+    rows = rows.select("file_ordinal", "func_ordinal", "repository", "func_before", "_lang")
     return syntax_flags(rows, ["file_ordinal", "func_ordinal", "repository"], "func_before", "_lang")
 
 

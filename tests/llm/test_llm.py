@@ -232,6 +232,13 @@ def test_cap_brute(spark, count):
     assert capping.cap(df.limit(0), F.col("who"), F.col("q"), "ordinal", share=0.1).count() == 0
 
 
+def test_cap_without_broadcast(spark):
+    df = spark.range(1, 301).select(F.col("id").alias("ordinal"), F.when(F.col("id") % 3 == 0, "b").otherwise("a").alias("who"), (F.col("id") % 7).cast("double").alias("q"))
+    a = capping.cap(df, F.col("who"), F.col("q"), "ordinal", count=5).where("keep").select("ordinal").collect()
+    b = capping.cap(df, F.col("who"), F.col("q"), "ordinal", count=5, most_broadcast=0).where("keep").select("ordinal").collect()
+    assert sorted(a) == sorted(b) and len(a) == 10
+
+
 def test_cap_share_is_exact(spark):
     df = spark.range(1, 201).select(F.col("id").alias("ordinal"), F.lit("a").alias("who"), F.lit(1.0).alias("q"))
     assert capping.cap(df, F.col("who"), F.col("q"), "ordinal", share=0.07).where("keep").count() == 14
