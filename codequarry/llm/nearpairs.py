@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from codequarry.llm.canonical import digest
 from codequarry.llm.copies import SEGMENT, _pack, _unpack, filter_bits, in_filter, may_hold, slot_filter
+from codequarry.operators.components import components
 from codequarry.session import Scratch, hot_keys, salted_join
 
 _M1, _M2 = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
@@ -481,6 +482,19 @@ class NearPairs:
         return out.select("field", F.least("oa", "ob").alias("ordinal_a"), F.greatest("oa", "ob").alias("ordinal_b"))
 
 
+def near_groups(df: DataFrame, ordinal: str, fields: list[str], k: int = 5, threshold: float = 0.8, **kw) -> DataFrame:
+    """(field, ordinal, group_id, n_links): one row for each text of at least k words: its group, the texts that similar
+    pairs tie together directly or through others, and the number of other different texts that it is similar to. Equal
+    texts are one to the links and share their group, so copies are not expanded into pairs."""
+    n = NearPairs(df, ordinal, fields, k, threshold, **kw)
+    links = n.scratch.save(n.pairs.select("a", "b").unionByName(n.pairs.select(F.col("b").alias("a"), F.col("a").alias("b"))).groupBy("a").agg(F.count(F.lit(1)).alias("n_links")))
+    group = components(n.pairs.select("a", "b"), n.scratch)
+    known = n.scratch.save(links.join(group, F.col("a") == F.col("node")).select(F.col("a").alias("rid"), "component", "n_links"))
+    counts = n.sets.groupBy("rid").agg(F.count(F.lit(1)).alias("c"))
+    rows = salted_join(n.sets.select("field", "ordinal", "rid"), known, "rid", hot_keys(counts, "rid", "c", max(1, n.total)), F.col("ordinal"), "left")
+    return rows.select("field", "ordinal", F.lower(F.hex(F.coalesce("component", "rid"))).alias("group_id"), F.coalesce("n_links", F.lit(0)).alias("n_links"))
+
+
 def _heavy_filter(paths: DataFrame, bits: int) -> np.ndarray:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:

@@ -71,6 +71,11 @@ def p6_found(spark: SparkSession, d: str) -> DataFrame:
     return nearpairs.near_pairs(table(spark, d, "func"), "ordinal", ["func", "func_before"], 3, 0.6)
 
 
+def p6_groups(spark: SparkSession, d: str) -> DataFrame:
+    """Groups at the usual five words and 0.8."""
+    return nearpairs.near_groups(table(spark, d, "func"), "ordinal", ["func", "func_before"])
+
+
 def p7_found(spark: SparkSession, d: str) -> DataFrame:
     share = setting(spark, d, "repo_cap_share")["fix_commit"]
     kept = capping.cap(table(spark, d, "fix_commit"), repository(F.col("repo_name")), F.col("quality_score"), "ordinal", share=share)
@@ -125,7 +130,7 @@ def p10_rejected(spark: SparkSession, d: str) -> DataFrame:
 
 
 def queries() -> dict:
-    return {f.__name__: f for f in (p2_found, p2_groups, p3_found, p3_flags, p3_files, p3_rates, p5_found, p5_split, p5_shares, p6_found, p7_found, p8_found, p8_pieces, p8_fill, p9_found, p9_leaks, p9_clean, p10_found, p10_measures, p10_rejected)}
+    return {f.__name__: f for f in (p2_found, p2_groups, p3_found, p3_flags, p3_files, p3_rates, p5_found, p5_split, p5_shares, p6_found, p6_groups, p7_found, p8_found, p8_pieces, p8_fill, p9_found, p9_leaks, p9_clean, p10_found, p10_measures, p10_rejected)}
 
 
 #: Repository of a row, in SQL.

@@ -205,6 +205,14 @@ def test_near_pairs_brute(spark, bucket, levels):
         assert nearpairs.near_pairs(df.limit(0), "ordinal", ["body"], 3, 0.6).count() == 0
 
 
+def test_near_groups(spark):
+    base = " ".join(f"w{i}" for i in range(60))
+    texts = [base, base.upper(), base.replace("w30", "x"), base.replace("w30", "x").replace("w10", "y"), " ".join(f"q{i}" for i in range(30)), "too few", None]
+    out = {r["ordinal"]: (r["group_id"], r["n_links"]) for r in nearpairs.near_groups(spark.createDataFrame(list(enumerate(texts)), "ordinal long, t string"), "ordinal", ["t"]).collect()}
+    assert set(out) == {0, 1, 2, 3, 4} and out[0] == out[1] and len({out[i][0] for i in range(4)}) == 1 and out[4][0] != out[0][0]
+    assert [out[i][1] for i in (0, 2, 3, 4)] == [1, 2, 1, 0]  # 50 of 66 runs are too few between the ends
+
+
 def test_sketch_never_loses():
     rng = np.random.default_rng(3)
     for _ in range(50):
