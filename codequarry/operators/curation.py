@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from codequarry.functions import paths, text
-from codequarry.session import table
+from codequarry.session import Scratch, table
 
 
 @dataclass(frozen=True)
@@ -220,12 +220,15 @@ CHAIN: list[Callable[[Dataset], Dataset]] = [
 
 
 def run(ds: Dataset, chain: Iterable[Callable[[Dataset], Dataset]] = CHAIN, save: Callable[[DataFrame], DataFrame] | None = None) -> Dataset:
-    """The filters in order. save, such as Scratch.save, writes the ordinals that are left behind each filter, so that a
-    long chain is not planned and run as one query."""
+    """The filters in order. Behind each filter the ordinals that are left are written (by save, to a scratch table where none
+    is given) and met with the tables as they came: each filter reads its input several times, and a chain planned as one
+    query would grow with the power of its length. Only CVEs, whose fields a filter may change, are written as they are."""
+    save = save or Scratch(ds.func.sparkSession).save
+    whole = ds
+    left = lambda table, kept: semi(table, save(kept.select("ordinal")), "ordinal", "ordinal")
     for f in chain:
-        ds = f(ds)
-        if save is not None:
-            ds = ds.with_(cve=save(ds.cve), commit=save(ds.commit), file=save(ds.file), func=save(ds.func))
+        out = f(ds)
+        ds = Dataset(save(out.cve), left(whole.commit, out.commit), left(whole.file, out.file), left(whole.func, out.func))
     return ds
 
 

@@ -74,8 +74,8 @@ def changed_line_counts(spark, d):
     return curation.changed_lines(table(spark, d, "func").where("is_vul")).select("ordinal", F.col("_changed").cast("int").alias("changed"))
 
 
-def diff_agrees(spark, d):
-    """Where the diff of the texts before and after is what the table says."""
+def diff_counts(spark, d):
+    """Lines that the diff of the texts before and after deletes and adds."""
     f = table(spark, d, "func").where("is_vul AND func_before IS NOT NULL")
     x = f.withColumn("d", text.diff(F.col("func_before"), F.col("func")))
     return x.select("ordinal", (F.size("d.deleted_lines")).alias("n_deleted"), F.size("d.added_lines").alias("n_added"))
@@ -206,7 +206,7 @@ FILTERS = {
 
 QUERIES = [
     flat_rows, simple_rows, chain_counts, multi_cve_cwes, repo_types, accepted_files, within_cve_dedup, function_matches, changed_line_counts,
-    diff_agrees, repo_metrics, top_repos, top_cwes, year_repo_matrix, year_cwe_matrix, severity_pivot, repo_cwe_stack, cwe_top_repos,
+    diff_counts, repo_metrics, top_repos, top_cwes, year_repo_matrix, year_cwe_matrix, severity_pivot, repo_cwe_stack, cwe_top_repos,
     monthly_counts, line_quantiles, line_sigma, line_sigma3, line_describe, lines_per_file, memory_share, dataset_totals, graph_success,
     both_sides_graphs, hosts, single_repo_years, repo_treemap, merged_names, comment_free, file_names,
 ]
