@@ -249,12 +249,12 @@ def _(g):
     return dataflow.reaching_definitions(_with_contains(g)).select("graph_id", "src", "dst", "variable")
 
 
-sql("reaching_definitions", "SELECT DISTINCT r.graph_id, r.node AS src, u.node AS dst, r.var AS variable FROM reach r JOIN uses u ON u.graph_id = r.graph_id AND u.at = r.x AND u.var = r.var AND u.node <> r.node",
+sql("reaching_definitions", "SELECT DISTINCT r.graph_id, r.node AS src, u.node AS dst, r.var AS variable FROM reach r JOIN uses u ON u.graph_id = r.graph_id AND u.loc = r.x AND u.var = r.var AND u.node <> r.node",
     """f AS (SELECT graph_id, src, dst FROM e WHERE etype = 'CFG'),
-    uses AS (SELECT e.graph_id, e.src AS at, e.dst AS node, a.label, CASE WHEN a.label = 'IDENTIFIER' THEN coalesce(a.name, a.code) ELSE a.code END AS var FROM e JOIN n a ON a.graph_id = e.graph_id AND a.id = e.dst WHERE etype = 'ARGUMENT' AND a.label <> 'FIELD_IDENTIFIER'),
-    defs AS (SELECT uses.* FROM uses JOIN n k ON k.graph_id = uses.graph_id AND k.id = at AND k.label = 'CALL' WHERE uses.label = 'IDENTIFIER' AND var IS NOT NULL),
-    reach AS (SELECT d.graph_id, d.node, d.var, f.dst AS x FROM defs d JOIN f ON f.graph_id = d.graph_id AND f.src = d.at
-        UNION SELECT r.graph_id, r.node, r.var, f.dst FROM reach r JOIN f ON f.graph_id = r.graph_id AND f.src = r.x WHERE NOT EXISTS (SELECT 1 FROM defs k WHERE k.graph_id = r.graph_id AND k.at = r.x AND k.var = r.var))""")
+    uses AS (SELECT e.graph_id, e.src AS loc, e.dst AS node, a.label, CASE WHEN a.label = 'IDENTIFIER' THEN coalesce(a.name, a.code) ELSE a.code END AS var FROM e JOIN n a ON a.graph_id = e.graph_id AND a.id = e.dst WHERE etype = 'ARGUMENT' AND a.label <> 'FIELD_IDENTIFIER'),
+    defs AS (SELECT uses.* FROM uses JOIN n k ON k.graph_id = uses.graph_id AND k.id = uses.loc AND k.label = 'CALL' WHERE uses.label = 'IDENTIFIER' AND var IS NOT NULL),
+    reach AS (SELECT d.graph_id, d.node, d.var, f.dst AS x FROM defs d JOIN f ON f.graph_id = d.graph_id AND f.src = d.loc
+        UNION SELECT r.graph_id, r.node, r.var, f.dst FROM reach r JOIN f ON f.graph_id = r.graph_id AND f.src = r.x WHERE NOT EXISTS (SELECT 1 FROM defs k WHERE k.graph_id = r.graph_id AND k.loc = r.x AND k.var = r.var))""")
 
 
 @q("ddg_closure")
