@@ -56,7 +56,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def scratch_root(spark: SparkSession) -> str:
     """The cluster's spark.checkpoint.dir; only where it is unset, a folder of this process."""
-    root = spark.conf.get("spark.checkpoint.dir", None)
+    root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if not root:
         root = "file://" + tempfile.mkdtemp(prefix="codequarry-")
         spark.conf.set("spark.checkpoint.dir", root)
