@@ -404,10 +404,11 @@ class NearPairs:
         # a task that fills filters holds a byte for each slot, twice
         bits = filter_bits(10 * self.total, 1 << 26)
         known: list[Level] = []
-        pairs = None
+        pairs, written = None, []
         for level in range(1, most_levels + 1):
             this = self._survey(known, bits)
             out = self.scratch.save(self._compared(self._paths(known, this), self.bucket))
+            written.append(out)
             got = out.where("path IS NULL").select("a", "b").distinct()
             pairs = got if pairs is None else pairs.unionByName(got)
             heavy = out.where("path IS NOT NULL").select("path")
@@ -419,7 +420,9 @@ class NearPairs:
                 pairs = pairs.unionByName(self._blocks(self._paths(known, this, "rest")))
             this.repeated = None  # not needed below
             known.append(this)
-        return self.scratch.save(pairs.distinct())
+        found = self.scratch.save(pairs.distinct())
+        self.scratch.drop(*written)
+        return found
 
     def _blocks(self, rows: DataFrame) -> DataFrame:
         """All pairs of buckets that sampling does not split, block by block."""
@@ -456,7 +459,7 @@ class NearPairs:
         both = both.select("a", "b", "n_a", "n_b", F.size(F.array_intersect("t_a", "t_b")).alias("common"))
         both = both.withColumn("union", F.col("n_a") + F.col("n_b") - F.col("common"))
         out = save(both.where(F.col("common") * self.den >= F.col("union") * self.num).select("a", "b", "common", "union"))
-        self.scratch.drop(side)
+        self.scratch.drop(side, need, pairs)
         return out
 
     def row_pairs(self) -> DataFrame:
