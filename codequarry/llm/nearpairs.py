@@ -330,13 +330,14 @@ class NearPairs:
     sets with one path form a bucket. Paths that only one set has are dropped before the shuffle by a filter of repeated
     hashes. Buckets of at most `bucket` sets are compared by brute force on parity sketches that lose no pair; larger ones
     are split by another sampled token. Which paths are too large is told to the next level by a filter of fixed size, so
-    the sets themselves are never shuffled; a false hit only costs work. A path of a great share of all rows is not
-    shuffled at all. After `levels` levels what is still large is compared in blocks, each pair of blocks by itself, so that
+    the sets themselves are never shuffled; a false hit only costs work. A path of more than hot_rows rows and a
+    thousandth of all is not shuffled at all. After `levels` levels what is still large is compared in blocks, each pair of blocks by itself, so that
     no bucket is ever cut off. The runs for the target recall follow from a miss of at most exp(-1) a run where no bucket
     had to be split.
     """
 
-    def __init__(self, df: DataFrame, ordinal: str, fields: list[str], k: int = 5, threshold: float = 0.8, recall: float = 0.9999, bucket: int = 500, levels: int = 3):
+    def __init__(self, df: DataFrame, ordinal: str, fields: list[str], k: int = 5, threshold: float = 0.8, recall: float = 0.9999, bucket: int = 500, levels: int = 3, hot_rows: int = 100_000):
+        self.hot_rows = hot_rows
         self.spark = df.sparkSession
         self.scratch = Scratch(self.spark)
         th = Fraction(str(threshold))
@@ -395,7 +396,7 @@ class NearPairs:
                 counts = np.frombuffer(bytes(r["bits"]), np.int64).reshape(2, COARSE)
             else:
                 repeated[r["segment"] * SEGMENT : (r["segment"] + 1) * SEGMENT] = _unpack(bytes(r["bits"]))
-        return Level(bits, np.packbits(repeated), counts > max(100_000, 0.001 * counts[0].sum()))
+        return Level(bits, np.packbits(repeated), counts > max(self.hot_rows, 0.001 * counts[0].sum()))
 
     def _compared(self, rows: DataFrame, limit: int) -> DataFrame:
         return rows.repartition("path").sortWithinPartitions("path", "rid").mapInArrow(_compare(limit, self.num, self.den), _OUT)

@@ -183,8 +183,8 @@ def brute_pairs(rows, k, th):
     return out
 
 
-@pytest.mark.parametrize("bucket,levels", [(500, 3), (3, 2), (2, 1)])
-def test_near_pairs_brute(spark, bucket, levels):
+@pytest.mark.parametrize("bucket,levels,hot", [(500, 3, 100_000), (3, 2, 100_000), (2, 1, 100_000), (3, 2, 5), (4, 1, 3)])
+def test_near_pairs_brute(spark, bucket, levels, hot):
     rng = random.Random(7)
     vocab = [f"w{i}" for i in range(60)]
     rows, o = [], 0
@@ -198,10 +198,11 @@ def test_near_pairs_brute(spark, bucket, levels):
             rows.append((o, ("common header text here " if rng.random() < 0.7 else "") + " ".join(t)))
     rows += [(o + 1, None), (o + 2, ""), (o + 3, "a b"), (o + 4, rows[0][1].upper()), (o + 5, rows[0][1].replace(" ", ", ")), (o + 6, rows[0][1] + " é")]
     df = spark.createDataFrame([(a, b, "x", 1) for a, b in rows], "ordinal long, body string, path string, rid int")
-    got = {(r["ordinal_a"], r["ordinal_b"]) for r in nearpairs.near_pairs(df, "ordinal", ["body"], 3, 0.6, bucket=bucket, levels=levels).collect()}
+    got = {(r["ordinal_a"], r["ordinal_b"]) for r in nearpairs.near_pairs(df, "ordinal", ["body"], 3, 0.6, bucket=bucket, levels=levels, hot_rows=hot).collect()}
     want = brute_pairs(rows, 3, 0.6)
     assert got <= want and len(got) >= 0.99 * len(want) and len(want) > 60
     if bucket == 500:
+        assert len(got) == len(want)
         assert nearpairs.near_pairs(df.limit(0), "ordinal", ["body"], 3, 0.6).count() == 0
 
 
