@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+from collections.abc import Callable, Iterator
 from functools import cache
 
 from codequarry.llm.derivatives import Language
@@ -25,11 +26,34 @@ _BLANK = re.compile(r'("(?:\\[\s\S]|[^"\\\n])*"|\'(?:\\[\s\S]|[^\'\\\n])*\')|//(
 _DIRECTIVE = re.compile(r"\s*#\s*(if|ifdef|ifndef|elif|elifdef|elifndef|else|endif|define|undef|include|include_next|import|pragma|error|warning|line|ident)?\b(.*)", re.S)
 
 
-def without_directives(text: str) -> str | None:
-    """C text without preprocessor lines and without all but the first branch of each conditional (the second if the
-    first is '#if 0'). None if a line that begins with # is no directive."""
+class _Conditional:
+    """One #if ... #endif: the (macro or expression, value) under which each branch is taken, None for #else."""
+
+    def __init__(self):
+        self.conditions: list[tuple[str, bool] | None] = []
+
+    def closed(self) -> bool:
+        return self.conditions[-1] is None
+
+
+def _condition(word: str, rest: str) -> tuple[str, bool]:
+    rest = " ".join(rest.split())
+    m = re.fullmatch(r"(!?) ?(?:defined ?\(? ?(\w+) ?\)?|(\w+))", rest)
+    if word.endswith("def"):
+        return "defined " + rest, not word.endswith("ndef")
+    if m and m.group(2):
+        return "defined " + m.group(2), not m.group(1)
+    if m and not m.group(3).isdigit():
+        return m.group(3), not m.group(1)
+    return rest, True
+
+
+def without_directives(text: str) -> tuple[list[tuple[str, list[tuple[int, int]]]], list[_Conditional], bool] | None:
+    """C text without preprocessor lines: each line with the branches (conditional, branch) that it lies in, outermost
+    first, the conditionals, and whether every conditional ends. None if a line that begins with # is no directive or
+    an #else, #elif or #endif has no #if."""
     text = _BLANK.sub(lambda m: m.group(1) or re.sub(r"[^\n]+", " ", m.group(0)), text)
-    out, stack = [], []  # stack: [branch taken now, some branch taken]
+    out, found, stack = [], [], []  # stack: (conditional, branch)
     lines = iter(text.split("\n"))
     for line in lines:
         if line.lstrip()[:1] == "#":
@@ -38,22 +62,92 @@ def without_directives(text: str) -> str | None:
                 if nxt is None:
                     break
                 line = line.rstrip("\r")[:-1] + " " + nxt
-                out.append("")
+                out.append(("", []))
             m = _DIRECTIVE.match(line)
             word = m.group(1) if m else None
             if word is None and line.strip() != "#":
                 return None
             if word in ("if", "ifdef", "ifndef"):
-                on = not (word == "if" and m.group(2).strip() == "0")
-                stack.append([on, on])
-            elif word in ("elif", "elifdef", "elifndef", "else") and stack:
-                stack[-1][0], stack[-1][1] = not stack[-1][1], True
-            elif word == "endif" and stack:
-                stack.pop()
-            out.append("")
+                found.append(_Conditional())
+                found[-1].conditions.append(_condition(word, m.group(2)))
+                stack = [*stack, (len(found) - 1, 0)]
+            elif word in ("elif", "elifdef", "elifndef", "else", "endif"):
+                if not stack or word != "endif" and found[stack[-1][0]].closed():
+                    return None
+                if word == "endif":
+                    stack = stack[:-1]
+                else:
+                    c, k = stack[-1]
+                    found[c].conditions.append(None if word == "else" else _condition(word, m.group(2)))
+                    stack = [*stack[:-1], (c, k + 1)]
+            out.append(("", stack))  # so that a branch without text has a line too
         else:
-            out.append(line if all(s[0] for s in stack) else "")
-    return "\n".join(out)
+            out.append((line, stack))
+    return out, found, not stack
+
+
+def _choose(found: list[_Conditional], forced: dict[int, int], wanted: set[tuple[int, int]]) -> list[int]:
+    """The branch of each conditional, -1 for none. One condition has one value in all conditionals; what is not settled
+    by that goes to the first wanted branch, else to the first."""
+    known: dict[str, bool] = {"0": False}
+
+    def take(c: int, k: int) -> None:
+        for i, x in enumerate(found[c].conditions[: k + 1]):
+            if x:
+                known.setdefault(x[0], x[1] == (i == k))
+
+    for c, k in forced.items():
+        take(c, k)
+    out = []
+    for c, cond in enumerate(found):
+        if c in forced:
+            out.append(forced[c])
+            continue
+        can = []
+        for k, x in enumerate(cond.conditions):
+            value = True if x is None else known[x[0]] == x[1] if x[0] in known else None
+            if value is not False:
+                can.append(k)
+            if value:
+                break
+        k = next((k for k in can if (c, k) in wanted), can[0] if can else -1)
+        if k >= 0:
+            take(c, k)
+        out.append(k)
+    return out
+
+
+def variants(lines: list[tuple[str, list[tuple[int, int]]]], found: list[_Conditional]) -> Iterator[tuple[str, Callable[[bool], None]]]:
+    """Texts of some choices of branches, until each branch lies in one that is valid; the caller says of
+    each whether it is. After a choice that is not valid, what it was to try is tried branch by branch; a branch for which
+    that fails too ends the series. The first choice takes first branches. '#if 0' is never taken."""
+    paths = {path[i]: path[: i + 1] for _, path in lines for i in range(len(path))}
+    dead = {(c, k) for c, x in enumerate(found) for k, y in enumerate(x.conditions) if y == ("0", True)}
+    wanted = {b for b, path in paths.items() if not dead & {*path}}
+
+    def made(forced: dict[int, int], wish: set) -> tuple[str, set]:
+        chosen = _choose(found, forced, wish)
+        on = [all(chosen[c] == k for c, k in path) for _, path in lines]
+        return "\n".join(line if x else "" for (line, _), x in zip(lines, on)), {b for (_, path), x in zip(lines, on) if x for b in path}
+
+    said: list[bool] = []
+    text, holds = made({}, set())
+    yield text, said.append
+    if not said.pop():
+        return
+    wanted -= holds
+    alone = False  # whether a branch is tried with first branches elsewhere
+    while wanted:
+        target = min(wanted)
+        text, holds = made(dict(paths[target]), set() if alone else wanted)
+        yield text, said.append
+        if said.pop():
+            wanted -= holds
+            alone = False
+        elif alone:
+            return
+        else:
+            alone = True
 
 
 class Lexer:
@@ -279,15 +373,26 @@ def _one(text: str, lang: str) -> tuple[str | None, int]:
     return ("truncated" if at == len(toks) else "token"), at
 
 
+def _all(text: str, lang: str) -> tuple[str | None, int]:
+    """The problem of a text, of C and C++ in any branch of its conditionals."""
+    if lang == "java" or "#" not in text:
+        return _one(text, lang)
+    parts = without_directives(text)
+    if parts is None:
+        return "directive", 0
+    lines, found, ended = parts
+    said: tuple[str | None, int] = None, -1
+    for plain, valid in variants(lines, found):
+        said = _one(plain, lang)
+        valid(said[0] is None)
+    return ("directive", 0) if said[0] is None and not ended else said
+
+
 def check(text: str, lang: str) -> tuple[str | None, int]:
-    """(None, -1) if the text is exactly one function definition; else (truncated | token | directive, the place of the
-    token that cannot stand where it does, or the number of tokens)."""
-    if lang != "java" and "#" in text:
-        plain = without_directives(text)
-        if plain is None:
-            return "directive", 0
-        text = plain
-    said = _one(text, lang)
-    if said[0] and lang == "cpp" and _one(text, "c")[0] is None:  # a C function in a C++ file is valid
+    """(None, -1) if the text is exactly one function definition with any branch of its preprocessor conditionals; else
+    (truncated | token | directive, the place of the token that cannot stand where it does, counted without the branches
+    not taken, or the number of tokens)."""
+    said = _all(text, lang)
+    if said[0] and lang == "cpp" and _all(text, "c")[0] is None:  # a C function in a C++ file is valid
         return None, -1
     return said

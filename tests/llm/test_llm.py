@@ -121,6 +121,33 @@ def test_truncation_is_found(lang):
             assert check(body[:cut], lang)[0], body[:cut]
 
 
+def test_every_branch_is_parsed():
+    head, tail = "int f(int a) {\n", "\n return a; }"
+    two = head + "#ifdef X\n if (a) {\n#else\n%s\n#endif\n a++; }" + tail
+    assert check(two % " if (!a) {", "c")[0] is None
+    for bad in ("<<<<<<< HEAD\n if (!a) {", " if (!a {", ""):
+        assert check(two % bad, "c")[0] == "token" and check(two % bad, "cpp")[0] == "token", bad
+    three = head + "#if A > 1\n g(1);\n#elif A\n g(2);\n#else\n g(3%s\n#endif" + tail
+    assert check(three % ");", "c")[0] is None and check(three % ";", "c")[0] == "token"
+    assert check(three.replace("g(2)", "g(2") % ");", "c")[0] == "token"
+    nested = head + "#ifdef X\n#else\n#ifdef X\n g(%s;\n#else\n g(2);\n#endif\n#endif" + tail
+    assert check(nested % "1)", "c")[0] is None and check(nested % "1", "c")[0] == "token"
+    # one macro has one value in a text, and a second branch may go with the second of another conditional
+    assert check(head + "#ifdef X\n if (a) {\n#endif\n g();\n#if defined(X)\n }\n#endif" + tail, "c")[0] is None
+    assert check(head + "#ifdef X\n if (a)\n#else\n {\n#endif\n g();\n#ifndef X\n }\n#endif" + tail, "c")[0] is None
+    assert check(head + "#if A > 1\n {\n#else\n {{\n#endif\n g();\n#if B > 1\n }\n#else\n }}\n#endif" + tail, "c")[0] is None
+    assert check(head + "#if 0\n any text\n#else\n g();\n#endif" + tail, "c")[0] is None
+    # as many texts as the largest conditional has branches, not one for each combination
+    assert check(head + "#ifdef X%d\n g();\n#else\n h();\n#endif\n" * 60 % (*range(60),) + tail, "c")[0] is None
+
+
+def test_unmatched_conditionals():
+    for s in ("#endif\nint f(void) { }", "int f(void) {\n#else\n}", "int f(void) {\n#elif X\n}", "int f(void) {\n#ifdef X\n}", "int f(void) {\n#if X\n#else\n#else\n#endif\n}"):
+        assert check(s, "c")[0] in ("directive", "truncated"), s
+    assert check("int f(void) { }\n#ifdef X", "c") == ("directive", 0)
+    assert check("int f(void) {\n#ifdef X\n g();", "c")[0] == "truncated"
+
+
 def test_error_place():
     assert check("int f(void) { x = ; }", "c") == ("token", 8)
     assert check("int f(void) { x = 1;", "c") == ("truncated", 10)
