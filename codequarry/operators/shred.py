@@ -98,7 +98,7 @@ def adjacency(df: DataFrame, record_id: str, payload: str) -> DataFrame:
 def entities(adj: DataFrame, at: dict[str, str], fields: dict[str, str]) -> DataFrame:
     """Flat rows of the objects at some label paths, each naming its parent object.
 
-    at: label path -> level. fields: member name -> output column (the member's scalar as text, null where it is
+    at: label path -> level; the empty path is the record itself. fields: member name -> output column (the member's scalar as text, null where it is
     missing, null or nested). Objects meet their scalar children on (record, object) and are pivoted in the same
     grouping; the key holds the object, so a record of any size is spread over tasks. Null array elements give no row.
     """
@@ -108,7 +108,7 @@ def entities(adj: DataFrame, at: dict[str, str], fields: dict[str, str]) -> Data
     is_entity = (F.col("kind") == "object") & level.isNotNull()
     child = F.col("kind").isin("string", "number", "boolean") & F.col("ordinal").isNull() & F.col("label").isin(*fields)
     if fields:
-        owners = [f"{p}/{f}" for p in at for f in fields]
+        owners = [f"{p}/{f}" if p else f for p in at for f in fields]
         child = child & F.col("label_path").isin(*owners)
     rows = adj.where(is_entity | child).select(
         "record_id", F.when(is_entity, F.col("node")).otherwise(F.col("parent")).alias("node"),
@@ -134,6 +134,18 @@ CVE_LEVELS = {
 GRAPH_LEVELS = {"nodes": "node", "edges": "edge"}
 
 
+def parts(raw: DataFrame) -> DataFrame:
+    """All adjacency rows of raw_record with their level: the kind of record for its top, the name of a level for its
+    objects, null for other objects and for what is no object."""
+    def part(kind: str, at: dict[str, str]) -> DataFrame:
+        level = F.lit(None).cast("string")
+        for path, name in {"": kind, **at}.items():
+            level = F.when((F.col("kind") == "object") & (F.col("label_path") == path), F.lit(name)).otherwise(level)
+        return adjacency(raw.where(F.col("kind") == kind), "record_id", "payload").withColumn("level", level).withColumnRenamed("parent", "parent_node")
+
+    return part("cve_record", CVE_LEVELS).unionByName(part("graph", GRAPH_LEVELS))
+
+
 def child_key(level: Column) -> Column:
     """The name of an entity within its parent; expects the columns that found() pivots."""
     edge = F.concat(F.col("outNode"), F.lit(">"), F.col("inNode"), F.lit(":"), F.col("etype"))

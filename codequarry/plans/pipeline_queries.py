@@ -72,9 +72,40 @@ def p4_file(spark: SparkSession, d: str) -> DataFrame:
     return both.where("level = 'file'").drop("commit_hash").join(commit, ["record_id", "parent_node"]).select("record_id", "pos_path", "commit_hash", "file_path", "file_name")
 
 
+def _linked(path: str, level: str, fields: list[str]):
+    """A level of the CVE records with node and parent_node, which number the objects of a record alike in every table."""
+    def query(spark: SparkSession, d: str) -> DataFrame:
+        raw = table(spark, d, "raw_record").where("kind = 'cve_record'")
+        return shred.entities(shred.adjacency(raw, "record_id", "payload"), {path: level}, {f: f for f in fields}).drop("level")
+
+    return query
+
+
+P4_LINKED = {
+    "p4_record": ("", "cve_record", ["cve_id", "description", "publish_date", "last_modify_date", "cvss_vector", "cvss_base_score", "cvss_base_severity", "cvss_is_v3"]),
+    "p4_vul_func": (
+        "commits/files/vulnerable_functions", "vul_func",
+        ["func_name", "parameter_list_signature", "func_before", "func_after", "abstract_func_before", "abstract_func_after", "func_graph_path_before", "func_graph_path_after", "diff_func"],
+    ),
+    "p4_non_vul_func": ("commits/files/non_vulnerable_functions", "non_vul_func", ["func_name", "parameter_list_signature", "func", "func_graph_path"]),
+}
+
+
+def p4_object(spark: SparkSession, d: str) -> DataFrame:
+    """Every object of every record with its parent object. p4_commit, p4_file, p4_node and p4_edge meet it on record_id,
+    level and pos_path."""
+    return shred.parts(table(spark, d, "raw_record")).where("kind = 'object'").select("record_id", "level", "node", "parent_node", "ordinal", "label_path", "pos_path")
+
+
+def p4_scalar(spark: SparkSession, d: str) -> DataFrame:
+    """Every scalar, null and empty array of every record with the object that holds it; ordinal is the place in a scalar array."""
+    rows = shred.parts(table(spark, d, "raw_record")).where("kind <> 'object'")
+    return rows.select("record_id", "parent_node", "label", "ordinal", "kind", F.col("scalar").alias("value"), "label_path", "pos_path")
+
+
 def queries() -> dict:
-    out = {f.__name__: f for f in (p1_found, p1_repo_profile, p1_commit_profile, p1_fix_commit_profile, p1_length_percentiles, p4_found, p4_file)}
-    return out | {name: _entity(*spec) for name, spec in P4_TABLES.items()}
+    out = {f.__name__: f for f in (p1_found, p1_repo_profile, p1_commit_profile, p1_fix_commit_profile, p1_length_percentiles, p4_found, p4_file, p4_object, p4_scalar)}
+    return out | {name: _entity(*spec) for name, spec in P4_TABLES.items()} | {name: _linked(*spec) for name, spec in P4_LINKED.items()}
 
 
 def _profile_sql(name: str, key: str, value: str, flag: bool) -> str:

@@ -70,6 +70,33 @@ def test_shred_edges(spark):
     assert shred.found(df.limit(0)).count() == 0
 
 
+def test_flat_tables_name_their_parents(spark, tmp_path):
+    from codequarry.plans.pipeline_queries import queries
+
+    func = {"func_name": "f", "func_before": "a", "diff_line_info": {"added_lines": ["x", "y"], "deleted_lines": []}}
+    # the commits' hashes are null or repeated, so only the link tells whose files they have
+    commits = [{"commit_hash": h, "commit_msg": "m", "files": [{"file_path": p, "vulnerable_functions": func, "non_vulnerable_functions": [None, {"func_name": p, "func": "b"}]}]} for h, p in ((None, "p"), (None, "q"), ("h", "r"), ("h", "s"))]
+    rows = [(1, "cve_record", json.dumps({"cve_id": "C", "cvss_is_v3": True, "cwe_ids": ["W1", None, "W2"], "commits": commits})), (2, "graph", json.dumps({"version": "1", "nodes": [{"id": 1, "overlays": ["o"]}], "edges": {"inNode": 1, "outNode": 1, "etype": "AST"}})), (3, "cve_record", "no json")]
+    spark.createDataFrame(rows, "record_id long, kind string, payload string").write.parquet(f"{tmp_path}/raw_record.parquet")
+    at = {n: [r.asDict() for r in q(spark, str(tmp_path)).collect()] for n, q in queries().items() if n.startswith("p4_")}
+    assert [(r["record_id"], r["parent_node"], r["cve_id"], r["cvss_is_v3"]) for r in at["p4_record"]] == [(1, None, "C", "true")]
+    objects = {(r["record_id"], r["node"]): r for r in at["p4_object"]}
+    assert Counter(r["level"] for r in objects.values()) == {"cve_record": 1, "graph": 1, "commit": 4, "file": 4, "vul_func": 4, "non_vul_func": 4, "node": 1, "edge": 1, None: 4}
+    by_place = {(r["record_id"], r["level"], r["pos_path"]): r for r in objects.values()}
+    for level in ("commit", "file", "node", "edge"):  # the tables with SQL meet their link by their place
+        assert len(at[f"p4_{level}"]) == sum((r["record_id"], level, r["pos_path"]) in by_place for r in at[f"p4_{level}"]) > 0
+    files = {by_place[1, "file", r["pos_path"]]["node"]: r["file_path"] for r in at["p4_file"]}
+    assert sorted((files[r["parent_node"]], r["func_name"], r["func"]) for r in at["p4_non_vul_func"]) == [(p, p, "b") for p in "pqrs"]
+    assert sorted((files[r["parent_node"]], r["func_before"]) for r in at["p4_vul_func"]) == [(p, "a") for p in "pqrs"]
+    tops = {r["node"] for r in at["p4_record"]}
+    assert all(objects[1, objects[1, f]["parent_node"]]["parent_node"] in tops for f in files)
+    items = sorted((r["ordinal"], r["kind"], r["value"]) for r in at["p4_scalar"] if r["label"] == "cwe_ids" and r["parent_node"] in tops)
+    assert items == [(0, "string", "W1"), (1, "null", None), (2, "string", "W2")]
+    lines = [r for r in at["p4_scalar"] if r["label"] == "added_lines"]
+    assert Counter(objects[1, objects[1, r["parent_node"]]["parent_node"]]["level"] for r in lines) == {"vul_func": 8}
+    assert {r["value"] for r in at["p4_scalar"] if r["label"] in ("commit_msg", "overlays", "version")} == {"m", "o", "1"}
+
+
 def test_shred_round_trip(spark):
     rng = random.Random(3)
 
