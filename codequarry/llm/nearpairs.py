@@ -322,6 +322,19 @@ def _links_to_rows(links: DataFrame, rows: DataFrame, key: str, hot: DataFrame,
     return left.join(right, [key, "_salt"]).drop("_salt")
 
 
+def miss(levels: int) -> float:
+    """The most that the chance can be that a pair of the threshold's similarity shares no path of `levels` tokens in a
+    run: the sampled tokens that it shares below a path are one on average, so its paths branch like a tree of mean 1."""
+    q = 0.0
+    for _ in range(levels):
+        q = math.exp(q - 1)
+    return q
+
+
+def runs_for(recall: float, levels: int) -> int:
+    return math.ceil(math.log(1 - recall) / math.log(miss(levels)))
+
+
 class NearPairs:
     """The chosen-path join of the texts of some fields of a table.
 
@@ -332,8 +345,8 @@ class NearPairs:
     are split by another sampled token. Which paths are too large is told to the next level by a filter of fixed size, so
     the sets themselves are never shuffled; a false hit only costs work. A path of more than hot_rows rows and a
     thousandth of all is not shuffled at all. After `levels` levels what is still large is compared in blocks, each pair of blocks by itself, so that
-    no bucket is ever cut off. The runs for the target recall follow from a miss of at most exp(-1) a run where no bucket
-    had to be split.
+    no bucket is ever cut off. The runs for the target recall follow from the miss of a run in which all the paths that a
+    pair shares are split down to the last level.
     """
 
     def __init__(self, df: DataFrame, ordinal: str, fields: list[str], k: int = 5, threshold: float = 0.8, recall: float = 0.9999, bucket: int = 500, levels: int = 3, hot_rows: int = 100_000):
@@ -342,7 +355,7 @@ class NearPairs:
         self.scratch = Scratch(self.spark)
         th = Fraction(str(threshold))
         self.num, self.den, self.bucket, self.b = th.numerator, th.denominator, bucket, float(threshold)
-        self.runs = math.ceil(1.5 * math.log(1 / (1 - recall)))
+        self.runs = runs_for(recall, levels)
         self.seeds = _mix(np.arange(1, self.runs + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
         cols = [F.col(ordinal).cast("long").alias("ordinal"), *[F.col(f).cast("string").alias(f"t{i}") for i, f in enumerate(fields)]]
         rows = df.where(F.col(ordinal).isNotNull()).select(*cols)

@@ -233,6 +233,25 @@ def test_near_pairs_brute(spark, bucket, levels, hot):
         assert nearpairs.near_pairs(df.limit(0), "ordinal", ["body"], 3, 0.6).count() == 0
 
 
+def test_runs_reach_the_recall(spark):
+    # a threshold pair, the smaller set within the larger, followed through the levels as the walk samples it
+    rng = np.random.default_rng(8)
+    big = np.unique(rng.integers(0, 2**63, 50, dtype=np.uint64))
+    flat, sizes, doc = nearpairs._flat([big[: round(0.6 * len(big))], big])
+    everything = nearpairs.Level(8, None, np.ones((2, nearpairs.COARSE), bool))
+    for levels in (1, 2, 3):
+        lost = 0
+        for seed in rng.integers(0, 2**63, 1500, dtype=np.uint64):
+            path, owner = nearpairs._walk(flat, sizes, doc, np.zeros(2, np.int64), 0.6, np.array([seed]), [everything] * (levels - 1))
+            lost += not len(np.intersect1d(path[owner == 0], path[owner == 1]))
+        assert lost / 1500 <= nearpairs.miss(levels) + 0.04, levels
+        assert lost / 1500 >= nearpairs.miss(levels) - 0.06, levels
+    df = spark.createDataFrame([(1, "a b c d e f"), (2, "a b c d e f g")], "ordinal long, body string")
+    for levels in (1, 2, 3):
+        n = nearpairs.NearPairs(df, "ordinal", ["body"], 3, 0.6, levels=levels)
+        assert len(n.seeds) == n.runs and nearpairs.miss(levels) ** n.runs <= 1e-4
+
+
 def test_near_groups(spark):
     base = " ".join(f"w{i}" for i in range(60))
     texts = [base, base.upper(), base.replace("w30", "x"), base.replace("w30", "x").replace("w10", "y"), " ".join(f"q{i}" for i in range(30)), "too few", None]
