@@ -12,6 +12,10 @@ from codequarry.operators.components import components
 from codequarry.session import Scratch, table
 
 
+#: Attention cost that a container may hold, as a share of that of one piece that fills it. At 1 the tokens always bind first.
+ATTENTION = 0.75
+
+
 def setting(spark: SparkSession, d: str, name: str) -> dict[str, float]:
     """A job setting's items; the table holds a few rows and does not grow."""
     return {r["item"]: r["amount"] for r in table(spark, d, "job_setting").where(F.col("setting") == name).collect()}
@@ -84,7 +88,7 @@ def p7_found(spark: SparkSession, d: str) -> DataFrame:
 
 def p8_pieces(spark: SparkSession, d: str) -> DataFrame:
     docs = table(spark, d, "documents")
-    return packing.pack(with_token_counts(docs, "doc_id", "text"), "doc_id", "n", dict(sorted(setting(spark, d, "container_tokens").items())), count=docs.count())
+    return packing.pack(with_token_counts(docs, "doc_id", "text"), "doc_id", "n", dict(sorted(setting(spark, d, "container_tokens").items())), attention=ATTENTION, count=docs.count())
 
 
 def p8_found(spark: SparkSession, d: str) -> DataFrame:

@@ -344,6 +344,21 @@ def test_best_fit_constraints():
     assert len(packing.best_fit(np.array([], int), 10, 3, 60.0)) == 0
 
 
+def test_attention_closes_containers(spark, tmp_path):
+    from codequarry.llm import queries
+
+    sizes = {1: 86, 2: 14, 3: 60, 4: 40, 5: 97, 6: 250}
+    spark.createDataFrame([(i, "w " * n) for i, n in sizes.items()], "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame([("container_tokens", "small", 100.0)], "setting string, item string, amount double").write.parquet(f"{tmp_path}/job_setting.parquet")
+    bins = {}
+    for r in queries.p8_pieces(spark, str(tmp_path)).collect():
+        bins.setdefault((r["shard"], r["bin"]), []).append(r["tokens"])
+    assert sorted(n for b in bins.values() for n in b) == [14, 40, 50, 60, 86, 97, 100, 100]
+    assert [86] in bins.values() and [97] in bins.values()  # 14 more tokens would fit beside 86, their cost does not
+    assert all(sum(b) <= 100 and (len(b) == 1 or sum(n * n for n in b) <= queries.ATTENTION * 100**2) for b in bins.values())
+    assert any(len(b) > 1 for b in bins.values())
+
+
 # Leaks.
 
 
