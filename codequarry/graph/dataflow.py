@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from codequarry.graph import kernels
-from codequarry.graph.model import KEY, Graph, Traversal
+from codequarry.graph.model import KEY, Graph, Traversal, merged
 from codequarry.graph.passes import _flow, _succ
 from codequarry.session import Scratch
 
@@ -179,12 +179,12 @@ def flow_edges(graph: Graph, semantics: DataFrame | None = None) -> DataFrame:
     return flow.unionByName(within).unionByName(into).unionByName(back)
 
 
-def reachable_by(sinks: Traversal, sources: Traversal, semantics: DataFrame | None = None, most_calls: int = 4, most_steps: int = 60, most_args: int = 1000) -> DataFrame:
+def reachable_by(sinks: Traversal, sources: Traversal, semantics: DataFrame | None = None, most_calls: int = 4, most_steps: int | None = None, most_args: int = 1000) -> DataFrame:
     """(graph_id, source, sink, path): for each pair the longest of the shortest walks of a value back from the sink.
 
     Backward from the sinks along flow_edges, a frontier at a time; the stack of call sites makes a value that came out of a
     method go in again at the same call, and holds at most most_calls entries. A (sink, node, stack) is walked once, which
-    ends cycles. Written round by round. Ties between paths go to the smallest.
+    ends cycles; most_steps bounds the walks where it is given. Written round by round. Ties between paths go to the smallest.
     """
     scratch = Scratch(sinks.df.sparkSession)
     e = scratch.save(flow_edges(sinks.graph, semantics).distinct())
@@ -196,7 +196,10 @@ def reachable_by(sinks: Traversal, sources: Traversal, semantics: DataFrame | No
     now = scratch.save(now)
     seen = [now.select("graph_id", "sink", "node", "stack")]
     hits = [now.join(src, ["graph_id", "node"], "left_semi")]
-    for _ in range(most_steps):
+    step = 0
+    while most_steps is None or step < most_steps:
+        step += 1
+        seen, hits = merged(seen, scratch), merged(hits, scratch)
         j = now.join(e, (now["graph_id"] == e["graph_id"]) & (now["node"] == e["d"])).drop(e["graph_id"])
         top = F.try_element_at("stack", F.lit(-1))
         # backward: over 'out' a method is entered (push), over 'in' it is left (pop, or any caller where the stack is empty)

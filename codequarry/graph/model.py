@@ -84,10 +84,10 @@ class Graph:
     def etype(self, *types: str) -> DataFrame:
         return self.edges.where(F.col("etype").isin(*types)) if types else self.edges
 
-    def closure(self, types: list[str], starts: DataFrame | None = None, reverse: bool = False, most: int = 200) -> DataFrame:
+    def closure(self, types: list[str], starts: DataFrame | None = None, reverse: bool = False, most: int | None = None) -> DataFrame:
         """(graph_id, id, to, depth): what is reached over edges of some types, the start itself left out unless a cycle
         leads back to it; the least depth of each. Semi-naive: only new pairs are carried on, each round is written, and the
-        number of rounds is the longest shortest path."""
+        number of rounds is the longest shortest path, or most where that is given."""
         scratch = Scratch(self.nodes.sparkSession)
         e = self.etype(*types).select("graph_id", *((F.col("dst").alias("f"), F.col("src").alias("t")) if reverse else (F.col("src").alias("f"), F.col("dst").alias("t")))).distinct()
         e = scratch.save(e)
@@ -97,8 +97,9 @@ class Graph:
         delta = scratch.save(first.withColumn("depth", F.lit(1)))
         parts = [delta]
         depth = 1
-        while depth < most and not delta.isEmpty():
+        while (most is None or depth < most) and not delta.isEmpty():
             depth += 1
+            parts = merged(parts, scratch)
             new = delta.join(e, (delta["graph_id"] == e["graph_id"]) & (delta["to"] == e["f"])).select(delta["graph_id"], delta["id"], e["t"].alias("to")).distinct()
             seen = parts[0]
             for p in parts[1:]:
@@ -111,6 +112,16 @@ class Graph:
         return out
 
 
+def merged(parts: list[DataFrame], scratch: Scratch, most: int = 20) -> list[DataFrame]:
+    """The same rows in at most `most` tables, so that the plan over many rounds stays small."""
+    if len(parts) <= most:
+        return parts
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return [scratch.save(out)]
+
+
 class Traversal:
     """A bag of nodes: a DataFrame with the node table's columns, duplicates kept. Columns in carry stay with a row from
     step to step, such as the element that a sub-traversal started from."""

@@ -13,6 +13,10 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from codequarry.graph.model import CFG_NODE, EXPRESSION, KEY, Graph, Traversal, full
+from codequarry.session import Scratch
+
+#: Levels of a syntax tree after which a walk up is taken for an endless one, which is an error.
+MOST_LEVELS = 1000
 
 # Node-type starters: name -> (label, column that the argument is matched with).
 STARTERS: dict[str, tuple[str, str | None]] = {
@@ -253,7 +257,8 @@ class Steps(Traversal):
         """The nearest enclosing expression, member accesses skipped."""
         up = self.in_("AST")
         out = None
-        for _ in range(20):
+        scratch = Scratch(self.graph.nodes.sparkSession)
+        for _ in range(MOST_LEVELS):
             skip = F.coalesce((F.col("label") == "CALL") & F.col("name").isin(MEMBER_ACCESS), F.lit(False))
             stop = up.where(~skip).label(*EXPRESSION)
             out = stop if out is None else out.union(stop)
@@ -261,20 +266,27 @@ class Steps(Traversal):
             if up.is_empty():
                 break
             up = up.in_("AST")
+            up = up._with(scratch.save(up.df))
+        else:
+            raise RuntimeError("parent_expression did not come to an end")
         return out
 
     def statement(self) -> Steps:
         """The child of the enclosing block or control structure that holds the start."""
         block = F.col("label").isin("BLOCK", "CONTROL_STRUCTURE", "METHOD")
         done, now = None, self
-        for _ in range(60):
+        scratch = Scratch(self.graph.nodes.sparkSession)
+        for _ in range(MOST_LEVELS):
             with_parent = now.keeping("_stmt").in_("AST")
             at = with_parent.where(block).df.select("_stmt.graph_id", "_stmt.id").distinct()
             fin = now._with(now.df.join(at, KEY, "left_semi"))
             done = fin if done is None else done.union(fin)
             now = now._with(now.df.join(at, KEY, "left_anti")).in_("AST")
+            now = now._with(scratch.save(now.df))
             if now.is_empty():
                 break
+        else:
+            raise RuntimeError("statement did not come to an end")
         return done
 
     # Control flow.

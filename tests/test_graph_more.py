@@ -4,10 +4,10 @@ import random
 from pyspark.sql import functions as F
 
 from codequarry.graph import access_path as ap
-from codequarry.graph import special
+from codequarry.graph import dataflow, special
 from codequarry.graph.model import Graph
 from codequarry.graph.steps import Cpg
-from tests.test_graph import ids
+from tests.test_graph import Build, ids
 
 
 def test_paths():
@@ -51,3 +51,38 @@ def test_special_steps(spark):
     assert ids(special.uses_cleartext_traffic(m)) == [11] and ids(special.reads_external_storage(m)) == [11]
     assert [r["name"] for r in special.exported_names(m, "activity").collect()] == [".A"]
     assert special.broadcast_receivers(cpg).is_empty() and special.exposed_to_script(cpg).is_empty()
+
+
+def test_long_chains_are_not_cut(spark):
+    b = Build()
+    calls = [b.node("CALL", name="<operator>.fieldAccess", code="a.b") for _ in range(23)]
+    top, block = b.node("CALL", name="f", code="f()"), b.node("BLOCK")
+    b.edge("AST", block, top, *calls)
+    cpg = Cpg(b.graph(spark))
+    assert ids(cpg.all().where(F.col("id") == calls[-1]).parent_expression()) == [top]
+    b = Build()
+    sums = [b.node("CALL", name="<operator>.addition", code=str(i)) for i in range(63)]
+    block = b.node("BLOCK")
+    b.edge("AST", block, *sums)
+    assert ids(Cpg(b.graph(spark)).all().where(F.col("id") == sums[-1]).statement()) == [sums[0]]
+
+
+def test_closure_is_not_cut(spark):
+    b = Build()
+    chain = [b.node("BLOCK") for _ in range(204)]
+    b.edge("AST", *chain)
+    b.edge("AST", chain[3], chain[1])  # a cycle ends
+    g = b.graph(spark)
+    got = {r["to"]: r["depth"] for r in g.closure(["AST"], g.nodes.where(F.col("id") == chain[0])).collect()}
+    assert got == {x: i for i, x in enumerate(chain) if i}
+    assert g.closure(["AST"], g.nodes.where(F.col("id") == chain[0]), most=5).count() == 5
+
+
+def test_flows_are_not_cut(spark):
+    b = Build()
+    chain = [b.node("IDENTIFIER", name=f"x{i}") for i in range(63)]
+    b.edge("REACHING_DEF", *chain)
+    cpg = Cpg(b.graph(spark))
+    at = lambda i: cpg.all().where(F.col("id") == chain[i])
+    got = dataflow.reachable_by(at(-1), at(0)).collect()
+    assert [r["path"] for r in got] == [chain]
