@@ -39,6 +39,11 @@ def p1_fix_commit_profile(spark: SparkSession, d: str) -> DataFrame:
     return _profile(spark, d, "fix_commit", "repo_name", "commit_hash", False)
 
 
+def p1_fix_commit_hash_profile(spark: SparkSession, d: str) -> DataFrame:
+    """Commits, those under several CVEs too, by their hash."""
+    return _profile(spark, d, "fix_commit", "commit_hash", "cve_ordinal", False)
+
+
 def p1_length_percentiles(spark: SparkSession, d: str) -> DataFrame:
     out = skew.key_percentiles(table(spark, d, "func"), F.col("repo_name"), F.length("func"), [0.25, 0.5, 0.75, 0.99])
     return out.select(F.col("key").alias("repo_name"), "prob", F.col("value").alias("n_chars"))
@@ -104,7 +109,7 @@ def p4_scalar(spark: SparkSession, d: str) -> DataFrame:
 
 
 def queries() -> dict:
-    out = {f.__name__: f for f in (p1_found, p1_repo_profile, p1_commit_profile, p1_fix_commit_profile, p1_length_percentiles, p4_found, p4_file, p4_object, p4_scalar)}
+    out = {f.__name__: f for f in (p1_found, p1_repo_profile, p1_commit_profile, p1_fix_commit_profile, p1_fix_commit_hash_profile, p1_length_percentiles, p4_found, p4_file, p4_object, p4_scalar)}
     return out | {name: _entity(*spec) for name, spec in P4_TABLES.items()} | {name: _linked(*spec) for name, spec in P4_LINKED.items()}
 
 

@@ -70,6 +70,15 @@ def test_shred_edges(spark):
     assert shred.found(df.limit(0)).count() == 0
 
 
+def test_fix_commits_by_hash(spark, tmp_path):
+    from codequarry.plans.pipeline_queries import queries
+
+    rows = [(1, "a"), (2, "a"), (2, "a"), (3, "b"), (4, None)]
+    spark.createDataFrame(rows, "cve_ordinal long, commit_hash string").write.parquet(f"{tmp_path}/fix_commit.parquet")
+    got = {r["commit_hash"]: (r["n_rows"], r["n_values"], r["mode"], r["mode_rows"]) for r in queries()["p1_fix_commit_hash_profile"](spark, str(tmp_path)).collect()}
+    assert got == {"a": (3, 2, 2, 2), "b": (1, 1, 3, 1), None: (1, 1, 4, 1)}
+
+
 def test_flat_tables_name_their_parents(spark, tmp_path):
     from codequarry.plans.pipeline_queries import queries
 
