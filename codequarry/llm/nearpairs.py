@@ -84,7 +84,13 @@ _SETS_ARROW = pa.schema(
 )
 
 
-def _prepare(k: int, fields: list[str]):
+def _whole(text: str) -> np.ndarray:
+    """The set of a text that has too few words for a run: one hash of all its words."""
+    words = text.encode("utf-8", "replace").translate(_LOWER).split()
+    return np.array([int.from_bytes(hashlib.blake2b(b" ".join(words), digest_size=8, key=b"short").digest(), "little")], np.uint64)
+
+
+def _prepare(k: int, fields: list[str], short: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words = _Words()
         for batch in batches:
@@ -93,6 +99,8 @@ def _prepare(k: int, fields: list[str]):
                     part = batch.slice(at, 2000)
                     rows = [(o, t) for o, t in zip(part.column(0).to_pylist(), part.column(f + 1).to_pylist()) if t is not None]
                     sets = shingle_sets([t for _, t in rows], k, words)
+                    if short:
+                        sets = [s if len(s) else _whole(t) for s, (_, t) in zip(sets, rows)]
                     keep = [i for i, s in enumerate(sets) if len(s)]
                     if not keep:
                         continue
@@ -349,7 +357,7 @@ class NearPairs:
     pair shares are split down to the last level.
     """
 
-    def __init__(self, df: DataFrame, ordinal: str, fields: list[str], k: int = 5, threshold: float = 0.8, recall: float = 0.9999, bucket: int = 500, levels: int = 3, hot_rows: int = 100_000):
+    def __init__(self, df: DataFrame, ordinal: str, fields: list[str], k: int = 5, threshold: float = 0.8, recall: float = 0.9999, bucket: int = 500, levels: int = 3, hot_rows: int = 100_000, short: bool = False):
         self.hot_rows = hot_rows
         self.spark = df.sparkSession
         self.scratch = Scratch(self.spark)
@@ -359,7 +367,7 @@ class NearPairs:
         self.seeds = _mix(np.arange(1, self.runs + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
         cols = [F.col(ordinal).cast("long").alias("ordinal"), *[F.col(f).cast("string").alias(f"t{i}") for i, f in enumerate(fields)]]
         rows = df.where(F.col(ordinal).isNotNull()).select(*cols)
-        self.sets = self.scratch.save(rows.mapInArrow(_prepare(k, fields), _SETS))
+        self.sets = self.scratch.save(rows.mapInArrow(_prepare(k, fields, short), _SETS))
         self.total = self.sets.count()
         self.pairs = self._verify(self._join(levels))
 
@@ -502,7 +510,8 @@ class NearPairs:
 def near_groups(df: DataFrame, ordinal: str, fields: list[str], k: int = 5, threshold: float = 0.8, **kw) -> DataFrame:
     """(field, ordinal, group_id, n_links): one row for each text of at least k words: its group, the texts that similar
     pairs tie together directly or through others, and the number of other different texts that it is similar to. Equal
-    texts are one to the links and share their group, so copies are not expanded into pairs."""
+    texts are one to the links and share their group, so copies are not expanded into pairs. With short, texts of fewer
+    words have a row too, in the group of those with the same words."""
     n = NearPairs(df, ordinal, fields, k, threshold, **kw)
     links = n.scratch.save(n.pairs.select("a", "b").unionByName(n.pairs.select(F.col("b").alias("a"), F.col("a").alias("b"))).groupBy("a").agg(F.count(F.lit(1)).alias("n_links")))
     group = components(n.pairs.select("a", "b"), n.scratch)

@@ -77,7 +77,7 @@ def p6_found(spark: SparkSession, d: str) -> DataFrame:
 
 def p6_groups(spark: SparkSession, d: str) -> DataFrame:
     """Groups at the usual five words and 0.8."""
-    return nearpairs.near_groups(table(spark, d, "func"), "ordinal", ["func", "func_before"])
+    return nearpairs.near_groups(table(spark, d, "func"), "ordinal", ["func", "func_before"], short=True)
 
 
 def p7_found(spark: SparkSession, d: str) -> DataFrame:

@@ -260,6 +260,16 @@ def test_near_groups(spark):
     assert [out[i][1] for i in (0, 2, 3, 4)] == [1, 2, 1, 0]  # 50 of 66 runs are too few between the ends
 
 
+def test_groups_of_short_texts(spark, tmp_path):
+    from codequarry.llm import queries
+
+    texts = ["too few", "TOO, few", "other few words", "", " ;", None, "a b c d e f"]
+    spark.createDataFrame([(i, t, None) for i, t in enumerate(texts)], "ordinal long, func string, func_before string").write.parquet(f"{tmp_path}/func.parquet")
+    out = {r["ordinal"]: (r["group_id"], r["n_links"]) for r in queries.p6_groups(spark, str(tmp_path)).collect()}
+    assert set(out) == {0, 1, 2, 3, 4, 6} and all(n == 0 for _, n in out.values())
+    assert out[0] == out[1] and out[3] == out[4] and len({g for g, _ in out.values()}) == 4
+
+
 def test_sketch_never_loses():
     rng = np.random.default_rng(3)
     for _ in range(50):
