@@ -10,8 +10,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# Declaration specifiers of C, C++ and Java whose order at the head of a function carries no meaning.
-SPECIFIERS = "abstract const constexpr consteval constinit default explicit extern final friend inline __inline __inline__ native private protected public register static strictfp synchronized thread_local transient typedef virtual volatile _Noreturn _Thread_local __always_inline noinline".split()
+# Declaration specifiers of C, C++ and Java, in lower case, whose order at the head of a function carries no
+# meaning.
+SPECIFIERS = "abstract const constexpr consteval constinit default explicit extern final friend inline __inline __inline__ native private protected public register static strictfp synchronized thread_local transient typedef virtual volatile _noreturn _thread_local __always_inline noinline".split()
 
 _HEAD = re.compile(r"((?:\s+|//[^\n]*|/\*.*?\*/)*)((?:(?:" + "|".join(SPECIFIERS) + r")\b\s*){2,})", re.S)
 _NAMED = re.compile(r"\{\s*(?:(?://[^\n]*|/\*.*?\*/)\s*)*\.\s*\w+\s*=", re.S)
@@ -27,20 +28,24 @@ def letters_digits(text: str) -> bytes:
     return "".join(ch for ch in low if ch.isalnum()).encode("utf-8", "replace")
 
 
-def _initialiser(text: str, start: int) -> tuple[str, int]:
-    """The braced list that opens at start, with its named members in a fixed order, and the place behind it."""
-    parts: list[str] = []
+def _ordered(text: str) -> str:
+    """text with the named members of every braced initialiser, nested ones too, in a fixed order. A list that is not
+    closed leaves the text behind its brace as it is."""
+    open_: list[tuple[list[str], list[str] | None, int, int]] = []
     out: list[str] = []
-    depth, at, pos = 0, start + 1, start + 1
+    parts: list[str] | None = None  # the members of the innermost open initialiser
+    depth, at, pos = 0, 0, 0
     while m := _SCAN.search(text, pos):
         pos = m.end()
         c = m.group(2)
         if c is None:
             continue
         if c == "{" and _NAMED.match(text, m.start()):
-            inner, pos = _initialiser(text, m.start())
-            out.append(text[at : m.start()] + inner)
-            at = pos
+            out.append(text[at : m.start()])
+            open_.append((out, parts, depth, m.start()))
+            out, parts, depth, at = [], [], 0, pos
+        elif parts is None:
+            continue
         elif c in "{([":
             depth += 1
         elif c in "])" or (c == "}" and depth):
@@ -49,30 +54,25 @@ def _initialiser(text: str, start: int) -> tuple[str, int]:
             parts.append("".join(out) + text[at : m.start()])
             out, at = [], pos
             if c == "}":
-                break
-    else:  # not closed: leave the text as it is
-        return text[start:], len(text)
-    last = parts[-1].strip() == ""
-    members = parts[:-1] if last else parts
-    if members and all(_MEMBER.match(p) for p in members):
-        members.sort(key=letters_digits)
-    return "{" + ",".join(members) + "}", pos
+                members = parts[:-1] if parts[-1].strip() == "" else parts
+                if members and all(_MEMBER.match(p) for p in members):
+                    members.sort(key=letters_digits)
+                out, parts, depth, _ = open_.pop()
+                out.append("{" + ",".join(members) + "}")
+    if open_:
+        out, _, _, at = open_[0]
+    return "".join(out) + text[at:]
 
 
 def canonical(text: str) -> bytes:
     """Letters and digits, lower-cased, after leading specifiers and named members of braced initialisers are put in a
-    fixed order. Strings and comments count as they are written."""
+    fixed order. Case is folded first, so that a specifier in capitals is one too. Strings and comments count as they
+    are written."""
+    text = text.lower()
     if (m := _HEAD.match(text)) is not None:
         text = m.group(1) + " ".join(sorted(m.group(2).split())) + " " + text[m.end() :]
     if "{" in text and _NAMED.search(text):
-        out, at, pos = [], 0, 0
-        while m := _SCAN.search(text, pos):
-            pos = m.end()
-            if m.group(2) == "{" and _NAMED.match(text, m.start()):
-                inner, pos = _initialiser(text, m.start())
-                out.append(text[at : m.start()] + inner)
-                at = pos
-        text = "".join(out) + text[at:]
+        text = _ordered(text)
     return letters_digits(text)
 
 
