@@ -115,30 +115,30 @@ def drop_equal_commits(ds: Dataset) -> Dataset:
     Equal: the same non-empty message; or the same set of paths and, file by file and function by function in order (what
     has no partner is not looked at), as many vulnerable functions with equal texts or equal changed lines.
     """
-    text_key = F.xxhash64("func_before", "func")
-    lines_key = F.xxhash64("diff_line_info.deleted_lines", "diff_line_info.added_lines")
-    vul = ds.func.where("is_vul").groupBy("file_ordinal").agg(
-        F.transform(F.array_sort(F.collect_list(F.struct("ordinal", text_key.alias("t"), lines_key.alias("l")))), lambda x: F.struct(x["t"].alias("t"), x["l"].alias("l"))).alias("v")
-    )
-    empty = F.expr("cast(array() as array<struct<t:bigint,l:bigint>>)")
+    # two hashes of a list do not depend on how it is gathered: each element is hashed with its place, and all are xored
+    both = lambda *c: F.struct(F.coalesce(F.bit_xor(F.xxhash64(*c)), F.lit(0)).alias("x"), F.coalesce(F.bit_xor(F.xxhash64(F.lit(1), *c)), F.lit(0)).alias("y"))
+    place = F.row_number().over(Window.partitionBy("file_ordinal").orderBy("ordinal"))
+    lines = (F.col("diff_line_info.deleted_lines"), F.col("diff_line_info.added_lines"))
+    vul = ds.func.where("is_vul").select("file_ordinal", "ordinal", F.xxhash64("func_before", "func").alias("t"), F.xxhash64(*lines).alias("l")).withColumn("i", place)
+    vul = vul.groupBy("file_ordinal").agg(F.count(F.lit(1)).alias("n"), both("i", "t").alias("texts"), both("i", "l").alias("lines"))
     files = ds.file.select(F.col("ordinal").alias("file_ordinal"), "commit_ordinal", "file_path").join(vul, "file_ordinal", "left")
-    per = files.groupBy("commit_ordinal").agg(
-        F.array_sort(F.collect_set("file_path")).alias("paths"),
-        F.transform(F.array_sort(F.collect_list(F.struct("file_ordinal", F.coalesce("v", empty).alias("v")))), lambda x: x["v"]).alias("files"),
-    )
-    commits = ds.commit.select("cve_ordinal", "ordinal", "commit_msg").join(per, F.col("ordinal") == F.col("commit_ordinal"), "left")
-    w = Window.partitionBy("cve_ordinal").orderBy("ordinal")  # a CVE has a bounded number of commits
-    prev = lambda c: F.lag(c).over(w)
-    with_prev = commits.select("cve_ordinal", "ordinal", "commit_msg", "paths", "files", prev("ordinal").alias("po"), prev("commit_msg").alias("pm"), prev("paths").alias("pp"), prev("files").alias("pf"))
-    same_msg = (F.col("commit_msg") == F.col("pm")) & (F.length("commit_msg") > 0)
-    n_files = F.least(F.size("files"), F.size("pf"))
-    pairs = F.arrays_zip(F.slice("files", 1, F.greatest(n_files, F.lit(0))).alias("a"), F.slice("pf", 1, F.greatest(n_files, F.lit(0))).alias("b"))
-    # files zip: lengths differ, or any position where neither texts nor lines are equal throughout
-    func_ok = lambda z: F.forall(F.arrays_zip(z["a"]["t"].alias("x"), z["b"]["t"].alias("y")), lambda q: q["x"] == q["y"]) | F.forall(F.arrays_zip(z["a"]["l"].alias("x"), z["b"]["l"].alias("y")), lambda q: q["x"] == q["y"])
-    file_ok = F.forall(pairs, lambda z: (F.size(z["a"]) == F.size(z["b"])) & func_ok(z))
-    equal = F.col("po").isNull() | F.coalesce(same_msg, F.lit(False)) | F.coalesce((F.col("paths") == F.col("pp")) & file_ok, F.lit(False))
-    all_equal = with_prev.groupBy("cve_ordinal").agg(F.bool_and(equal).alias("same"), F.count(F.lit(1)).alias("n"), F.min("ordinal").alias("first")).where("same AND n > 1")
-    gone = commits.select("cve_ordinal", "ordinal").join(all_equal.select("cve_ordinal", "first"), "cve_ordinal").where("ordinal <> first")
+    files = files.withColumn("at", F.row_number().over(Window.partitionBy("commit_ordinal").orderBy("file_ordinal")))
+    none = F.struct(F.lit(0).cast("long").alias("x"), F.lit(0).cast("long").alias("y"))
+    files = files.select("commit_ordinal", "at", "file_path", F.coalesce("n", F.lit(0)).alias("n"), F.coalesce("texts", none).alias("texts"), F.coalesce("lines", none).alias("lines"))
+    path = F.when(F.col("file_path").isNotNull(), F.xxhash64("file_path"))
+    names = files.select("commit_ordinal", "file_path").distinct().groupBy("commit_ordinal").agg(F.struct(F.count("file_path").alias("k"), both(path).alias("h")).alias("paths"))
+    w = Window.partitionBy("cve_ordinal").orderBy("ordinal")
+    steps = ds.commit.select("cve_ordinal", "ordinal", "commit_msg", F.lag("ordinal").over(w).alias("po"), F.lag("commit_msg").over(w).alias("pm"))
+    steps = steps.select("cve_ordinal", "ordinal", "po", F.coalesce((F.col("commit_msg") == F.col("pm")) & (F.length("commit_msg") > 0), F.lit(False)).alias("same_message"))
+    here = files.select(F.col("commit_ordinal").alias("ordinal"), "at", "n", "texts", "lines")
+    there = files.select(F.col("commit_ordinal").alias("po"), "at", F.col("n").alias("n_"), F.col("texts").alias("texts_"), F.col("lines").alias("lines_"))
+    met = steps.where("po IS NOT NULL").select("ordinal", "po").join(here, "ordinal").join(there, ["po", "at"])
+    odd = met.where("NOT (n = n_ AND (texts = texts_ OR lines = lines_))").select("ordinal", F.lit(True).alias("odd")).distinct()
+    compared = steps.join(names.withColumnRenamed("commit_ordinal", "ordinal"), "ordinal", "left")
+    compared = compared.join(names.select(F.col("commit_ordinal").alias("po"), F.col("paths").alias("paths_")), "po", "left").join(odd, "ordinal", "left")
+    equal = F.col("po").isNull() | F.col("same_message") | (F.coalesce(F.col("paths") == F.col("paths_"), F.lit(False)) & F.col("odd").isNull())
+    all_equal = compared.groupBy("cve_ordinal").agg(F.bool_and(equal).alias("same"), F.count(F.lit(1)).alias("n"), F.min("ordinal").alias("first")).where("same AND n > 1")
+    gone = steps.select("cve_ordinal", "ordinal").join(all_equal.select("cve_ordinal", "first"), "cve_ordinal").where("ordinal <> first")
     return ds.with_(commit=semi(ds.commit, gone, "ordinal", "ordinal", "left_anti")).prune_down()
 
 

@@ -7,10 +7,11 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+# The shares of which quantiles are asked.
 PROBES = [0.1, 0.2, 0.3, 0.4, 0.5, 0.6, 0.7, 0.8, 0.9, 0.95, 0.96, 0.97, 0.98, 0.99]
 
-# Weaknesses of memory safety.
-MEMORY_CWES = ["CWE-119", "CWE-120", "CWE-125", "CWE-416", "CWE-415", "CWE-476", "CWE-787"]
+# Weaknesses that count as memory-related.
+MEMORY_CWES = ["CWE-119", "CWE-125", "CWE-787", "CWE-476", "CWE-20", "CWE-416", "CWE-190"]
 
 
 def repo_metrics(flat: DataFrame) -> DataFrame:
@@ -93,9 +94,9 @@ def describe(df: DataFrame, value: str) -> DataFrame:
 
 
 def memory_share(cve: DataFrame, cwes: Sequence[str] = MEMORY_CWES) -> DataFrame:
-    """CVE rows with a memory-related weakness, all rows, and their quotient."""
-    hit = F.coalesce(F.exists("cwe_ids", lambda c: c.isin(*cwes)), F.lit(False))
-    return cve.agg(F.count_if(hit).alias("n_memory"), F.count(F.lit(1)).alias("n")).withColumn("share", F.col("n_memory") / F.col("n"))
+    """Memory-related weaknesses named by all CVEs, all weaknesses that they name, and their quotient."""
+    named = cve.select(F.explode("cwe_ids").alias("cwe"))
+    return named.agg(F.count_if(F.col("cwe").isin(*cwes)).alias("n_memory"), F.count(F.lit(1)).alias("n")).withColumn("share", F.col("n_memory") / F.col("n"))
 
 
 def treemap(counts: DataFrame, n: str) -> DataFrame:

@@ -98,6 +98,11 @@ def year_repo_matrix(spark, d):
     return statistics.long_matrix(rows, "year", "repo_name", 10, 2)
 
 
+def year_repo_matrix_20(spark, d):
+    rows = _dated(spark, d).select(F.col("ordinal").alias("cve_ordinal"), "year").join(table(spark, d, "fix_commit").select("cve_ordinal", "repo_name"), "cve_ordinal")
+    return statistics.long_matrix(rows, "year", "repo_name", 10, 20)
+
+
 def year_cwe_matrix(spark, d):
     rows = _dated(spark, d).select("year", F.explode("cwe_ids").alias("cwe")).where("cwe <> 'CWE-Other'")
     return statistics.long_matrix(rows, "year", "cwe", 10)
@@ -200,13 +205,15 @@ FILTERS = {
     "filter_non_vul_seen_vul": _kept(curation.drop_non_vul_seen_vul),
     "filter_test_functions": _kept(curation.drop_test_functions),
     "filter_long_non_vul": _kept(curation.drop_long_non_vul, most_lines=30),
+    "filter_long_non_vul_120": _kept(curation.drop_long_non_vul),
+    "filter_long_vul_800": _kept(curation.drop_long_vul),
     "filter_long_vul": _kept(curation.drop_long_vul, most_lines=40),
     "filter_latest_non_vul": _kept(curation.keep_latest_non_vul),
 }
 
 QUERIES = [
     flat_rows, simple_rows, chain_counts, multi_cve_cwes, repo_types, accepted_files, within_cve_dedup, function_matches, changed_line_counts,
-    diff_counts, repo_metrics, top_repos, top_cwes, year_repo_matrix, year_cwe_matrix, severity_pivot, repo_cwe_stack, cwe_top_repos,
+    diff_counts, repo_metrics, top_repos, top_cwes, year_repo_matrix, year_repo_matrix_20, year_cwe_matrix, severity_pivot, repo_cwe_stack, cwe_top_repos,
     monthly_counts, line_quantiles, line_sigma, line_sigma3, line_describe, lines_per_file, memory_share, dataset_totals, graph_success,
     both_sides_graphs, hosts, single_repo_years, repo_treemap, merged_names, comment_free, file_names,
 ]
@@ -225,20 +232,82 @@ PART = "lower(split_part(p, '.', 1))"
 IS_TEST = f"""CASE WHEN lower(split_part(string_split(file_path, '/')[-1], '.', -1)) = 'java' THEN split_part(string_split(file_path, '/')[-1], '.', 1) LIKE '%Test'
     ELSE len(list_filter(string_split(file_path, '/'), lambda p: {PART} IN ('test', 'tests', 'testing', 'testsuite')
          OR ({PART} LIKE '%\\_%' ESCAPE '\\' AND {PART} LIKE '%test%') OR ({PART} LIKE '%-%' AND {PART} LIKE '%test%'))) > 0 END"""
-TEST_FUNC = "(" + " OR ".join(f"starts_with(split_part(func_name, '::', -1), '{p}')" for p in paths.TEST_PREFIXES) + " OR split_part(func_name, '::', -1) LIKE '%test')"
+TEST_FUNC = r"""(regexp_matches(split_part(func_name, '::', -1), '^(START_TEST|TEST|DEF_TEST|IN_PROC_BROWSER_TEST|BOOST_AUTO_TEST_CASE|DROGON_TEST|test|assert)')
+    OR split_part(func_name, '::', -1) LIKE '%test')"""
 DATED = "dated AS (SELECT *, year(publish_date::TIMESTAMP) AS year, month(publish_date::TIMESTAMP) AS month FROM cve)"
 MERGED = """(CASE (CASE WHEN len(string_split(replace(repo_name, '.git', ''), '/')) = 2 AND split_part(replace(repo_name, '.git', ''), '/', 1) = split_part(replace(repo_name, '.git', ''), '/', 2)
     THEN split_part(replace(repo_name, '.git', ''), '/', 1) ELSE replace(repo_name, '.git', '') END)
-    """ + " ".join(f"WHEN '{a}' THEN '{b}'" for a, b in paths.ALIASES.items()) + """ ELSE (CASE WHEN len(string_split(replace(repo_name, '.git', ''), '/')) = 2 AND split_part(replace(repo_name, '.git', ''), '/', 1) = split_part(replace(repo_name, '.git', ''), '/', 2)
+    WHEN 'kernel/git/torvalds/linux' THEN 'torvalds/linux' WHEN 'kernel/git/stable/linux' THEN 'torvalds/linux' WHEN 'kernel/git/next/linux-next' THEN 'torvalds/linux' WHEN 'FFmpeg' THEN 'ffmpeg' ELSE (CASE WHEN len(string_split(replace(repo_name, '.git', ''), '/')) = 2 AND split_part(replace(repo_name, '.git', ''), '/', 1) = split_part(replace(repo_name, '.git', ''), '/', 2)
     THEN split_part(replace(repo_name, '.git', ''), '/', 1) ELSE replace(repo_name, '.git', '') END) END)"""
 
 
+PROBES = "[0.1, 0.2, 0.3, 0.4, 0.5, 0.6, 0.7, 0.8, 0.9, 0.95, 0.96, 0.97, 0.98, 0.99]::DOUBLE[]"
+
+
 def _vul_files(condition: str) -> str:
     """Functions left by a filter on functions, in files that keep a vulnerable one."""
     return f"""WITH {ROWS}, k AS (SELECT * FROM rows WHERE NOT coalesce({condition}, false))
         SELECT ordinal FROM k WHERE file_ordinal IN (SELECT file_ordinal FROM k WHERE is_vul)"""
 
 
+#: Commits to drop as all equal, over tables {m}, {c} and {f}.
+EQUAL = """WITH fv AS (SELECT file_ordinal, list(to_json([func_before, func]) ORDER BY ordinal) AS t, list(to_json([diff_line_info.deleted_lines, diff_line_info.added_lines]) ORDER BY ordinal) AS l FROM {f} WHERE is_vul GROUP BY 1),
+    cv AS (SELECT commit_ordinal, list_sort(list_distinct(list(file_path))) AS p, list(struct_pack(t := coalesce(t, []), l := coalesce(l, [])) ORDER BY c.ordinal) AS x FROM {c} c LEFT JOIN fv ON fv.file_ordinal = c.ordinal GROUP BY 1),
+    st AS (SELECT m.cve_ordinal, m.ordinal, commit_msg, p, x, lag(m.ordinal) OVER w AS po, lag(commit_msg) OVER w AS pm, lag(p) OVER w AS pp, lag(x) OVER w AS px FROM {m} m LEFT JOIN cv ON cv.commit_ordinal = m.ordinal WINDOW w AS (PARTITION BY m.cve_ordinal ORDER BY m.ordinal)),
+    eq AS (SELECT *, po IS NULL OR coalesce(commit_msg = pm AND length(commit_msg) > 0, false) OR coalesce(p = pp, false)
+        AND len(list_filter(range(1, least(len(x), len(px)) + 1), lambda i: NOT (len(x[i].t) = len(px[i].t) AND (x[i].t = px[i].t OR x[i].l = px[i].l)))) = 0 AS same FROM st),
+    al AS (SELECT cve_ordinal, min(ordinal) AS first FROM eq GROUP BY 1 HAVING bool_and(same) AND count(*) > 1)
+    SELECT ordinal FROM eq JOIN al USING (cve_ordinal) WHERE ordinal <> first"""
+
+
+def _chain_sql() -> dict[str, str]:
+    """The whole chain, a stage's tables of CVEs, commits, files and functions behind the other."""
+    rows = "(SELECT f.*, c.file_path, c.commit_ordinal, c.language, m.cve_ordinal, m.repo_name AS repo, m.commit_date FROM {f} f JOIN {c} c ON c.ordinal = f.file_ordinal JOIN {m} m ON m.ordinal = c.commit_ordinal)"
+    changed = "coalesce(len(diff_line_info.deleted_lines), 0) + coalesce(len(diff_line_info.added_lines), 0)"
+    ctes: list[str] = []
+    now = {"v": "cve", "m": "fix_commit", "c": "commit_file", "f": "func"}
+
+    def step(**tables: str) -> None:
+        k = len(ctes)
+        for t, sql in tables.items():
+            name = f"{t}{k}"
+            ctes.append(f"{name} AS MATERIALIZED ({sql.format(**now)})")
+            now[t] = name
+
+    def down() -> None:
+        step(m="SELECT * FROM {m} WHERE cve_ordinal IN (SELECT ordinal FROM {v})", c="SELECT * FROM {c} WHERE commit_ordinal IN (SELECT ordinal FROM {m})", f="SELECT * FROM {f} WHERE file_ordinal IN (SELECT ordinal FROM {c})")
+
+    def local(condition: str) -> None:
+        step(f=f"SELECT r.* EXCLUDE (file_path, commit_ordinal, language, cve_ordinal, repo, commit_date) FROM {rows} r WHERE NOT coalesce({condition}, false)")
+        step(c="SELECT * FROM {c} WHERE ordinal IN (SELECT file_ordinal FROM {f} WHERE is_vul)")
+        step(m="SELECT * FROM {m} WHERE ordinal IN (SELECT commit_ordinal FROM {c})", v="SELECT * FROM {v} WHERE ordinal IN (SELECT cve_ordinal FROM {m})", f="SELECT * FROM {f} WHERE file_ordinal IN (SELECT ordinal FROM {c})")
+
+    step(c=f"SELECT * FROM {{c}} WHERE NOT coalesce({IS_TEST}, false)", f="SELECT * FROM {f} WHERE file_ordinal IN (SELECT ordinal FROM {c})", m="SELECT * FROM {m} WHERE ordinal IN (SELECT commit_ordinal FROM {c})", v="SELECT * FROM {v} WHERE ordinal IN (SELECT cve_ordinal FROM {m})")
+    step(m=f"""SELECT * FROM {{m}} WHERE (cve_ordinal, coalesce(repo_name, chr(1))) NOT IN (SELECT (m.cve_ordinal, coalesce(m.repo_name, chr(1))) FROM {{m}} m
+        LEFT JOIN (SELECT c.commit_ordinal, sum({changed}) AS n FROM {{f}} f JOIN {{c}} c ON c.ordinal = f.file_ordinal WHERE is_vul GROUP BY 1) s ON s.commit_ordinal = m.ordinal
+        GROUP BY m.cve_ordinal, m.repo_name HAVING count(*) > 3 OR max(coalesce(n, 0)) > 110)""")
+    down()
+    step(m="SELECT * FROM {m} WHERE ordinal IN (SELECT arg_min(ordinal, (cve_ordinal, ordinal)) FROM {m} GROUP BY repo_name, commit_hash)", v="SELECT * FROM {v} WHERE ordinal IN (SELECT cve_ordinal FROM {m})")
+    down()
+    step(m=f"SELECT * FROM {{m}} WHERE ordinal NOT IN ({EQUAL})")
+    down()
+    spread = "(SELECT cve_ordinal, file_path, count(DISTINCT m.ordinal) AS k, min(m.ordinal) AS first FROM {c} c JOIN {m} m ON m.ordinal = c.commit_ordinal GROUP BY 1, 2 HAVING k > 1)"
+    non = f"(SELECT r.ordinal, r.cve_ordinal, r.file_path, func_name, sig, commit_ordinal, k, first FROM {rows} r JOIN {spread} s USING (cve_ordinal, file_path) WHERE NOT is_vul)"
+    step(f=f"""SELECT * FROM {{f}} WHERE ordinal NOT IN (SELECT unnest(list(ordinal) FILTER (WHERE commit_ordinal <> first)) FROM {non} GROUP BY cve_ordinal, file_path, func_name, sig HAVING count(DISTINCT commit_ordinal) = max(k))""")
+    step(f=f"""SELECT * FROM {{f}} WHERE is_vul OR ordinal IN (SELECT min(ordinal) FROM {rows} WHERE NOT is_vul GROUP BY repo, file_path, func_name, sig, func)""")
+    step(f=f"""SELECT r.* EXCLUDE (file_path, commit_ordinal, language, cve_ordinal, repo, commit_date) FROM {rows} r WHERE is_vul OR NOT EXISTS (SELECT 1 FROM {rows} v WHERE v.is_vul AND v.repo IS NOT DISTINCT FROM r.repo
+        AND v.file_path IS NOT DISTINCT FROM r.file_path AND v.func_name IS NOT DISTINCT FROM r.func_name AND v.sig_before IS NOT DISTINCT FROM r.sig)""")
+    local(f"({TEST_FUNC}) AND lower(coalesce(language, '')) <> 'java'")
+    local(f"NOT is_vul AND {LINES} > 120")
+    local(f"is_vul AND {LINES} > 800")
+    counts = """SELECT (SELECT count(*) FROM {v}) AS n_cve, (SELECT count(*) FROM {m}) AS n_commit, (SELECT count(DISTINCT repo_name) FROM {m}) AS n_repo, (SELECT count(*) FROM {c}) AS n_file,
+        (SELECT count(*) FROM {f} WHERE is_vul) AS n_vul, (SELECT count(*) FROM {f} WHERE NOT is_vul) AS n_non_vul""".format(**now)
+    return {
+        "filter_equal_commits": f"WITH {ROWS}, gone AS ({EQUAL.format(m='fix_commit', c='commit_file', f='func')}) SELECT ordinal FROM rows WHERE cve_ordinal IN (SELECT ordinal FROM cve) AND commit_ordinal NOT IN (SELECT ordinal FROM gone)",
+        "curate_chain_counts": f"WITH {', '.join(ctes)} {counts}",
+    }
+
+
 def _kind(c: str, cpp: str) -> str:
     return f"CASE WHEN {cpp} AND NOT {c} THEN 'cpp' WHEN {c} AND NOT {cpp} THEN 'c' ELSE 'mix' END"
 
@@ -246,7 +315,6 @@ def _kind(c: str, cpp: str) -> str:
 def oracle_sql() -> dict[str, str]:
     has = lambda exts: f"len(list_filter(raw_file_paths, lambda p: list_contains({exts!r}, lower(split_part(p, '.', -1))))) > 0"
     cwe_rows = "r AS (SELECT repo_name, unnest(cwe_ids) AS cwe FROM fix_commit m JOIN cve v ON v.ordinal = m.cve_ordinal WHERE repo_name IS NOT NULL)"
-    probes = ", ".join(f"({p}::DOUBLE)" for p in statistics.PROBES)
     out = {
         "filter_test_files": f"WITH {ROWS} SELECT ordinal FROM rows WHERE NOT coalesce({IS_TEST}, false)",
         "filter_large_changes": f"""WITH {ROWS}, s AS (SELECT commit_ordinal, sum(coalesce(len(diff_line_info.deleted_lines), 0) + coalesce(len(diff_line_info.added_lines), 0)) AS n FROM rows WHERE is_vul GROUP BY 1),
@@ -268,6 +336,12 @@ def oracle_sql() -> dict[str, str]:
             AND v.file_path IS NOT DISTINCT FROM r.file_path AND v.func_name IS NOT DISTINCT FROM r.func_name AND v.sig_before IS NOT DISTINCT FROM r.sig)""",
         "filter_test_functions": _vul_files(f"({TEST_FUNC}) AND lower(coalesce(language, '')) <> 'java'"),
         "filter_long_non_vul": _vul_files(f"NOT is_vul AND {LINES} > 30"),
+        "filter_long_non_vul_120": _vul_files(f"NOT is_vul AND {LINES} > 120"),
+        "filter_long_vul_800": _vul_files(f"is_vul AND {LINES} > 800"),
+        "curate_year_repo_matrix_20": f"""WITH {DATED}, r AS (SELECT d.year, m.repo_name FROM dated d JOIN fix_commit m ON m.cve_ordinal = d.ordinal WHERE d.year IS NOT NULL AND repo_name IS NOT NULL),
+            t AS (SELECT repo_name FROM r GROUP BY 1 ORDER BY count(*) DESC, repo_name LIMIT 10),
+            l AS (SELECT year, CASE WHEN repo_name IN (SELECT * FROM t) THEN repo_name ELSE 'Other' END AS label, count(*) AS n FROM r GROUP BY 1, 2)
+            SELECT * FROM l WHERE year IN (SELECT year FROM l GROUP BY 1 HAVING sum(n) > 20)""",
         "filter_long_vul": _vul_files(f"is_vul AND {LINES} > 40"),
         "filter_latest_non_vul": f"""WITH {ROWS}, k AS (SELECT ordinal, is_vul, commit_date, max(commit_date) OVER (PARTITION BY repo, file_path) AS m FROM rows)
             SELECT ordinal FROM k WHERE is_vul OR commit_date = m""",
@@ -302,12 +376,13 @@ def oracle_sql() -> dict[str, str]:
         "curate_cwe_top_repos": f"""WITH {cwe_rows}, c AS (SELECT cwe, repo_name, count(*) AS n FROM r GROUP BY 1, 2), k AS (SELECT *, row_number() OVER (PARTITION BY cwe ORDER BY n DESC, repo_name) AS rn FROM c)
             SELECT cwe, CASE WHEN rn <= 5 THEN repo_name ELSE 'Other' END AS repo_name, sum(n)::BIGINT AS n FROM k GROUP BY 1, 2""",
         "curate_monthly_counts": f"WITH {DATED} SELECT year, month, count(*) AS n FROM dated WHERE year IS NOT NULL GROUP BY ROLLUP (year, month)",
-        "curate_line_quantiles": f"SELECT p AS probe, (SELECT quantile_cont({LINES}, ARRAY[{', '.join(map(str, statistics.PROBES))}]::DOUBLE[]) FROM func)[i] AS value FROM (SELECT unnest([{', '.join(map(str, statistics.PROBES))}]::DOUBLE[]) AS p, unnest(range(1, {len(statistics.PROBES) + 1})) AS i)",
+        "curate_line_quantiles": f"""SELECT p AS probe, (SELECT quantile_cont({LINES}, {PROBES}) FROM func)[i] AS value FROM (SELECT unnest({PROBES}) AS p, unnest(range(1, 15)) AS i)""",
         "curate_line_sigma": f"SELECT trunc(avg(n) - 2 * stddev_samp(n))::BIGINT AS lower, trunc(avg(n) + 2 * stddev_samp(n))::BIGINT AS upper FROM (SELECT {LINES} AS n FROM func)",
         "curate_line_sigma3": f"SELECT trunc(avg(n) - 3 * stddev_samp(n))::BIGINT AS lower, trunc(avg(n) + 3 * stddev_samp(n))::BIGINT AS upper FROM (SELECT {LINES} AS n FROM func)",
         "curate_line_describe": f"""SELECT count(n) AS count, avg(n) AS mean, stddev_samp(n) AS std, min(n)::INTEGER AS min, quantile_cont(n, 0.25) AS q25, quantile_cont(n, 0.5) AS q50, quantile_cont(n, 0.75) AS q75, max(n)::INTEGER AS max FROM (SELECT {LINES} AS n FROM func)""",
         "curate_lines_per_file": f"SELECT file_ordinal, sum({LINES})::BIGINT AS n_lines FROM func GROUP BY 1",
-        "curate_memory_share": f"SELECT count(*) FILTER (WHERE list_has_any(cwe_ids, {statistics.MEMORY_CWES!r})) AS n_memory, count(*) AS n, n_memory / n AS share FROM cve",
+        "curate_memory_share": """SELECT count(*) FILTER (WHERE c IN ('CWE-20', 'CWE-119', 'CWE-125', 'CWE-190', 'CWE-416', 'CWE-476', 'CWE-787')) AS n_memory, count(*) AS n, n_memory / n AS share
+            FROM (SELECT unnest(cwe_ids) AS c FROM cve)""",
         "curate_dataset_totals": f"""WITH {FLAT} SELECT count(DISTINCT repo_name) AS n_repo, count(DISTINCT cve_id) AS n_cve, count(DISTINCT (repo_name, commit_hash)) FILTER (WHERE repo_name IS NOT NULL) AS n_commit,
             count(*) FILTER (WHERE is_vul) AS n_vul, count(*) FILTER (WHERE NOT is_vul) AS n_non_vul, (SELECT count(DISTINCT c) FROM (SELECT unnest(cwe_ids) AS c FROM flat)) AS n_cwe FROM flat""",
         "curate_graph_success": "SELECT avg((graph_path IS NOT NULL)::INT) * 100 AS percent, avg(CASE WHEN is_vul THEN (graph_path IS NOT NULL AND graph_path_before IS NOT NULL)::INT END) * 100 AS percent_vul FROM func",
@@ -319,5 +394,5 @@ def oracle_sql() -> dict[str, str]:
         "curate_file_names": f"SELECT ordinal, split_part(file_path, '/', -1) AS base, lower(regexp_extract(file_path, '\\.([^./]+)$', 1)) AS ext, coalesce({IS_TEST}, false) AS is_test FROM commit_file",
         "curate_comment_free": r"""SELECT ordinal, md5(regexp_replace(func, '("(?:\\.|[^"\\])*"|''(?:\\.|[^''\\])*'')|/\*(?:[^*]|\*+[^*/])*\*+/|//[^\n]*', '\1', 'g')) AS digest FROM func""",
     }
-    del probes
+    out |= _chain_sql()
     return out

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import atexit
+import re
 import shutil
 import tempfile
 import uuid
@@ -55,9 +56,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def scratch_root(spark: SparkSession) -> str:
-    """The cluster's spark.checkpoint.dir; only where it is unset, a folder of this process."""
+    """The cluster's spark.checkpoint.dir. Where it is unset, a folder of this process, if the session runs in this
+    process alone; on a cluster, whose executors would each write to a disk of their own, it is an error."""
     root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if not root:
+        if not re.fullmatch(r"local(\[[^\]]*\])?", spark.sparkContext.master):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         root = "file://" + tempfile.mkdtemp(prefix="codequarry-")
         spark.conf.set("spark.checkpoint.dir", root)
         atexit.register(shutil.rmtree, root.removeprefix("file://"), ignore_errors=True)
@@ -75,7 +79,6 @@ class Scratch:
         ship(spark)
         self.spark, self.root = spark, f"{scratch_root(spark)}/codequarry-{uuid.uuid4().hex}"
         self.n = 0
-        self.paths: dict[int, str] = {}
         _open.append(self)
 
     def save(self, df: DataFrame) -> DataFrame:
@@ -83,12 +86,12 @@ class Scratch:
         path = f"{self.root}/t{self.n}"
         df.write.parquet(path)
         out = self.spark.read.schema(df.schema).parquet(path)
-        self.paths[id(out)] = path
+        out.__dict__["_scratch_path"] = path
         return out
 
     def drop(self, *dfs: DataFrame | None) -> None:
         for df in dfs:
-            if df is not None and (path := self.paths.pop(id(df), None)):
+            if df is not None and (path := df.__dict__.pop("_scratch_path", None)):
                 self._delete(path)
 
     def _delete(self, path: str) -> None:

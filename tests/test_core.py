@@ -4,6 +4,8 @@ import random
 from collections import Counter, defaultdict
 
 import pytest
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from codequarry import session
@@ -190,3 +192,35 @@ def test_statistics_small(spark):
     assert got == {(2000, "a"): 2, (2000, "Other"): 1, (2001, "Other"): 1}
     st = {(r["y"], r["l"]): r["offset"] for r in statistics.stacked(df.where("y = 2000"), "y", "l").collect()}
     assert st == {(2000, "a"): 0, (2000, "b"): 2}
+
+
+@settings(max_examples=12, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(st.lists(st.tuples(st.integers(0, 3), st.sampled_from([0, 1, 2, 255, 256, 65536, 2**40, 2**40 + 1, -1, -(2**63), 2**63 - 1]), st.integers(0, 5)), min_size=1, max_size=60), st.integers(1, 8))
+def test_cutoffs_against_sorting(spark, rows, need):
+    import pandas as pd
+
+    pdf = pd.DataFrame(rows, columns=["k", "a", "b"])
+    df = spark.createDataFrame(pdf).select("k", radix.ascending_long(F.col("a")).alias("c0"), radix.ascending_long(F.col("b")).alias("c1"), "a", "b")
+    sizes = pdf.groupby("k").size()
+    ranks = spark.createDataFrame(pd.DataFrame({"k": sizes.index, "_need": sizes.clip(upper=need).values}))
+    hot = spark.createDataFrame([(rows[0][0], 3)], "k long, _ways int")
+    for kw in ({"broadcast": True}, {"hot": hot}, {}):
+        cut = radix.cutoffs(df, ranks, "k", ["c0", "c1"], **kw)
+        got = {(r["k"], r["a"], r["b"]) for r in df.join(cut, "k").where(radix.not_beyond(["c0", "c1"])).collect()}
+        want = set()
+        for k, g in pdf.groupby("k"):
+            g = g.sort_values(["a", "b"]).reset_index(drop=True)
+            last = tuple(g.loc[min(need, len(g)) - 1, ["a", "b"]])
+            want |= {(k, a, b) for a, b in zip(g["a"], g["b"]) if (a, b) <= last}
+        assert got == want
+
+
+def test_scratch_needs_a_shared_folder_on_a_cluster():
+    from types import SimpleNamespace
+
+    from codequarry.session import scratch_root
+
+    conf = SimpleNamespace(get=lambda *_: None)
+    cluster = SimpleNamespace(conf=conf, sparkContext=SimpleNamespace(master="spark://host:7077", getConf=lambda: conf))
+    with pytest.raises(RuntimeError):
+        scratch_root(cluster)
