@@ -81,10 +81,11 @@ class Scratch:
         self.n = 0
         _open.append(self)
 
-    def save(self, df: DataFrame) -> DataFrame:
+    def save(self, df: DataFrame, by: str | None = None) -> DataFrame:
+        """df, written and read again; by a column, each of whose values has a folder that can be read alone."""
         self.n += 1
         path = f"{self.root}/t{self.n}"
-        df.write.parquet(path)
+        (df.write.partitionBy(by) if by else df.write).parquet(path)
         out = self.spark.read.schema(df.schema).parquet(path)
         out.__dict__["_scratch_path"] = path
         return out
