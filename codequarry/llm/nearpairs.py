@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from codequarry.llm.canonical import digest
-from codequarry.llm.copies import SEGMENT, _pack, _unpack, filter_bits, in_filter, may_hold, slot_filter
+from codequarry.llm.copies import FILLING_TASKS, SEGMENT, Filling, _pack, _unpack, filter_bits, in_filter, may_hold, merged, slot_filter
 from codequarry.operators.components import components
 from codequarry.session import Scratch, hot_keys, salted_join
 
@@ -118,9 +118,27 @@ def _prepare(k: int, fields: list[str], short: bool):
     return run
 
 
+MOST_SLOTS = 1 << 29  # slots of the filter of paths, 64 MB of bits
 COARSE = 1 << 16  # cells of the sketch that finds paths of a great share of all rows
 
 
+def _count_parts(counts: np.ndarray) -> tuple[list[int], list[bytes]]:
+    """Two rows of COARSE counts in parts of 16 KB, numbered from -1 down, so that no task adds up all counts of all tasks."""
+    parts = [p.astype("<i8").tobytes() for p in counts.reshape(-1, 2048)]
+    return [-1 - k for k in range(len(parts))], parts
+
+
+def _added(parts) -> bytes:
+    return sum(np.frombuffer(x, "<i8") for x in parts).tobytes()
+
+
+def _counts(rows) -> np.ndarray:
+    out = np.zeros((2 * COARSE // 2048, 2048), np.int64)
+    for r in rows:
+        out[-1 - r["segment"]] = np.frombuffer(bytes(r["bits"]), "<i8")
+    return out.reshape(2, COARSE)
+
+
 class Level:
     """What is known of the paths of one level: slots of repeated paths, cells of hot paths, slots of heavy paths."""
 
@@ -173,6 +191,7 @@ def _walk(flat: np.ndarray, sizes: np.ndarray, doc: np.ndarray, fno: np.ndarray,
     return path, owner
 
 
+_SETS_USED = "rid binary, fno int, n int, s0 long, s1 long, s2 long, s3 long, shingles array<long>"
 _PATHS = "path long, rid binary, n int, s0 long, s1 long, s2 long, s3 long"
 
 
@@ -349,16 +368,17 @@ class NearPairs:
     Equal shingle sets are one class, named by a 128-bit hash. Level by level, every set samples tokens with a hash that
     depends on the path so far, once in threshold * |set|, so two sets of that similarity expect to share a sampled token;
     sets with one path form a bucket. Paths that only one set has are dropped before the shuffle by a filter of repeated
-    hashes. Buckets of at most `bucket` sets are compared by brute force on parity sketches that lose no pair; larger ones
-    are split by another sampled token. Which paths are too large is told to the next level by a filter of fixed size, so
+    hashes (beyond a 16th of MOST_SLOTS paths more and more of them pass it, at most all: about 2 kB a set). Buckets of
+    at most `bucket` sets are compared by brute force on parity sketches that lose no pair; larger ones
+    are split by another sampled token. Which paths are too large is told to the next level by a filter of bounded size, so
     the sets themselves are never shuffled; a false hit only costs work. A path of more than hot_rows rows and a
-    thousandth of all is not shuffled at all. After `levels` levels what is still large is compared in blocks, each pair of blocks by itself, so that
-    no bucket is ever cut off. The runs for the target recall follow from the miss of a run in which all the paths that a
-    pair shares are split down to the last level.
+    thousandth of all is not shuffled at all. After `levels` levels the sets that still lie under large paths are joined
+    exactly by their rarest tokens (_rest), so that no bucket is ever cut off. The runs for the target recall follow from
+    the miss of a run in which all the paths that a pair shares are split down to the last level.
     """
 
-    def __init__(self, df: DataFrame, ordinal: str, fields: list[str], k: int = 5, threshold: float = 0.8, recall: float = 0.9999, bucket: int = 500, levels: int = 3, hot_rows: int = 100_000, short: bool = False):
-        self.hot_rows = hot_rows
+    def __init__(self, df: DataFrame, ordinal: str, fields: list[str], k: int = 5, threshold: float = 0.8, recall: float = 0.9999, bucket: int = 500, levels: int = 2, hot_rows: int = 100_000, short: bool = False, most_slots: int = MOST_SLOTS):
+        self.hot_rows, self.most_slots = hot_rows, most_slots
         self.spark = df.sparkSession
         self.scratch = Scratch(self.spark)
         th = Fraction(str(threshold))
@@ -381,50 +401,37 @@ class NearPairs:
         b, seeds, known = self.b, self.seeds, self.spark.sparkContext.broadcast(levels)
 
         def fill(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            once, again = np.zeros(bits, bool), np.zeros(bits, bool)
-            counts = np.zeros((2, COARSE), np.int64)
+            seen, counts = Filling(bits), np.zeros((2, COARSE), np.int64)
             for rows in _emit(b, seeds, known)(batches):
                 path = rows.column(0).to_numpy().view(np.uint64)
-                s, n = np.unique(_slots_of(path, bits).astype(np.int64), return_counts=True)
-                again[s] |= once[s] | (n > 1)
-                once[s] = True
+                seen.add(_slots_of(path, bits).astype(np.int64).ravel())
                 for i, c in enumerate(_cells(path)):
                     counts[i] += np.bincount(c, minlength=COARSE)
-            ids = np.unique(np.flatnonzero(once) // SEGMENT)
-            parts = [slice(g * SEGMENT, (g + 1) * SEGMENT) for g in ids]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([*ids, -1], pa.int32()), pa.array([*(_pack(once[p]) for p in parts), b""], pa.binary()),
-                 pa.array([*(_pack(again[p]) for p in parts), counts.astype("<u4").tobytes()], pa.binary())], names=["segment", "once", "again"])
+            for g, once, again in seen.segments():
+                yield pa.RecordBatch.from_arrays([pa.array([g], pa.int32()), pa.array([once], pa.binary()), pa.array([again], pa.binary())], names=["segment", "once", "again"])
+            ids, parts = _count_parts(counts)
+            yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int32()), pa.array([b""] * len(ids), pa.binary()), pa.array(parts, pa.binary())], names=["segment", "once", "again"])
 
         def merge(pdf):
             import pandas as pd
 
-            if pdf["segment"].iloc[0] < 0:
-                total = sum(np.frombuffer(x, "<u4").astype(np.int64) for x in pdf["again"])
-                return pd.DataFrame({"segment": [-1], "bits": [total.tobytes()]})
-            once, again = np.zeros(SEGMENT, bool), np.zeros(SEGMENT, bool)
-            for o, a in zip(pdf["once"], pdf["again"]):
-                o = _unpack(o)
-                again |= _unpack(a) | (once & o)
-                once |= o
-            return pd.DataFrame({"segment": [pdf["segment"].iloc[0]], "bits": [_pack(again)]})
+            g = pdf["segment"].iloc[0]
+            return pd.DataFrame({"segment": [g], "bits": [_added(pdf["again"]) if g < 0 else _pack(merged(zip(pdf["once"], pdf["again"]))[1])]})
 
-        use = self.sets.select("rid", "fno", *_ROW[2:], "shingles")
-        merged = use.mapInArrow(fill, "segment int, once binary, again binary").groupBy("segment").applyInPandas(merge, "segment int, bits binary").collect()
-        repeated, counts = np.zeros(bits, bool), np.zeros((2, COARSE), np.int64)
-        for r in merged:  # at most bits / 8 bytes and 1 MB of counts
-            if r["segment"] < 0:
-                counts = np.frombuffer(bytes(r["bits"]), np.int64).reshape(2, COARSE)
-            else:
-                repeated[r["segment"] * SEGMENT : (r["segment"] + 1) * SEGMENT] = _unpack(bytes(r["bits"]))
-        return Level(bits, np.packbits(repeated), counts > max(self.hot_rows, 0.001 * counts[0].sum()))
+        use = self.sets.select("rid", "fno", *_ROW[2:], "shingles").coalesce(FILLING_TASKS)
+        found = use.mapInArrow(fill, "segment int, once binary, again binary").groupBy("segment").applyInPandas(merge, "segment int, bits binary").collect()
+        repeated, counts = np.zeros(bits >> 3, np.uint8), _counts([r for r in found if r["segment"] < 0])
+        for r in found:  # at most bits / 8 bytes and 1 MB of counts
+            if r["segment"] >= 0:
+                repeated[r["segment"] * (SEGMENT >> 3) : (r["segment"] + 1) * (SEGMENT >> 3)] = _unpack(bytes(r["bits"]))
+        return Level(bits, repeated, counts > max(self.hot_rows, 0.001 * counts[0].sum()))
 
     def _compared(self, rows: DataFrame, limit: int) -> DataFrame:
         return rows.repartition("path").sortWithinPartitions("path", "rid").mapInArrow(_compare(limit, self.num, self.den), _OUT)
 
     def _join(self, most_levels: int) -> DataFrame:
-        # a task that fills filters holds a byte for each slot, twice
-        bits = filter_bits(10 * self.total, 1 << 26)
+        # a set samples about 1 / b tokens a run
+        bits = filter_bits(math.ceil(self.runs / self.b) * self.total, self.most_slots)
         known: list[Level] = []
         pairs, written = None, []
         for level in range(1, most_levels + 1):
@@ -439,17 +446,84 @@ class NearPairs:
                 break
             this.heavy = _heavy_filter(heavy, bits)
             if level == most_levels:
-                pairs = pairs.unionByName(self._blocks(self._paths(known, this, "rest")))
+                rest = self._paths(known, this, "rest").select("rid").distinct()
+                pairs = pairs.unionByName(self._rest(self.scratch.save(rest)))
             this.repeated = None  # not needed below
             known.append(this)
         found = self.scratch.save(pairs.distinct())
         self.scratch.drop(*written)
         return found
 
-    def _blocks(self, rows: DataFrame) -> DataFrame:
-        """All pairs of buckets that sampling does not split, block by block."""
-        rows = self.scratch.save(rows.distinct())
-        ways = rows.groupBy("path").agg(F.count(F.lit(1)).alias("c"))
+    def _commonness(self) -> np.ndarray:
+        """Counts of the tokens of all sets in two rows of COARSE cells, 1 MB whatever the input: a token's lesser cell is at
+        least the number of sets that hold it."""
+
+        def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            counts = np.zeros((2, COARSE), np.int64)
+            for b in batches:
+                flat = b.column(0).flatten().to_numpy(zero_copy_only=False).view(np.uint64)
+                for i, c in enumerate(_cells(_mix(flat))):
+                    counts[i] += np.bincount(c, minlength=COARSE)
+            ids, parts = _count_parts(counts)
+            yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int32()), pa.array(parts, pa.binary())], names=["segment", "bits"])
+
+        def add(pdf):
+            import pandas as pd
+
+            return pd.DataFrame({"segment": [pdf["segment"].iloc[0]], "bits": [_added(pdf["bits"])]})
+
+        parts = self.sets.select("shingles").coalesce(FILLING_TASKS).mapInArrow(count, "segment int, bits binary")
+        return _counts(parts.groupBy("segment").applyInPandas(add, "segment int, bits binary").collect())
+
+    def _rest(self, rids: DataFrame) -> DataFrame:
+        """Pairs among the sets that still lie under a heavy or hot path, exactly. Two sets of similarity t share one of the first
+        n - ceil(t * n) + 1 tokens of each in any one order of all tokens; with the rare tokens first, what very many
+        sets have in common, such as a licence or a frame that is generated, brings no sets together, however many they
+        are. Buckets that are large even so hold sets of which most of the text is common; they are compared in blocks."""
+        share = self.spark.sparkContext.broadcast(self._commonness())
+        num, den = self.num, self.den
+
+        def prefix(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for whole in batches:
+                for at in range(0, whole.num_rows, 1000):
+                    batch = whole.slice(at, 1000)
+                    lists = batch.column(7)
+                    sizes = lists.value_lengths().to_numpy(zero_copy_only=False).astype(np.int64)
+                    flat = lists.flatten().to_numpy(zero_copy_only=False).view(np.uint64)
+                    doc = np.repeat(np.arange(len(sizes)), sizes)
+                    a, b = _cells(_mix(flat))
+                    often = np.minimum(share.value[0][a], share.value[1][b])
+                    order = np.lexsort((flat, often, doc))
+                    place = np.arange(len(flat)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+                    keep = place < (sizes + (-sizes * num) // den + 1)[doc]
+                    chosen, own = flat[order[keep]], doc[keep]
+                    path = _mix(chosen ^ _mix(batch.column(1).to_numpy().astype(np.uint64))[own])
+                    take = pa.array(own)
+                    yield pa.RecordBatch.from_arrays([pa.array(path.view(np.int64)), batch.column(0).take(take), *[batch.column(i).take(take) for i in range(2, 7)]], names=_ROW)
+
+        bits = filter_bits(self.total, 1 << 24)
+        maybe = may_hold(self.spark, slot_filter(rids.select(F.col("rid").alias("digest")), bits, False), bits)
+        # sets that the filter lets through by mistake only cost work
+        use = self.sets.select("rid", "fno", *_ROW[2:], "shingles").where(maybe("rid")).mapInArrow(_first_seen, _SETS_USED)
+        rows = self.scratch.save(use.mapInArrow(prefix, _PATHS))
+        out = self.scratch.save(self._compared(rows, self.bucket))
+        large = out.where("path IS NOT NULL").select("path").distinct()
+        pairs = out.where("path IS NULL").select("a", "b")
+        return (pairs if large.isEmpty() else pairs.unionByName(self._blocks(rows, large))).distinct()
+
+    def _blocks(self, rows: DataFrame, large: DataFrame) -> DataFrame:
+        """All pairs of the buckets of some paths, block by block."""
+        bits = filter_bits(self.total, 1 << 24)
+        heavy = _heavy_filter(large, bits)
+        share = self.spark.sparkContext.broadcast(heavy)
+
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for b in batches:
+                slots = _slots_of(b.column(0).to_numpy().view(np.uint64), bits).astype(np.int64)
+                yield b.filter(pa.array(in_filter(share.value, slots)))
+
+        rows = self.scratch.save(rows.mapInArrow(run, _PATHS).distinct())
+        ways = rows.groupBy("path").agg(F.count(F.lit(1)).alias("c")).where(F.col("c") > self.bucket)
         ways = self.scratch.save(ways.select("path", F.ceil(F.col("c") / F.lit(self.bucket)).cast("int").alias("ways"), "c"))
         hot = hot_keys(ways, "path", "c", max(1, self.total))
         both = salted_join(rows, ways.select("path", "ways"), "path", hot, F.col("rid"))

@@ -100,4 +100,18 @@ def pack(sizes: DataFrame, id_: str, size: str, containers: dict[str, float], mo
 
     kind = rows.schema["id"].dataType.simpleString()
     out = f"id {kind}, container string, piece int, pieces int, first long, tokens long, shard int, bin long"
-    return rows.withColumn("shard", F.pmod(F.xxhash64("id"), F.lit(shards)).cast("int")).groupBy("shard").applyInPandas(run, out)
+    # a task for each shard: a number of partitions that is asked for is not merged again, as small shards would be
+    dealt = rows.withColumn("shard", F.pmod(F.xxhash64("id"), F.lit(shards)).cast("int")).repartition(2 * shards, "shard")
+    return dealt.groupBy("shard").applyInPandas(run, out)
+
+
+def bin_checks(packed: DataFrame, containers: dict[str, float], most_items: int = 256, attention: float = 1.0) -> DataFrame:
+    """(container, tokens, pieces, over_tokens, over_items, over_attention): what lies in the bins of each container, and
+    the bins that break each of the three limits (none, unless the packer is wrong). A bin of one piece may exceed the attention cost."""
+    caps = F.create_map(*[F.lit(x) for k, v in containers.items() for x in (k, float(max(1, int(v))))])
+    bins = packed.groupBy("container", "shard", "bin").agg(F.sum("tokens").alias("t"), F.count(F.lit(1)).alias("c"), F.sum(F.col("tokens") * F.col("tokens")).alias("a"))
+    cap = caps[F.col("container")]
+    return bins.groupBy("container").agg(
+        F.sum("t").alias("tokens"), F.sum("c").alias("pieces"), F.count_if(F.col("t") > cap).alias("over_tokens"), F.count_if(F.col("c") > most_items).alias("over_items"),
+        F.count_if((F.col("c") > 1) & (F.col("a") > F.lit(attention) * cap * cap)).alias("over_attention"),
+    )

@@ -8,7 +8,6 @@ from pyspark.sql import functions as F
 from codequarry.functions.names import repository
 from codequarry.llm import capping, copies, leaks, nearpairs, packing, repetition, splitting, syntax
 from codequarry.llm.words import with_token_counts
-from codequarry.operators.components import components
 from codequarry.session import Scratch, table
 
 
@@ -52,19 +51,29 @@ def _tied(spark: SparkSession, d: str) -> DataFrame:
     return commits.join(cve, "cve_ordinal", "left").drop("cve_ordinal")
 
 
+def _split(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
+    tied = _tied(spark, d)
+    return tied, splitting.split(tied, "ordinal", ["cve_id", "repository"], "severity", dict(sorted(setting(spark, d, "split_share").items())))
+
+
 def p5_found(spark: SparkSession, d: str) -> DataFrame:
-    scratch = Scratch(spark)
-    ties = scratch.save(_tied(spark, d).where("cve_id IS NOT NULL").select("cve_id", "repository").distinct())
+    """CVEs beside the smallest of the component with which the swap search moved them."""
+    tied, out = _split(spark, d)
     # CVEs sort before repositories, so a component is named by its smallest CVE
-    cve, repo = F.concat(F.lit("c"), "cve_id"), F.concat(F.lit("r"), "repository")
-    found = components(ties.select(cve.alias("a"), F.coalesce(repo, cve).alias("b")), scratch)
-    found = found.where("node LIKE 'c%' AND node <> component")
-    return found.select(F.substring("component", 2, 1 << 30).alias("cve_id_a"), F.substring("node", 2, 1 << 30).alias("cve_id_b"))
+    rows = tied.where("cve_id IS NOT NULL").join(out, F.col("ordinal") == F.col("id")).select(F.substring("component", 4, 1 << 30).alias("cve_id_a"), F.col("cve_id").alias("cve_id_b"))
+    return rows.where("cve_id_a <> cve_id_b").distinct()
 
 
 def p5_split(spark: SparkSession, d: str) -> DataFrame:
-    out = splitting.split(_tied(spark, d), "ordinal", ["cve_id", "repository"], "severity", dict(sorted(setting(spark, d, "split_share").items())))
-    return out.select(F.col("id").alias("commit_ordinal"), "split")
+    return _split(spark, d)[1].select(F.col("id").alias("commit_ordinal"), "split")
+
+
+def p5_check(spark: SparkSession, d: str) -> DataFrame:
+    """All records, those without a split, and the CVEs and repositories that lie in two splits: none. One row of each is joined."""
+    tied, out = _split(spark, d)
+    rows = Scratch(spark).save(tied.join(out, F.col("ordinal") == F.col("id"), "left"))
+    cut = lambda k, name: rows.where(F.col(k).isNotNull()).groupBy(k).agg(F.count_distinct("split").alias("s")).agg(F.count_if(F.col("s") > 1).alias(name))
+    return rows.agg(F.count(F.lit(1)).alias("records"), F.count_if(F.col("split").isNull()).alias("without")).join(cut("cve_id", "cut_cves")).join(cut("repository", "cut_repositories"))
 
 
 def p5_shares(spark: SparkSession, d: str) -> DataFrame:
@@ -91,6 +100,10 @@ def p8_pieces(spark: SparkSession, d: str) -> DataFrame:
     return packing.pack(with_token_counts(docs, "doc_id", "text"), "doc_id", "n", dict(sorted(setting(spark, d, "container_tokens").items())), attention=ATTENTION, count=docs.count())
 
 
+def p8_check(spark: SparkSession, d: str) -> DataFrame:
+    return packing.bin_checks(p8_pieces(spark, d), setting(spark, d, "container_tokens"), attention=ATTENTION)
+
+
 def p8_found(spark: SparkSession, d: str) -> DataFrame:
     return p8_pieces(spark, d).where("pieces > 1 AND piece = 0").select(F.col("id").alias("doc_id"), "container")
 
@@ -134,7 +147,7 @@ def p10_rejected(spark: SparkSession, d: str) -> DataFrame:
 
 
 def queries() -> dict:
-    return {f.__name__: f for f in (p2_found, p2_groups, p3_found, p3_flags, p3_files, p3_rates, p5_found, p5_split, p5_shares, p6_found, p6_groups, p7_found, p8_found, p8_pieces, p8_fill, p9_found, p9_leaks, p9_clean, p10_found, p10_measures, p10_rejected)}
+    return {f.__name__: f for f in (p2_found, p2_groups, p3_found, p3_flags, p3_files, p3_rates, p5_found, p5_split, p5_shares, p5_check, p6_found, p6_groups, p7_found, p8_found, p8_pieces, p8_fill, p8_check, p9_found, p9_leaks, p9_clean, p10_found, p10_measures, p10_rejected)}
 
 
 #: Repository of a row, in SQL.
@@ -152,6 +165,14 @@ def oracle_sql() -> dict[str, str]:
         "p8_found": f"""
             SELECT doc_id, item AS container FROM (SELECT doc_id, {TOKENS} AS n FROM documents WHERE text IS NOT NULL) d
             JOIN job_setting s ON s.setting = 'container_tokens' AND d.n > s.amount""",
+        "p8_check": f"""
+            SELECT item AS container, sum(n)::BIGINT AS tokens, sum(greatest(1, ceil(n / amount)))::BIGINT AS pieces, 0::BIGINT AS over_tokens, 0::BIGINT AS over_items, 0::BIGINT AS over_attention
+            FROM (SELECT doc_id, {TOKENS} AS n FROM documents WHERE text IS NOT NULL) d JOIN job_setting s ON s.setting = 'container_tokens' GROUP BY 1""",
+        "p5_check": "SELECT count(*) AS records, 0::BIGINT AS without, 0::BIGINT AS cut_cves, 0::BIGINT AS cut_repositories FROM fix_commit",
+        "p9_clean": f"""
+            WITH d AS ({grams.format("text", id="doc_id", t="documents")}), e AS ({grams.format("passage", id="item_id", t="eval_item")}),
+            n AS (SELECT item_id, count(*) AS n FROM e GROUP BY 1)
+            SELECT doc_id FROM documents WHERE doc_id NOT IN (SELECT doc_id FROM d JOIN e USING (g) JOIN n USING (item_id) GROUP BY doc_id, item_id, n HAVING count(*) >= 0.45 * n)""",
         "p9_found": f"""
             WITH d AS ({grams.format("text", id="doc_id", t="documents")}), e AS ({grams.format("passage", id="item_id", t="eval_item")}),
             n AS (SELECT item_id, count(*) AS n FROM e GROUP BY 1)

@@ -87,7 +87,7 @@ def split(records: DataFrame, id_: str, keys: list[str], label: str, shares: dic
     smaller ones are pooled by a hash of their name into `buckets` more units, so that what is searched is bounded
     whatever the input, and small components move together without being cut. Chains anneal in parallel from the hashed
     assignment, moving or exchanging units to bring each split's size and label counts to its share; the best is kept
-    (ties: the first chain). Null labels count as a label. The same records get the same splits on any cluster.
+    (ties: the first chain). Null labels count as a label; the labels beyond the LABELS most frequent are balanced as one. The same records get the same splits on any cluster.
     """
     spark = records.sparkSession
     scratch = scratch or Scratch(spark)
@@ -95,7 +95,9 @@ def split(records: DataFrame, id_: str, keys: list[str], label: str, shares: dic
     labelled = records.select(F.col(id_).alias("id"), F.coalesce(F.col(label).cast("string"), F.lit("")).alias("label"))
     top = [r["label"] for r in labelled.groupBy("label").count().orderBy(F.desc("count"), "label").limit(LABELS).collect()]
     sizes = scratch.save(
-        ties.join(labelled, "id").groupBy("component").agg(F.count(F.lit(1)).alias("n"), *[F.count_if(F.col("label") == t).alias(f"l{i}") for i, t in enumerate(top)])
+        ties.join(labelled, "id").groupBy("component").agg(
+            F.count(F.lit(1)).alias("n"), *[F.count_if(F.col("label") == t).alias(f"l{i}") for i, t in enumerate(top)], F.count_if(~F.col("label").isin(top)).alias("rest")
+        )
     )
     total = sizes.agg(F.sum("n")).first()[0] or 0
     # a component's unit: itself if it is large, a bucket else
@@ -103,7 +105,7 @@ def split(records: DataFrame, id_: str, keys: list[str], label: str, shares: dic
         F.concat(F.lit("b"), F.pmod(F.xxhash64("component"), F.lit(buckets)).cast("string"))
     )
     sized = sizes.withColumn("unit", unit)
-    cols = ["n", *[f"l{i}" for i in range(len(top))]]
+    cols = ["n", *[f"l{i}" for i in range(len(top))], "rest"]
     units = sized.groupBy("unit").agg(*[F.sum(c).alias(c) for c in cols]).orderBy("unit").toPandas()  # at most 2 * buckets rows
     names, share = list(shares), np.array(list(shares.values()), float)
     share = share / share.sum()

@@ -86,10 +86,35 @@ def test_copy_groups_brute(spark):
 
 def test_filters_hold_what_they_saw():
     rng = np.random.default_rng(1)
-    flags = rng.random(copies.SEGMENT) < 0.001
-    assert (copies._unpack(copies._pack(flags)) == flags).all()
-    flags = rng.random(copies.SEGMENT) < 0.4
-    assert (copies._unpack(copies._pack(flags)) == flags).all() and len(copies._pack(flags)) == copies.SEGMENT // 8
+    for share in (0.0, 0.001, 0.4):
+        bits = np.packbits(rng.random(copies.SEGMENT) < share)
+        data = copies._pack(bits)
+        assert (copies._unpack(data) == bits).all() and len(data) <= copies.SEGMENT // 8
+    seen, n = copies.Filling(1 << 20), Counter()
+    for _ in range(5):
+        slots = rng.integers(0, 3000, 700)
+        seen.add(slots)
+        n.update(slots.tolist())
+    flags = lambda b: set(np.flatnonzero(np.unpackbits(b, bitorder="little")).tolist())
+    assert flags(seen.once) == set(n) and flags(seen.again) == {k for k, c in n.items() if c > 1}
+    # two tasks that saw a slot once each make it repeated
+    (g, o, a), = seen.segments()
+    once, again = copies.merged([(o, a), (o, a)])
+    assert g == 0 and flags(once) == flags(again) == set(n)
+
+
+def test_filters_in_parts(spark):
+    """As many filters as keep each below its size: the groups stay the same, and so does the share taken for repeats."""
+    rng = random.Random(8)
+    n = 60_000
+    df = spark.createDataFrame([(i, f"int f{rng.randrange(n * 4)}(void);") for i in range(n)], "ordinal long, body string").repartition(4)
+    scratch = copies.Scratch(spark)
+    shares = []
+    for most in (copies.MOST_SLOTS, 1 << 17):  # one filter, and eight
+        shares.append(copies.possible_repeats(copies.digests(df, "ordinal", ["body"]), n, scratch, most).agg(F.avg(F.col("maybe").cast("int"))).first()[0])
+    assert abs(shares[0] - shares[1]) < 0.03
+    got = [sorted(map(tuple, copies.copy_groups(df, "ordinal", ["body"], most_slots=m)[1].drop("digest").collect())) for m in (copies.MOST_SLOTS, 1 << 17)]
+    assert got[0] == got[1] and len(got[0]) > 1000
 
 
 # Syntax.
@@ -266,6 +291,23 @@ def test_runs_reach_the_recall(spark):
         assert len(n.seeds) == n.runs and nearpairs.miss(levels) ** n.runs <= 1e-4
 
 
+def test_boilerplate_brings_no_sets_together(spark):
+    """Half of every text is one frame: the rest behind the levels meets by rare tokens, so no bucket is large."""
+    rng = random.Random(3)
+    frame = " ".join(f"frame{i}" for i in range(60))
+    rows = [(o, frame + " " + " ".join(f"u{rng.randrange(10**6)}" for _ in range(60))) for o in range(600)]
+    rows += [(1000 + o, t.replace("frame7 ", "x ")) for o, t in rows[:50]]
+    df = spark.createDataFrame(rows, "ordinal long, body string")
+    asked = []
+    blocks = nearpairs.NearPairs._blocks
+    nearpairs.NearPairs._blocks = lambda self, *a: asked.append(1) or blocks(self, *a)
+    try:
+        got = {(r["ordinal_a"], r["ordinal_b"]) for r in nearpairs.near_pairs(df, "ordinal", ["body"], 3, 0.6, bucket=20, levels=1, most_slots=1 << 16).collect()}
+    finally:
+        nearpairs.NearPairs._blocks = blocks
+    assert got == {(o, 1000 + o) for o in range(50)} and not asked
+
+
 def test_near_groups(spark):
     base = " ".join(f"w{i}" for i in range(60))
     texts = [base, base.upper(), base.replace("w30", "x"), base.replace("w30", "x").replace("w10", "y"), " ".join(f"q{i}" for i in range(30)), "too few", None]
