@@ -3,6 +3,7 @@ import math
 import random
 import re
 from collections import Counter
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
@@ -464,11 +465,22 @@ def test_leaks_brute(spark):
     assert leaks.leaks(df, "doc_id", "text", it.limit(0), "item_id", "passage").count() == 0
 
 
-def test_leaks_in_several_passes(spark, monkeypatch):
-    monkeypatch.setattr(leaks, "PASS_CHARS", 30)
+@settings(max_examples=60, deadline=None)
+@given(st.lists(st.lists(st.sampled_from("abc"), max_size=30), max_size=6))
+def test_suffix_array(texts):
+    words, of, end = leaks.numbered([" ".join(t) for t in texts], {})
+    order = leaks.suffix_array(words, end)
+    suffix = lambda a: list(words[a : end[a]])
+    assert sorted(order) == [i for i, w in enumerate(words) if w]
+    assert all(suffix(a) < suffix(b) or (suffix(a) == suffix(b) and a < b) for a, b in zip(order, order[1:]))
+
+
+def test_leaks_in_several_passes(spark):
     it = spark.createDataFrame([(i, f"w{c} x{c} y{c} z{c} v{c}".replace("0", "o")) for i, c in enumerate("abcdefgh")], "item_id long, passage string")
     docs = it.select(F.col("item_id").alias("doc_id"), F.col("passage").alias("text"))
-    assert {(r["doc"], r["item_id"]) for r in leaks.leaks(docs, "doc_id", "text", it, "item_id", "passage").collect()} == {(i, i) for i in range(8)}
+    out = leaks.leaks(docs, "doc_id", "text", it, "item_id", "passage", pass_chars=30)
+    assert {(r["doc"], r["item_id"]) for r in out.collect()} == {(i, i) for i in range(8)}
+    assert all(Path(f.removeprefix("file://")).exists() for f in out.inputFiles())  # each group's result was written
 
 
 # Repetition.
