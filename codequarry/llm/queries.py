@@ -126,24 +126,21 @@ def p9_clean(spark: SparkSession, d: str) -> DataFrame:
     return leaks.without_leaks(table(spark, d, "documents"), "doc_id", p9_leaks(spark, d)).select("doc_id")
 
 
-def _measured(spark: SparkSession, d: str) -> DataFrame:
-    docs = table(spark, d, "documents").withColumn("language", F.lower("lang"))
-    return repetition.measures(docs, "doc_id", "text", ["language"])
-
-
 def p10_measures(spark: SparkSession, d: str) -> DataFrame:
-    return _measured(spark, d).withColumnRenamed("doc", "doc_id")
+    docs = table(spark, d, "documents").withColumn("language", F.lower("lang"))
+    return repetition.measures(docs, "doc_id", "text", ["language"]).withColumnRenamed("doc", "doc_id")
 
 
 def p10_found(spark: SparkSession, d: str) -> DataFrame:
-    return _measured(spark, d).where("repeated_share >= 0.45").select(F.col("doc").alias("doc_id"))
+    return repetition.repetitive(table(spark, d, "documents"), "doc_id", "text", 0.45).select(F.col("doc").alias("doc_id"))
 
 
 def p10_rejected(spark: SparkSession, d: str) -> DataFrame:
-    """Documents outside the fertility band of their language, or repetitive."""
-    measured = Scratch(spark).save(_measured(spark, d))
-    out = repetition.rejected(measured, "language", repetition.bands(measured, "language"))
-    return out.where("odd OR repetitive").select(F.col("doc").alias("doc_id"), "language", "odd", "repetitive")
+    """Documents outside the fertility band of their script, or repetitive. The script is that of the text: lang is not always right."""
+    docs = table(spark, d, "documents").withColumn("script", repetition.script(F.col("text")))
+    measured = Scratch(spark).save(repetition.measures(docs, "doc_id", "text", ["script"]))
+    out = repetition.rejected(measured, "script", repetition.bands(measured, "script"))
+    return out.where("odd OR repetitive").select(F.col("doc").alias("doc_id"), "script", "odd", "repetitive")
 
 
 def queries() -> dict:

@@ -516,6 +516,11 @@ def test_repetition_brute(spark):
     assert got[1]["n_tokens"] == 0 and got[1]["chars_per_token"] is None and got[1]["token_entropy"] is None
     assert 0 <= got[3]["token_entropy"] < 0.5 and got[5]["byte_share"] >= 0
     assert repetition.measures(df.limit(0), "doc_id", "text").count() == 0
+    for least in (0.05, 0.45, 0.9):  # the band loses no document
+        out = {r["doc"]: r for r in repetition.repetitive(df, "doc_id", "text", least).collect()}
+        assert set(out) == {d for d, t in docs if t and (b := brute_share(t))[0] and b[1] >= least * b[0]}
+        assert all((r["n_words"], r["n_repeated"]) == brute_share(dict(docs)[d]) for d, r in out.items())
+    assert repetition.repetitive(df.limit(0), "doc_id", "text").count() == 0
 
 
 def test_bands_reject(spark):
@@ -523,6 +528,8 @@ def test_bands_reject(spark):
     df = spark.createDataFrame(rows, "doc_id long, text string, lang string")
     m = repetition.measures(df, "doc_id", "text", ["lang"])
     out = {r["doc"]: r["odd"] for r in repetition.rejected(m, "lang", repetition.bands(m, "lang")).collect()}
-    assert out[999] and len(out) == len(rows) and sum(out.values()) < 20
+    assert out[999] and len(out) == len(rows) and sum(out.values()) == 1
+    alike = repetition.measures(df.where("doc_id < 998"), "doc_id", "text", ["lang"])
+    assert not any(r["odd"] for r in repetition.rejected(alike, "lang", repetition.bands(alike, "lang")).collect())
     s = {r["doc_id"]: r["s"] for r in df.select("doc_id", repetition.script(F.col("text")).alias("s")).collect()}
     assert s[999] == "Han" and s[0] == "Latin"
