@@ -3,9 +3,9 @@
 from __future__ import annotations
 
 import json
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -23,7 +23,7 @@ class _Literal(str):
 _DECODER = json.JSONDecoder(parse_constant=_strict, parse_int=_Literal, parse_float=_Literal)
 
 
-def _nodes(rid: int, payload: str, out: list) -> None:
+def _nodes(rid: int, payload: str, out: list, wanted: frozenset[str] | None) -> None:
     try:
         top = _DECODER.decode(payload)
     except (ValueError, RecursionError, TypeError):
@@ -35,7 +35,8 @@ def _nodes(rid: int, payload: str, out: list) -> None:
         v, parent, label, ordinal, path, pos = stack.pop()
         if isinstance(v, list):
             if not v:
-                out.append((rid, count, parent, label, ordinal, "empty", None, path, pos))
+                if wanted is None or path in wanted:
+                    out.append((rid, count, parent, label, ordinal, "empty", None, path, pos))
                 count += 1
             # elements belong to the object that owns the array
             for i in range(len(v) - 1, -1, -1):
@@ -45,9 +46,12 @@ def _nodes(rid: int, payload: str, out: list) -> None:
             if ordinal is None and label is not None:  # a bare object counts as an array of one
                 pos = f"{pos}/0" if pos else "0"
             me = count
-            out.append((rid, me, parent, label, ordinal, "object", None, path, pos))
+            if wanted is None or path in wanted:
+                out.append((rid, me, parent, label, ordinal, "object", None, path, pos))
             for k in reversed(v):
                 stack.append((v[k], me, k, None, f"{path}/{k}" if path else k, pos))
+        elif wanted is not None and path not in wanted:
+            pass
         elif isinstance(v, _Literal):
             out.append((rid, count, parent, label, ordinal, "number", str(v), path, pos))
         elif isinstance(v, str):
@@ -60,27 +64,32 @@ def _nodes(rid: int, payload: str, out: list) -> None:
         count += 1
 
 
-_COLUMNS = [c.split()[0] for c in ADJACENCY.split(", ")]
+_ARROW = pa.schema(
+    [("record_id", pa.int64()), ("node", pa.int64()), ("parent", pa.int64()), ("label", pa.string()), ("ordinal", pa.int32()), ("kind", pa.string()),
+     ("scalar", pa.string()), ("label_path", pa.string()), ("pos_path", pa.string())]
+)
 
 
-def _frame(out: list) -> pd.DataFrame:
-    pdf = pd.DataFrame(out, columns=_COLUMNS)
-    return pdf.astype({"record_id": "int64", "node": "int64", "parent": "Int64", "ordinal": "Int32"})
+def _batch(out: list) -> pa.RecordBatch:
+    columns = zip(*out) if out else [()] * len(_ARROW)
+    return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, _ARROW)], schema=_ARROW)
 
 
-def _shred(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    for pdf in batches:
-        out: list = []
-        for rid, payload in zip(pdf["record_id"], pdf["payload"]):
-            if payload is not None:
-                _nodes(int(rid), payload, out)
-            if len(out) > 50_000:  # a batch of large records must not become one large frame
-                yield _frame(out)
-                out = []
-        yield _frame(out)
+def _shred(wanted: frozenset[str] | None):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            out: list = []
+            for rid, payload in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
+                _nodes(rid, payload, out, wanted)
+                if len(out) > 50_000:  # a batch of large records must not become one large batch
+                    yield _batch(out)
+                    out = []
+            yield _batch(out)
 
+    return run
 
-def adjacency(df: DataFrame, record_id: str, payload: str) -> DataFrame:
+
+def adjacency(df: DataFrame, record_id: str, payload: str, wanted: Iterable[str] | None = None) -> DataFrame:
     """One row for each object and scalar of each record's JSON text: node, parent, label, ordinal, kind, scalar.
 
     node counts the record's rows from 0 in document order; parent is the nearest enclosing object (null for the top).
@@ -88,11 +97,18 @@ def adjacency(df: DataFrame, record_id: str, payload: str) -> DataFrame:
     member names and pos_path the array positions from the top, joined by '/'. A bare object counts as an array of one
     in pos_path. kind is object, string, number, boolean, null or empty (an empty array). Numbers keep their text. Of
     repeated members of one object the last counts. Payloads that are null, empty or not JSON (NaN and Infinity are not)
-    give no rows.
+    give no rows. With wanted, only rows of these label paths are made; the others are numbered all the same.
     """
+    some = None if wanted is None else frozenset(wanted)
     return df.select(F.col(record_id).cast("long").alias("record_id"), F.col(payload).alias("payload")).where(
         "record_id IS NOT NULL AND payload IS NOT NULL"
-    ).mapInPandas(_shred, ADJACENCY)
+    ).mapInArrow(_shred(some), ADJACENCY)
+
+
+def paths_of(at: Iterable[str], fields: Iterable[str]) -> list[str]:
+    """The label paths that entities() reads for objects at some paths."""
+    at, fields = list(at), list(fields)
+    return [*at, *(f"{p}/{f}" if p else f for p in at for f in fields)]
 
 
 def entities(adj: DataFrame, at: dict[str, str], fields: dict[str, str]) -> DataFrame:
@@ -161,7 +177,7 @@ FOUND_FIELDS = {f: f for f in ("commit_hash", "file_path", "func_name", "id", "o
 def found(raw: DataFrame) -> DataFrame:
     """(record_id, level, pos_path, child_key) of raw_record's nested objects, by kind of record."""
     def part(kind: str, at: dict[str, str]) -> DataFrame:
-        return entities(adjacency(raw.where(F.col("kind") == kind), "record_id", "payload"), at, FOUND_FIELDS)
+        return entities(adjacency(raw.where(F.col("kind") == kind), "record_id", "payload", paths_of(at, FOUND_FIELDS)), at, FOUND_FIELDS)
 
     both = part("cve_record", CVE_LEVELS).unionByName(part("graph", GRAPH_LEVELS))
     return both.select("record_id", "level", "pos_path", child_key(F.col("level")).alias("child_key"))

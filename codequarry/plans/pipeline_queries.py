@@ -56,7 +56,7 @@ def p4_found(spark: SparkSession, d: str) -> DataFrame:
 def _entity(kind: str, path: str, level: str, fields: list[str]):
     def query(spark: SparkSession, d: str) -> DataFrame:
         raw = table(spark, d, "raw_record").where(F.col("kind") == kind)
-        out = shred.entities(shred.adjacency(raw, "record_id", "payload"), {path: level}, {f: f.lstrip("_") for f in fields})
+        out = shred.entities(shred.adjacency(raw, "record_id", "payload", shred.paths_of([path], fields)), {path: level}, {f: f.lstrip("_") for f in fields})
         return out.drop("level", "node", "parent_node")
 
     return query
@@ -71,8 +71,9 @@ P4_TABLES = {
 
 def p4_file(spark: SparkSession, d: str) -> DataFrame:
     """Files with the number of their commit within the record; the parent link holds through nodes of one shredding."""
-    adj = shred.adjacency(table(spark, d, "raw_record").where("kind = 'cve_record'"), "record_id", "payload")
-    both = shred.entities(adj, {"commits": "commit", "commits/files": "file"}, {"commit_hash": "commit_hash", "file_path": "file_path", "file_name": "file_name"})
+    levels, fields = {"commits": "commit", "commits/files": "file"}, {"commit_hash": "commit_hash", "file_path": "file_path", "file_name": "file_name"}
+    adj = shred.adjacency(table(spark, d, "raw_record").where("kind = 'cve_record'"), "record_id", "payload", shred.paths_of(levels, fields))
+    both = shred.entities(adj, levels, fields)
     commit = both.where("level = 'commit'").select("record_id", F.col("node").alias("parent_node"), "commit_hash")
     return both.where("level = 'file'").drop("commit_hash").join(commit, ["record_id", "parent_node"]).select("record_id", "pos_path", "commit_hash", "file_path", "file_name")
 
@@ -81,7 +82,7 @@ def _linked(path: str, level: str, fields: list[str]):
     """A level of the CVE records with node and parent_node, which number the objects of a record alike in every table."""
     def query(spark: SparkSession, d: str) -> DataFrame:
         raw = table(spark, d, "raw_record").where("kind = 'cve_record'")
-        return shred.entities(shred.adjacency(raw, "record_id", "payload"), {path: level}, {f: f for f in fields}).drop("level")
+        return shred.entities(shred.adjacency(raw, "record_id", "payload", shred.paths_of([path], fields)), {path: level}, {f: f for f in fields}).drop("level")
 
     return query
 
