@@ -12,7 +12,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from codequarry.graph.model import CFG_NODE, EXPRESSION, KEY, Graph, Traversal, full
+from codequarry.graph.model import CFG_NODE, EXPRESSION, KEY, NODE_COLUMNS, Graph, Traversal, full, merged
 from codequarry.session import Scratch
 
 #: Levels of a syntax tree after which a walk up is taken for an endless one, which is an error.
@@ -67,7 +67,7 @@ HOPS: dict[str, list[tuple[str, str, str | list[str] | None]]] = {
     "import_calls": [("in", "IS_CALL_FOR_IMPORT", "CALL")], "dependency_imports": [("in", "IMPORTS", "IMPORT")],
     "ref_type_decl": [("out", "REF", "TYPE_DECL")], "referencing_type": [("in", "REF", "TYPE")], "base_type": [("out", "INHERITS_FROM", "TYPE")],
     "base_type_decl": [("out", "INHERITS_FROM", "TYPE"), ("out", "REF", "TYPE_DECL")], "derived_type_decl": [("in", "REF", "TYPE"), ("in", "INHERITS_FROM", "TYPE_DECL")],
-    "derived_type": [("in", "INHERITS_FROM", "TYPE_DECL"), ("in", "REF", "TYPE")], "alias_type_decl": [("in", "REF", "TYPE"), ("in", "ALIAS_OF", "TYPE_DECL")],
+    "derived_type": [("in", "INHERITS_FROM", "TYPE_DECL"), ("in", "REF", "TYPE")], "alias_type_decl": [("in", "REF", "TYPE"), ("in", "ALIAS_OF", "TYPE_DECL")], "alias_type": [("in", "ALIAS_OF", "TYPE_DECL"), ("in", "REF", "TYPE")],
     "type_methods": [("out", "AST", "METHOD")], "type_members": [("out", "AST", "MEMBER")], "type_decls": [("out", "AST", "TYPE_DECL")],
     "member_refs": [("in", "REF", "CALL")], "namespaces": [("out", "REF", "NAMESPACE")], "namespace_blocks_of_file": [("in", "SOURCE_FILE", "NAMESPACE_BLOCK")],
     "locals_of_type": [("in", "EVAL_TYPE", "LOCAL")], "members_of_type": [("in", "EVAL_TYPE", "MEMBER")], "parameters_of_type": [("in", "EVAL_TYPE", "METHOD_PARAMETER_IN")],
@@ -77,7 +77,7 @@ HOPS: dict[str, list[tuple[str, str, str | list[str] | None]]] = {
     "annotated_member": [("in", "AST", "MEMBER")], "annotated_parameter": [("in", "AST", "METHOD_PARAMETER_IN")],
     "binding_type_decl": [("in", "REF", "BINDING"), ("in", "BINDS", "TYPE_DECL")], "referencing_binding": [("in", "REF", "BINDING")],
     "bound_method": [("out", "BINDS", "BINDING"), ("out", "REF", "METHOD")], "method_binding": [("out", "BINDS", "BINDING")],
-    "tags": [("out", "TAGGED_BY", "TAG")], "source_file": [("out", "SOURCE_FILE", "FILE")], "modifiers": [("out", "AST", "MODIFIER")],
+    "tags": [("out", "TAGGED_BY", "TAG")], "source_file": [("out", "SOURCE_FILE", "FILE")], "modifiers": [("out", "", "MODIFIER")],
     **{f"tagged_{n}": [("in", "TAGGED_BY", lab)] for n, lab in {"member": "MEMBER", "method": "METHOD", "method_return": "METHOD_RETURN", "parameter": "METHOD_PARAMETER_IN", "parameter_out": "METHOD_PARAMETER_OUT", "call": "CALL", "identifier": "IDENTIFIER", "literal": "LITERAL", "local": "LOCAL", "file": "FILE"}.items()},
 }
 
@@ -151,8 +151,6 @@ class Steps(Traversal):
         return Steps.of(super().keeping(name))
 
     def _hits(self, step: Callable) -> DataFrame:
-        from codequarry.graph.model import NODE_COLUMNS
-
         t = Steps(self.graph, self.df.select(*NODE_COLUMNS).dropDuplicates(KEY)).keeping("_start")
         return step(t).df.select("_start.graph_id", "_start.id").distinct()
 
@@ -403,35 +401,42 @@ class Steps(Traversal):
         j = j.join(names, (F.col("graph_id") == F.col("ng")) & (F.coalesce("src", F.col("id")) == F.col("nid")), "left")
         return j.select(*KEY, F.coalesce("name", "code").alias("symbol"), "label", "line_number", F.coalesce("filename", "_mf").alias("filename"), "method_full_name")
 
-    def canonical_type(self, most: int = 100) -> Steps:
-        """The type at the end of a chain of aliases."""
-        now, out = self, None
-        for _ in range(most):
-            via = lambda t: t.out("ALIAS_OF", label="TYPE").out("REF", label="TYPE_DECL")
-            end = now.where_not_step(via)
-            out = end if out is None else out.union(end)
-            now = via(now.where_step(via))
-            if now.is_empty():
-                break
-        return out
+    def canonical_type(self) -> Steps:
+        """The type at the end of a chain of aliases, each once for each start; a chain that ends in a circle has none."""
+        via = lambda t: t.out("ALIAS_OF", label="TYPE").out("REF", label="TYPE_DECL")
+        t = self.keeping("_root")
+        return t.union(t._chased(via)).where_not_step(via).dropping("_root")
 
     def unravel_alias(self) -> Steps:
         via = lambda t: t.out("ALIAS_OF", label="TYPE").out("REF", label="TYPE_DECL")
         return via(self.where_step(via)).union(self.where_not_step(via))
 
-    def _transitive(self, chain: str, most: int = 50) -> Steps:
-        """Closure of a chain of hops, the start left out, each node once for each start."""
-        t = self.keeping("_root")
-        seen, now = None, t
-        for _ in range(most):
-            now = getattr(now, chain)().dedup()
-            if seen is not None:
-                now = now._with(now.df.join(seen.df.select(*KEY, "_root"), [*KEY, "_root"], "left_anti"))
-            if now.is_empty():
-                break
-            seen = now if seen is None else seen.union(now)
-        out = seen if seen is not None else now
-        return out.dropping("_root")
+    def _chased(self, step: Callable[[Steps], Steps]) -> Steps:
+        """What a step reaches again and again from each _root, each node once; rounds are written and go on until nothing is new."""
+        scratch = Scratch(self.graph.nodes.sparkSession)
+        key = [*KEY, "_root"]
+        now = step(self).dedup()
+        now = now._with(scratch.save(now.df))
+        seen = [now.df]
+        while not now.is_empty():
+            seen = merged(seen, scratch)
+            old = seen[0]
+            for s in seen[1:]:
+                old = old.unionByName(s)
+            now = step(now).dedup()
+            now = now._with(scratch.save(now.df.join(old.select(*key), key, "left_anti")))
+            seen.append(now.df)
+        out = seen[0]
+        for s in seen[1:]:
+            out = out.unionByName(s)
+        return self._with(out)
+
+    def _transitive(self, chain: str) -> Steps:
+        """Closure of a chain of hops, the start left out unless a circle leads back to it, each node once for each start."""
+        return self.keeping("_root")._chased(lambda t: getattr(t, chain)()).dropping("_root")
+
+    def alias_type_transitive(self) -> Steps:
+        return self._transitive("alias_type")
 
     def base_type_decl_transitive(self) -> Steps:
         return self._transitive("base_type_decl")
@@ -484,18 +489,46 @@ class Steps(Traversal):
     def called_by(self, source: Traversal) -> Steps:
         return self.caller().called_by_including_sink(source)
 
-    def called_by_including_sink(self, source: Traversal, most: int = 100) -> Steps:
+    def called_by_including_sink(self, source: Traversal) -> Steps:
         """Methods of source from which the start is reached over calls, each once."""
         ids = source.df.select(*KEY).distinct()
-        seen, now = self.dedup(), self.dedup()
-        for _ in range(most):
-            now = now.caller().dedup()
-            now = now._with(now.df.join(seen.df.select(*KEY), KEY, "left_anti"))
-            if now.is_empty():
-                break
-            seen = seen.union(now)
+        # one root for all: what is reached from any start
+        one = Steps(self.graph, self.df.select(*NODE_COLUMNS).withColumn("_root", F.lit(0)), ("_root",)).dedup()
+        seen = one.union(one._chased(lambda t: t.caller())).dropping("_root").dedup()
         return seen._with(seen.df.join(ids, KEY, "left_semi"))
 
+    def call_out(self) -> Steps:
+        return self.out("CONTAINS", label="CALL")
+
+    def call_out_regex(self, regex: str) -> Steps:
+        return self.call_to(regex)
+
+    def return_user(self) -> Steps:
+        """Calls of the methods that the start returns from."""
+        return self.in_("AST", label="METHOD").in_("CALL", label="CALL")
+
+    # Calls that are not in the graph come from a resolver: edges of the calls that it knows. The default one adds none.
+
+    def resolved(self, resolver: Callable[[Graph], DataFrame] | None = None) -> Steps:
+        """The same elements in a graph with the resolver's CALL edges (graph_id, src, dst), each once."""
+        if resolver is None:
+            return self
+        new = resolver(self.graph).select("graph_id", "src", "dst", F.lit("CALL").alias("etype"))
+        old = self.graph.etype("CALL").select("graph_id", "src", "dst")
+        g = self.graph.with_edges(new.distinct().join(old, ["graph_id", "src", "dst"], "left_anti"))
+        return Steps(g, self.df, self.carry)
+
+    def called_methods(self, resolver: Callable[[Graph], DataFrame] | None = None) -> Steps:
+        return self.resolved(resolver).out("CALL", label="METHOD")
+
+    def method_callsites(self, resolver: Callable[[Graph], DataFrame] | None = None) -> Steps:
+        return self.resolved(resolver).in_("CALL", label="CALL").dedup()
+
+    def unresolved_method_full_names(self) -> DataFrame:
+        """(graph_id, id, method_full_name): calls that no CALL edge leaves, with the name that a resolver would look for."""
+        e = self.graph.etype("CALL").select("graph_id", F.col("src").alias("id")).distinct()
+        return self.label("CALL").df.join(e, KEY, "left_anti").select(*KEY, "method_full_name")
+
     # Operators.
 
     def target(self) -> Steps:
