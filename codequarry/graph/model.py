@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -48,6 +48,7 @@ class Graph:
 
     nodes: DataFrame
     edges: DataFrame
+    _pairs: dict = field(default_factory=dict, compare=False, repr=False)
 
     @staticmethod
     def of(nodes: DataFrame, edges: DataFrame) -> Graph:
@@ -84,10 +85,58 @@ class Graph:
     def etype(self, *types: str) -> DataFrame:
         return self.edges.where(F.col("etype").isin(*types)) if types else self.edges
 
+    def pairs(self, types: list[str]) -> DataFrame:
+        """(graph_id, id, to, depth): all that is reached from all nodes, with the least depth, written once for this graph.
+
+        By doubling: a shortest path of more than k and at most 2k edges is one of k edges and one of at most k, so the
+        rounds are the logarithm of the longest shortest path, however deep a tree is."""
+        key = tuple(sorted(types))
+        if key not in self._pairs:
+            scratch = Scratch(self.nodes.sparkSession)
+            e = self.etype(*types).select("graph_id", F.col("src").alias("id"), F.col("dst").alias("to")).distinct()
+            parts, k = [scratch.save(e.withColumn("depth", F.lit(1)))], 1
+            front = parts[0]
+            while not front.isEmpty():
+                known = union(parts)
+                on = front.where(F.col("depth") == k).select("graph_id", "id", F.col("to").alias("mid"))
+                then = known.select("graph_id", F.col("id").alias("mid"), "to", F.col("depth").alias("more"))
+                new = on.join(then, ["graph_id", "mid"]).groupBy("graph_id", "id", "to").agg((F.min("more") + k).alias("depth"))
+                front = scratch.save(new.join(known.select("graph_id", "id", "to"), ["graph_id", "id", "to"], "left_anti"))
+                parts.append(front)
+                k *= 2
+            self._pairs[key] = union(parts)
+        return self._pairs[key]
+
+    def above(self, stops: Column) -> DataFrame:
+        """(graph_id, id, above, depth): the nearest proper ancestor in the syntax tree that meets a condition, one for each node
+        that has one. Pointers jump over twice as many levels in each round, and a node is one row in all of them."""
+        scratch = Scratch(self.nodes.sparkSession)
+        stop = self.nodes.where(stops).select("graph_id", F.col("id").alias("to"), F.lit(True).alias("done")).distinct()
+        up = self.etype("AST").select("graph_id", F.col("dst").alias("id"), F.col("src").alias("to")).distinct()
+        now = up.join(stop, ["graph_id", "to"], "left").select("graph_id", "id", "to", F.lit(1).alias("depth"), F.coalesce("done", F.lit(False)).alias("done"))
+        now = scratch.save(now)
+        rounds = 0
+        while not now.where("NOT done").isEmpty():
+            rounds += 1
+            if rounds > 60:
+                raise RuntimeError("the syntax tree has a circle")
+            then = now.select("graph_id", F.col("id").alias("to"), F.col("to").alias("to2"), F.col("depth").alias("more"), F.col("done").alias("done2"))
+            going = now.where("NOT done").join(then, ["graph_id", "to"]).select("graph_id", "id", F.col("to2").alias("to"), (F.col("depth") + F.col("more")).alias("depth"), F.col("done2").alias("done"))
+            nxt = scratch.save(now.where("done").unionByName(going))
+            scratch.drop(now)
+            now = nxt
+        return now.select("graph_id", "id", F.col("to").alias("above"), "depth")
+
     def closure(self, types: list[str], starts: DataFrame | None = None, reverse: bool = False, most: int | None = None) -> DataFrame:
         """(graph_id, id, to, depth): what is reached over edges of some types, the start itself left out unless a cycle
-        leads back to it; the least depth of each. Semi-naive: only new pairs are carried on, each round is written, and the
-        number of rounds is the longest shortest path, or most where that is given."""
+        leads back to it; the least depth of each. Of a syntax tree, whose pairs are few, and from all nodes it is taken from
+        pairs(). From some starts over other edges only new pairs are carried on, each round is written, and the number
+        of rounds is the longest shortest path, or most where that is given."""
+        if most is None and (starts is None or types == ["AST"]):
+            out = self.pairs(types)
+            if reverse:
+                out = out.select("graph_id", F.col("to").alias("id"), F.col("id").alias("to"), "depth")
+            return out if starts is None else out.join(starts.select(*KEY).distinct(), KEY, "left_semi")
         scratch = Scratch(self.nodes.sparkSession)
         e = self.etype(*types).select("graph_id", *((F.col("dst").alias("f"), F.col("src").alias("t")) if reverse else (F.col("src").alias("f"), F.col("dst").alias("t")))).distinct()
         e = scratch.save(e)
@@ -101,25 +150,22 @@ class Graph:
             depth += 1
             parts = merged(parts, scratch)
             new = delta.join(e, (delta["graph_id"] == e["graph_id"]) & (delta["to"] == e["f"])).select(delta["graph_id"], delta["id"], e["t"].alias("to")).distinct()
-            seen = parts[0]
-            for p in parts[1:]:
-                seen = seen.unionByName(p)
+            seen = union(parts)
             delta = scratch.save(new.join(seen.select("graph_id", "id", "to"), ["graph_id", "id", "to"], "left_anti").withColumn("depth", F.lit(depth)))
             parts.append(delta)
-        out = parts[0]
-        for p in parts[1:]:
-            out = out.unionByName(p)
-        return out
+        return union(parts)
 
 
-def merged(parts: list[DataFrame], scratch: Scratch, most: int = 20) -> list[DataFrame]:
-    """The same rows in at most `most` tables, so that the plan over many rounds stays small."""
-    if len(parts) <= most:
-        return parts
+def union(parts: list[DataFrame]) -> DataFrame:
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)
-    return [scratch.save(out)]
+    return out
+
+
+def merged(parts: list[DataFrame], scratch: Scratch, most: int = 20) -> list[DataFrame]:
+    """The same rows in at most `most` tables, so that the plan over many rounds stays small."""
+    return parts if len(parts) <= most else [scratch.save(union(parts))]
 
 
 class Traversal:

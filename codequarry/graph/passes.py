@@ -18,12 +18,9 @@ CDG_SOURCES = ["LITERAL", "IDENTIFIER", "CALL", "METHOD_REF", "UNKNOWN", "CONTRO
 
 def contains(graph: Graph) -> DataFrame:
     """CONTAINS edges: METHOD, TYPE_DECL or FILE to the control-flow nodes whose nearest such ancestor it is."""
-    boxes = graph.nodes.where(F.col("label").isin("METHOD", "TYPE_DECL", "FILE")).select(F.col("graph_id").alias("bg"), F.col("id").alias("src"))
-    c = graph.closure(["AST"]).withColumnsRenamed({"id": "up", "to": "dst"})
-    near = c.join(boxes, (F.col("graph_id") == F.col("bg")) & (F.col("up") == F.col("src"))).groupBy("graph_id", "dst").agg(F.min(F.struct("depth", "src")).alias("m"))
-    inner = graph.nodes.where(F.col("label").isin([x for x in CFG_NODE if not x.startswith("METHOD_PARAMETER") and x not in ("METHOD", "METHOD_RETURN")])).select(F.col("graph_id").alias("ng"), F.col("id").alias("nid"))
-    out = near.join(inner, (F.col("graph_id") == F.col("ng")) & (F.col("dst") == F.col("nid")))
-    return out.select("graph_id", F.col("m.src").alias("src"), "dst", F.lit("CONTAINS").alias("etype"))
+    near = graph.above(F.col("label").isin("METHOD", "TYPE_DECL", "FILE")).select("graph_id", F.col("above").alias("src"), F.col("id").alias("dst"))
+    inner = graph.nodes.where(F.col("label").isin([x for x in CFG_NODE if not x.startswith("METHOD_PARAMETER") and x not in ("METHOD", "METHOD_RETURN")])).select("graph_id", F.col("id").alias("dst")).distinct()
+    return near.join(inner, ["graph_id", "dst"], "left_semi").select("graph_id", "src", "dst", F.lit("CONTAINS").alias("etype"))
 
 
 def _flow(graph: Graph) -> DataFrame:

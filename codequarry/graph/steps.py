@@ -12,12 +12,9 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from codequarry.graph.model import CFG_NODE, EXPRESSION, KEY, NODE_COLUMNS, Graph, Traversal, full, merged
+from codequarry.graph.model import CFG_NODE, EXPRESSION, KEY, NODE_COLUMNS, Graph, Traversal, full, merged, union
 from codequarry.session import Scratch
 
-#: Levels of a syntax tree after which a walk up is taken for an endless one, which is an error.
-MOST_LEVELS = 1000
-
 # Node-type starters: name -> (label, column that the argument is matched with).
 STARTERS: dict[str, tuple[str, str | None]] = {
     "annotation": ("ANNOTATION", None), "call": ("CALL", "name"), "config_file": ("CONFIG_FILE", "name"), "dependency": ("DEPENDENCY", "name"),
@@ -180,23 +177,20 @@ class Steps(Traversal):
 
     def _up(self, with_self: bool) -> Steps:
         # above a METHOD nothing is taken; the METHOD nearest to the start ends the walk
-        t = self.keeping("_leaf")
-        up = t.reached(["AST"], reverse=True, with_self=True)
-        depth = self.graph.closure(["AST"], self.df, reverse=True).select(F.col("graph_id").alias("_g"), F.col("id").alias("_l"), F.col("to").alias("_t"), F.col("depth"))
-        rows = up.df.join(depth, (F.col("graph_id") == F.col("_g")) & (F.col("_leaf.id") == F.col("_l")) & (F.col("id") == F.col("_t")), "left").withColumn("_d", F.coalesce("depth", F.lit(0))).drop("_g", "_l", "_t", "depth")
-        stops = rows.where("label = 'METHOD'").groupBy("_leaf").agg(F.min("_d").alias("_stop"))
-        out = rows.join(stops, "_leaf", "left").where("_stop IS NULL OR _d <= _stop")
-        if not with_self:
-            out = out.where("_d > 0")
-        return Steps(self.graph, out.drop("_leaf", "_d", "_stop"), self.carry)
+        up = self.graph.pairs(["AST"]).select("graph_id", F.col("to").alias("_leaf"), F.col("id").alias("_far"), "depth")
+        if with_self:
+            up = up.unionByName(self.graph.nodes.select("graph_id", F.col("id").alias("_leaf"), F.col("id").alias("_far"), F.lit(0).alias("depth")))
+        start = self.df.select("graph_id", F.col("id").alias("_leaf"), (F.col("label") == "METHOD").alias("_own"), *self.carry)
+        stop = self.graph.above(F.col("label") == "METHOD").select("graph_id", F.col("id").alias("_leaf"), F.col("depth").alias("_stop"))
+        rows = start.join(up, ["graph_id", "_leaf"]).join(stop, ["graph_id", "_leaf"], "left")
+        ends = rows.where(F.col("depth") <= F.when(F.col("_own"), 0).otherwise(F.coalesce("_stop", F.lit(2**31 - 1))))
+        return self._at(ends.select(F.col("graph_id").alias("_g"), "_far", *self.carry), None)
 
     def nearest(self, label: str) -> Steps:
         """The nearest proper ancestor with a label."""
-        t = self.keeping("_leaf").reached(["AST"], reverse=True, label=label)
-        depth = self.graph.closure(["AST"], self.df, reverse=True).select(F.col("graph_id").alias("_g"), F.col("id").alias("_l"), F.col("to").alias("_t"), "depth")
-        rows = t.df.join(depth, (F.col("graph_id") == F.col("_g")) & (F.col("_leaf.id") == F.col("_l")) & (F.col("id") == F.col("_t"))).drop("_g", "_l", "_t")
-        best = rows.groupBy("_leaf").agg(F.min("depth").alias("_best"))
-        return Steps(self.graph, rows.join(best, "_leaf").where("depth = _best").drop("_leaf", "depth", "_best"), self.carry)
+        up = self.graph.above(F.col("label") == label).select("graph_id", "id", F.col("above").alias("_far"))
+        ends = self.df.select(*KEY, *self.carry).join(up, KEY).select(F.col("graph_id").alias("_g"), "_far", *self.carry)
+        return self._at(ends, None)
 
     def parent_block(self) -> Steps:
         return self.nearest("BLOCK")
@@ -252,40 +246,19 @@ class Steps(Traversal):
         return self.df.select(*KEY, F.when(F.col("label").isin("METHOD", "MEMBER"), F.col("name")).otherwise(F.col("code")).alias("repr"))
 
     def parent_expression(self) -> Steps:
-        """The nearest enclosing expression, member accesses skipped."""
-        up = self.in_("AST")
-        out = None
-        scratch = Scratch(self.graph.nodes.sparkSession)
-        for _ in range(MOST_LEVELS):
-            skip = F.coalesce((F.col("label") == "CALL") & F.col("name").isin(MEMBER_ACCESS), F.lit(False))
-            stop = up.where(~skip).label(*EXPRESSION)
-            out = stop if out is None else out.union(stop)
-            up = up.where(skip)
-            if up.is_empty():
-                break
-            up = up.in_("AST")
-            up = up._with(scratch.save(up.df))
-        else:
-            raise RuntimeError("parent_expression did not come to an end")
-        return out
+        """The nearest ancestor that is no member access, if that is an expression."""
+        skip = F.coalesce((F.col("label") == "CALL") & F.col("name").isin(MEMBER_ACCESS), F.lit(False))
+        up = self.graph.above(~skip).select("graph_id", "id", F.col("above").alias("_far"))
+        return self._at(self.df.select(*KEY, *self.carry).join(up, KEY).select(F.col("graph_id").alias("_g"), "_far", *self.carry), EXPRESSION)
 
     def statement(self) -> Steps:
-        """The child of the enclosing block or control structure that holds the start."""
+        """The child of the enclosing block, control structure or method that holds the start, or the start itself."""
         block = F.col("label").isin("BLOCK", "CONTROL_STRUCTURE", "METHOD")
-        done, now = None, self
-        scratch = Scratch(self.graph.nodes.sparkSession)
-        for _ in range(MOST_LEVELS):
-            with_parent = now.keeping("_stmt").in_("AST")
-            at = with_parent.where(block).df.select("_stmt.graph_id", "_stmt.id").distinct()
-            fin = now._with(now.df.join(at, KEY, "left_semi"))
-            done = fin if done is None else done.union(fin)
-            now = now._with(now.df.join(at, KEY, "left_anti")).in_("AST")
-            now = now._with(scratch.save(now.df))
-            if now.is_empty():
-                break
-        else:
-            raise RuntimeError("statement did not come to an end")
-        return done
+        top = self.graph.above(block).select("graph_id", "id", (F.col("depth") - 1).alias("depth"))
+        # the ancestor one level below it
+        up = self.graph.pairs(["AST"]).select("graph_id", F.col("to").alias("id"), F.col("id").alias("_far"), "depth")
+        at = top.where("depth > 0").join(up, ["graph_id", "id", "depth"]).select("graph_id", "id", "_far").unionByName(top.where("depth = 0").select("graph_id", "id", F.col("id").alias("_far")))
+        return self._at(self.df.select(*KEY, *self.carry).join(at, KEY).select(F.col("graph_id").alias("_g"), "_far", *self.carry), None)
 
     # Control flow.
 
@@ -396,10 +369,10 @@ class Steps(Traversal):
     def location(self) -> DataFrame:
         """(graph_id, id, symbol, label, line_number, filename, method_full_name), null where unknown."""
         m = self.graph.etype("CONTAINS").select(F.col("graph_id").alias("mg"), "src", F.col("dst").alias("mid"))
-        names = self.graph.nodes.where("label = 'METHOD'").select(F.col("graph_id").alias("ng"), F.col("id").alias("nid"), F.coalesce("full_name", "name").alias("method_full_name"), F.col("filename").alias("_mf"))
+        names = self.graph.nodes.where("label = 'METHOD'").select(F.col("graph_id").alias("ng"), F.col("id").alias("nid"), F.coalesce("full_name", "name").alias("_mn"), F.col("filename").alias("_mf"))
         j = self.df.join(m, (F.col("graph_id") == F.col("mg")) & (F.col("id") == F.col("mid")), "left")
         j = j.join(names, (F.col("graph_id") == F.col("ng")) & (F.coalesce("src", F.col("id")) == F.col("nid")), "left")
-        return j.select(*KEY, F.coalesce("name", "code").alias("symbol"), "label", "line_number", F.coalesce("filename", "_mf").alias("filename"), "method_full_name")
+        return j.select(*KEY, F.coalesce("name", "code").alias("symbol"), "label", "line_number", F.coalesce("filename", "_mf").alias("filename"), F.col("_mn").alias("method_full_name"))
 
     def canonical_type(self) -> Steps:
         """The type at the end of a chain of aliases, each once for each start; a chain that ends in a circle has none."""
@@ -420,16 +393,10 @@ class Steps(Traversal):
         seen = [now.df]
         while not now.is_empty():
             seen = merged(seen, scratch)
-            old = seen[0]
-            for s in seen[1:]:
-                old = old.unionByName(s)
             now = step(now).dedup()
-            now = now._with(scratch.save(now.df.join(old.select(*key), key, "left_anti")))
+            now = now._with(scratch.save(now.df.join(union(seen).select(*key), key, "left_anti")))
             seen.append(now.df)
-        out = seen[0]
-        for s in seen[1:]:
-            out = out.unionByName(s)
-        return self._with(out)
+        return self._with(union(seen))
 
     def _transitive(self, chain: str) -> Steps:
         """Closure of a chain of hops, the start left out unless a circle leads back to it, each node once for each start."""

@@ -12,11 +12,17 @@ from codequarry.plans.pipeline_queries import _graph
 from codequarry.session import Scratch, table
 
 
+_graphs: dict[tuple[str, str], Graph] = {}
+
+
 def graph_of(spark: SparkSession, d: str) -> Graph:
-    """The graphs of raw_record, written once as node and edge tables."""
-    scratch = Scratch(spark)
-    g = Graph.from_records(table(spark, d, "raw_record"), scratch)
-    return Graph(scratch.save(g.nodes), scratch.save(g.edges))
+    """The graphs of raw_record, written as node and edge tables once a session for each folder of tables."""
+    key = (spark.sparkContext.applicationId, d)
+    if key not in _graphs:
+        scratch = Scratch(spark)
+        g = Graph.from_records(table(spark, d, "raw_record"), scratch)
+        _graphs[key] = Graph(scratch.save(g.nodes), scratch.save(g.edges))
+    return _graphs[key]
 
 
 def _with_contains(g: Graph) -> Graph:
