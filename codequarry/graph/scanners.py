@@ -9,6 +9,7 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from codequarry.graph import special
 from codequarry.graph.dataflow import reachable_by, reached_sources
 from codequarry.graph.model import KEY, Graph, Traversal
 from codequarry.graph.steps import Cpg, Steps
@@ -275,14 +276,7 @@ _flow_scan("sql-injection", "Request value reaches a query", 5, ("sqlInjection",
 _flow_scan("php-sql-injection", "Request value reaches a query", 5, ("remoteCodeExecution", "default"), lambda c: c.argument(r".*\$_(REQUEST|GET|POST).*"), lambda c: calls_of(c, "query").where_step(lambda t: t.out("RECEIVER")).argument())
 _flow_scan("shell-exec", "Request value reaches a shell", 5, ("remoteCodeExecution", "default"), lambda c: c.argument(r".*\$_(REQUEST|GET|POST).*"), lambda c: calls_of(c, "shell_exec").argument())
 _flow_scan("xss-servlet", "Request parameter is written to the response", 8, ("xss", "default"), lambda c: calls_of(c, "getParameter"), lambda c: calls_of(c, "(print|println|write)").argument(1))
-_flow_scan("intent-to-runtime-exec", "Intent value is executed", 9, ("android",), lambda c: calls_of(c, "getIntent"), lambda c: calls_of(c, "exec").argument())
-_flow_scan("broadcast-to-file-write", "Broadcast value is written to a file", 6, ("android",), lambda c: c.method("onReceive").parameters(), lambda c: calls_of(c, "write").argument())
-_flow_scan("external-storage-to-dex-classloader", "Code is loaded from external storage", 9, ("android",), lambda c: calls_of(c, "getExternalStorageDirectory"), lambda c: calls_of(c, "<init>").where(F.col("method_full_name").contains("DexClassLoader")).argument())
-_flow_scan("insecure-load-url-to-exec", "Script value is executed", 9, ("android",), lambda c: c.method().where_step(lambda t: t.annotations().full_name_is(".*JavascriptInterface")).parameters(), lambda c: calls_of(c, "exec").argument())
-_flow_scan("intent-redirection", "Intent from outside is started", 4, ("android",), lambda c: calls_of(c, "getParcelableExtra"), lambda c: calls_of(c, "startActivity").where_not_step(lambda t: t.controlled_by()).argument())
-_flow_scan("fragment-injection", "Class name from outside is loaded", 7, ("android",), lambda c: calls_of(c, "loadClass"), lambda c: calls_of(c, "newInstance"))
 _flow_scan("usage-of-nop-trust-manager", "Trust manager that checks nothing", 5, ("android", "insecureNetworkTraffic"), lambda c: c.call("<operator>.alloc").type_full_name_is(".*TrustManager.*"), lambda c: calls_of(c, "init").argument(2))
-_flow_scan("root-detection-via-file-checks", "Root is looked for by files", 3, ("android",), lambda c: c.literal('"?.*/(su|busybox|Superuser\\.apk)"?'), lambda c: calls_of(c, "exists"))
 
 
 @scan("unzip-directory-traversal", "Archive entry's path is not checked", 4, "pathTraversal", "android")
@@ -304,15 +298,130 @@ def _(cpg):
 # Configuration and shape.
 
 
+# Signatures of the methods that check certificates and hosts.
+VALIDATORS = {
+    "verify": ["boolean(java.lang.String,javax.net.ssl.SSLSession)"],
+    "checkClientTrusted": ["void(java.security.cert.X509Certificate[],java.lang.String,javax.net.ssl.SSLEngine)"],
+    "checkServerTrusted": ["void(java.security.cert.X509Certificate[],java.lang.String,javax.net.ssl.SSLEngine)"],
+}
+
+
 @scan("ineffective-certificate-check", "Certificate check that always passes", 6, "badimpl", "default")
 def _(cpg):
-    m = cpg.method("(checkClientTrusted|checkServerTrusted|verify)").is_internal()
-    return m.where_not_step(lambda t: t.reached(["AST"], label="CALL"))
+    """What runs first in a validator, behind copies of parameters to locals, is a return or the literal 1 that is returned."""
+    g = cpg.graph
+    m = cpg.method().exact("name", *VALIDATORS).exact("signature", *[v for vs in VALIDATORS.values() for v in vs])
+    other = Steps(g, g.nodes).label("IDENTIFIER").where_step(lambda t: t.out("REF").where("label <> 'LOCAL'"))
+    plain = Steps(g, g.nodes).label("IDENTIFIER").minus(other)
+    copies = cpg.call().where(F.col("method_full_name") == "<operator>.assignment")
+    # an assignment of assignments counts as its arguments do; each round takes the next level in
+    skipped = plain
+    while True:
+        ids = skipped.df.select("graph_id", F.col("id").alias("_a")).distinct()
+        e = g.etype("ARGUMENT").select("graph_id", "src", F.col("dst").alias("_a"))
+        loose = e.join(ids, ["graph_id", "_a"], "left_anti").select("graph_id", F.col("src").alias("id")).distinct()
+        more = copies._with(copies.df.join(loose, KEY, "left_anti"))
+        new = more.minus(skipped)
+        if new.is_empty():
+            break
+        skipped = skipped.union(new)
+    free = Graph(g.nodes, g.etype("CFG").join(skipped.df.select("graph_id", F.col("id").alias("src")).distinct(), ["graph_id", "src"], "left_semi"))
+    first = m.keeping("_m").out("CFG")
+    behind = Steps(free, first.df, first.carry).reached(["CFG"], with_self=True)
+    stop = Steps(g, behind.df, behind.carry).dropping("_m")
+    stop = stop._with(stop.df.join(skipped.df.select(*KEY).distinct(), KEY, "left_anti")).dedup()
+    one = stop.label("LITERAL").exact("code", "1").where_not_step(lambda t: t.out("CFG").where("label <> 'RETURN'"))
+    return stop.label("RETURN").union(one)
 
 
 @scan("usage-of-insecure-protocol", "Unencrypted protocol", 4, "insecureNetworkTraffic", "android")
 def _(cpg):
-    return cpg.call().where(F.col("method_full_name").rlike(r"^java\.net\.URL\.<init>")).where_step(lambda t: t.out("ARGUMENT", label="LITERAL").code_is('"?(http|ftp)://.*'))
+    return cpg.method().exact("full_name", "java.net.URL.<init>:void(java.lang.String)").call_in().where_step(lambda t: t.argument().label("LITERAL").matching("code", "[^h]*http:.*"))
+
+
+# Applications of the Android kind. Names in a manifest belong to the graph that holds it.
+
+
+def reached_calls(calls: Steps, sources: Traversal, index: int | None = None) -> Steps:
+    """The calls of which a source reaches some argument, or the one of an index."""
+    hit = reachable_by(calls.argument(index), sources, most_calls=2).select("graph_id", F.col("sink").alias("dst")).distinct()
+    ids = calls.graph.etype("ARGUMENT").join(hit, ["graph_id", "dst"], "left_semi").select("graph_id", F.col("src").alias("id")).distinct()
+    return calls._with(calls.df.join(ids, KEY, "left_semi"))
+
+
+@scan("intent-to-runtime-exec", "Intent value is executed", 9, "android")
+def _(cpg):
+    names = special.reaches_default_category(cpg.config_file().where(F.col("name").endswith("AndroidManifest.xml")))
+    t = cpg.type_decl()
+    intents = t._with(t.df.join(names, ["graph_id", "name"], "left_semi")).out("AST", label="METHOD").out("CONTAINS", label="CALL").where("name = 'getIntent' AND type_full_name = 'android.content.Intent'")
+    return reached_calls(cpg.call("exec").where("type_full_name = 'java.lang.Process'"), intents)
+
+
+@scan("broadcast-to-file-write", "Broadcast value is written to a file", 6, "android")
+def _(cpg):
+    t = special.registered_broadcast_receivers(cpg)
+    open_ = t._with(t.df.join(special.exported_receivers(special.app_manifest(cpg)), ["graph_id", "name"], "left_semi"))
+    data = open_.out("AST", label="METHOD").exact("name", "onReceive").out("AST", label="METHOD_PARAMETER_IN").where(F.col("index") == 2)
+    writes = cpg.call().exact("name", "write").where_step(lambda c: c.argument().label("IDENTIFIER").exact("type_full_name", "java.io.FileOutputStream"))
+    return reached_calls(writes, data)
+
+
+@scan("external-storage-to-dex-classloader", "Code is loaded from external storage", 9, "android")
+def _(cpg):
+    allowed = special.reads_external_storage(special.app_manifest(cpg)).df.select("graph_id").distinct()
+    reads = special.external_storage_dir(cpg)
+    reads = reads._with(reads.df.join(allowed, "graph_id", "left_semi"))
+    made = cpg.call().exact("name", "<init>").where_step(lambda c: c.argument(0).label("IDENTIFIER").exact("type_full_name", "dalvik.system.DexClassLoader"))
+    made = reached_calls(made, reads, 1)
+    loaders = special.dex_class_loaders(cpg)
+    held = made.method().df.select("graph_id", F.col("id").alias("_m")).distinct()
+    of = loaders.keeping("_l").nearest("METHOD").df.select("graph_id", F.col("_l.id").alias("id"), F.col("id").alias("_m"))
+    loaders = loaders._with(loaders.df.join(of.join(held, ["graph_id", "_m"], "left_semi").select(*KEY), KEY, "left_semi"))
+    invoked = cpg.call().exact("method_full_name", "java.lang.reflect.Method.invoke:java.lang.Object(java.lang.Object,java.lang.Object[])")
+    return reached_calls(invoked, special.calls_on(loaders, "loadClass"), 1)
+
+
+@scan("insecure-load-url-to-exec", "Script value is executed", 9, "android")
+def _(cpg):
+    plain = cpg.literal().where(F.regexp_replace("code", '^"|"$', "").startswith("http:"))
+    views = special.enabling_script(special.web_views(cpg))
+    loads = special.load_url_calls(views.keeping("_v"))
+    # the literal lies in the method of the call
+    pairs = reachable_by(loads.argument(), plain, most_calls=2).select("graph_id", "source", F.col("sink").alias("dst"))
+    calls = cpg.graph.etype("ARGUMENT").select("graph_id", "dst", F.col("src").alias("call")).join(pairs, ["graph_id", "dst"])
+    own = lambda t, as_: t.keeping("_n").method().df.select("graph_id", F.col("_n.id").alias(as_), F.col("id").alias("_m"))
+    hit = calls.join(own(plain, "source"), ["graph_id", "source"]).join(own(cpg.call().exact("name", "loadUrl"), "call"), ["graph_id", "call", "_m"]).select("graph_id", "call").distinct()
+    seen = loads.df.select("graph_id", F.col("id").alias("call"), F.col("_v.id").alias("view")).join(hit, ["graph_id", "call"], "left_semi").select("graph_id", F.col("view").alias("id")).distinct()
+    clear = special.names_cleartext_traffic(special.app_manifest(cpg)).df.select("graph_id").distinct()
+    views = views._with(views.df.join(seen, KEY, "left_semi").join(clear, "graph_id", "left_semi"))
+    bridges = special.add_script_interface_calls(views).argument(1).label("IDENTIFIER", "CALL").df.select("graph_id", F.col("type_full_name").alias("full_name")).distinct()
+    exposed = special.exposed_to_script(cpg)
+    of = exposed.keeping("_e").defining_type_decl().df.join(bridges, ["graph_id", "full_name"], "left_semi").select("graph_id", F.col("_e.id").alias("id")).distinct()
+    exposed = exposed._with(exposed.df.join(of, KEY, "left_semi"))
+    return reached_calls(cpg.call("exec").where("type_full_name = 'java.lang.Process'"), exposed.parameters())
+
+
+@scan("intent-redirection", "Intent from outside is started", 4, "android")
+def _(cpg):
+    sources = cpg.method().exact("name", "getParcelableExtra").call_in().matching("code", ".*Intent.*")
+    guarded = lambda t: t.controlled_by().in_("AST", label="CONTROL_STRUCTURE")
+    sinks = cpg.method().exact("name", "startActivity").call_in().where_not_step(guarded).argument()
+    return Steps.of(reached_sources(sinks, sources, most_calls=2))
+
+
+@scan("fragment-injection", "Old target version lets fragments be injected", 4, "android", "misconfiguration")
+def _(cpg):
+    lines = F.split("content", "\n")
+    version = lambda line: F.transform(F.regexp_extract_all(line, F.lit(r"^[^t]+targetSdk[^0-9]+(\d+)"), F.lit(1)), lambda v: v.cast("int"))
+    return cpg.config_file(".*build.gradle").where(F.exists(lines, lambda line: F.exists(version(line), lambda v: v < 19)))
+
+
+@scan("root-detection-via-file-checks", "Root is looked for by files", 3, "android")
+def _(cpg):
+    known = F.regexp_replace(F.regexp_replace("code", '"$', ""), "'$", "")
+    paths = cpg.literal().where(F.col("code").contains("/") & (known.endswith("Superuser.apk") | known.endswith("superuser.apk") | known.endswith("/su")))
+    checks = reached_calls(cpg.call().exact("method_full_name", "java.io.File.exists:boolean()"), paths)
+    return checks.method().where_step(lambda m: m.caller())
 
 
 def _config(cpg: Cpg, name: str, regex: str) -> Steps:

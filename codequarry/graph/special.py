@@ -74,9 +74,22 @@ def reads_external_storage(manifests: Steps) -> Steps:
     return manifests.where(F.array_contains(F.xpath(_plain(F.col("content")), F.lit("//uses-permission/@name")), "android.permission.READ_EXTERNAL_STORAGE"))
 
 
-def exported_names(manifests: Steps, element: str) -> DataFrame:
-    """(graph_id, id, name) of the exported elements of a kind, such as activity or receiver."""
-    return manifests.df.select(*KEY, F.explode(F.xpath(_plain(F.col("content")), F.lit(f"//{element}[@exported='true']/@name"))).alias("name"))
+def reaches_default_category(manifests: Steps) -> DataFrame:
+    """(graph_id, name) of the activities that implicit intents reach: those with an intent filter of the default category."""
+    path = "/manifest/application/activity[intent-filter/category/@name='android.intent.category.DEFAULT']/@name"
+    return manifests.df.select("graph_id", F.explode(F.xpath(_plain(F.col("content")), F.lit(path))).alias("name")).distinct()
+
+
+def exported_receivers(manifests: Steps) -> DataFrame:
+    """(graph_id, name) of the broadcast receivers that are exported and have an intent filter, without a leading dot."""
+    path = "/manifest/application/receiver[intent-filter and @exported='true']/@name"
+    names = manifests.df.select("graph_id", F.explode(F.xpath(_plain(F.col("content")), F.lit(path))).alias("name"))
+    return names.select("graph_id", F.regexp_replace("name", r"^\.", "").alias("name")).distinct()
+
+
+def names_cleartext_traffic(manifests: Steps) -> Steps:
+    """Manifests whose application has the attribute at all, whatever its value: what scanners ask for."""
+    return manifests.where(F.size(F.xpath(_plain(F.col("content")), F.lit("/manifest/application/@usesCleartextTraffic"))) > 0)
 
 
 def web_views(cpg: Cpg) -> Steps:
@@ -88,11 +101,51 @@ def calls_on(variables: Steps, name: str) -> Steps:
     return Steps.of(variables.in_("REF", label="IDENTIFIER")).in_call().exact("name", name)
 
 
+def _typed(index: int, kind: str):
+    return lambda t: t.out("AST", label="METHOD_PARAMETER_IN").where((F.col("index") == index) & (F.col("type_full_name") == kind))
+
+
+def _identifier(index: int, kind: str):
+    return lambda t: t.argument(index).label("IDENTIFIER").where(F.col("type_full_name") == kind)
+
+
 def broadcast_receivers(cpg: Cpg) -> Steps:
     """Types with a method onReceive(context, intent)."""
-    p = lambda t, kind: t.out("AST", label="METHOD_PARAMETER_IN").where(F.col("type_full_name") == kind)
-    m = cpg.method("onReceive").where_step(lambda t: p(t, "android.content.Context")).where_step(lambda t: p(t, "android.content.Intent"))
-    return Steps.of(m.in_("AST", label="TYPE_DECL"))
+    m = cpg.method().exact("name", "onReceive").where_step(_typed(1, "android.content.Context")).where_step(_typed(2, "android.content.Intent"))
+    return m.defining_type_decl()
+
+
+def register_receiver(cpg: Cpg) -> Steps:
+    return cpg.call().exact("name", "registerReceiver").where_step(_identifier(2, "android.content.IntentFilter"))
+
+
+def registered_broadcast_receivers(cpg: Cpg) -> Steps:
+    """Receivers of whose type some first argument of registerReceiver is."""
+    known = register_receiver(cpg).argument(1).label("IDENTIFIER").df.select("graph_id", F.col("type_full_name").alias("full_name")).distinct()
+    t = broadcast_receivers(cpg)
+    return t._with(t.df.join(known, ["graph_id", "full_name"], "left_semi"))
+
+
+def external_storage_dir(cpg: Cpg) -> Steps:
+    return cpg.call().exact("name", "getExternalStorageDirectory").where_step(_identifier(0, "android.os.Environment"))
+
+
+def dex_class_loaders(cpg: Cpg) -> Steps:
+    return cpg.local().where("type_full_name = 'dalvik.system.DexClassLoader'")
+
+
+def enabling_script(variables: Steps) -> Steps:
+    """Web views on whose settings setJavaScriptEnabled(true) is called."""
+    on = lambda t: t.in_call().exact("name", "setJavaScriptEnabled").argument().label("LITERAL").exact("code", "true")
+    return variables.where_step(lambda t: Steps.of(t.in_("REF", label="IDENTIFIER")).in_call().exact("name", "getSettings").where_step(on))
+
+
+def load_url_calls(variables: Steps) -> Steps:
+    return calls_on(variables, "loadUrl")
+
+
+def add_script_interface_calls(variables: Steps) -> Steps:
+    return calls_on(variables, "addJavascriptInterface")
 
 
 def exposed_to_script(cpg: Cpg) -> Steps:

@@ -10,6 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from codequarry.graph import scanners
 from codequarry.graph.model import KEY, Graph
 from codequarry.graph.steps import Cpg, Steps
 from codequarry.session import Scratch, table
@@ -27,7 +28,9 @@ TARGETS = [
 ]
 FORWARD = ["CDG", "DOMINATE", "POST_DOMINATE"]
 NAMES = ["alpha", "beta", "gammaOne", "delta", "open"]
-CALLS = ["<operator>.assignment", "<operator>.assignmentPlus", "<operator>.addition", "<operator>.postIncrement", "<operator>.indexAccess", "<operator>.indirectIndexAccess", "<operator>.fieldAccess", "<operator>.memberAccess", "<operator>.indirection", "<operator>.addressOf", "open", "alpha", "read"]
+CALLS = ["<operator>.assignment", "<operator>.assignmentPlus", "<operator>.addition", "<operator>.postIncrement", "<operator>.indexAccess", "<operator>.indirectIndexAccess", "<operator>.fieldAccess", "<operator>.memberAccess", "<operator>.indirection", "<operator>.addressOf", "<operator>.shiftLeft", "open", "alpha", "read"]
+FUNCTIONS = ["gets", "scanf", "strcat", "strncpy", "strcpy", "strtok", "getwd", "my_strcpy_s", "exec", "printf", "sprintf", "strlen", "free", "malloc", "read", "memcpy", "alpha", "open", "beta", "delta", "my_free", "<global>"]
+TYPES = ["int", "long", "gint", "pkg.T0", "pkg.T1", "pkg.T2"]
 MODS = ["PUBLIC", "PRIVATE", "PROTECTED", "ABSTRACT", "STATIC", "NATIVE", "CONSTRUCTOR", "VIRTUAL", "MODULE", "LAMBDA"]
 CONTROLS = ["BREAK", "CONTINUE", "DO", "ELSE", "THROW", "FOR", "GOTO", "IF", "SWITCH", "TRY", "WHILE", "CATCH", "FINALLY"]
 
@@ -42,12 +45,12 @@ def _node_columns(spark: bool) -> dict[str, str]:
     n, i = ("string", "int") if spark else ("VARCHAR", "INTEGER")
     s = lambda e: f"cast({e} AS {n})"
     return {
-        "label": p(LABELS, f"(7 * k + g) % {len(LABELS)}"), "name": f"CASE WHEN (7 * k + g) % {len(LABELS)} = {LABELS.index('CALL')} THEN {p(CALLS, f'h % {len(CALLS)}')} ELSE {p(NAMES, 'h % 5')} END",
-        "full_name": f"concat('pkg.T', {s('h % 6')})", "code": f"concat({p(NAMES, 'h % 4')}, '(', {s('h % 3')}, ')')", "signature": f"concat('void(', {s('h % 4')}, ')')", "value": f"concat('v', {s('h % 2')})",
+        "label": p(LABELS, f"(7 * k + g) % {len(LABELS)}"), "name": f"CASE WHEN (7 * k + g) % {len(LABELS)} = {LABELS.index('CALL')} THEN {p(CALLS, f'h % {len(CALLS)}')} WHEN (7 * k + g) % {len(LABELS)} = {LABELS.index('METHOD')} THEN {p(FUNCTIONS, f'h % {len(FUNCTIONS)}')} ELSE {p(NAMES, 'h % 5')} END",
+        "full_name": f"CASE WHEN (7 * k + g) % {len(LABELS)} = {LABELS.index('TYPE')} THEN {p(TYPES, 'h % 6')} ELSE concat('pkg.T', {s('h % 6')}) END", "code": f"concat({p(NAMES, 'h % 4')}, '(', {s('h % 3')}, ')')", "signature": f"concat('void(', {s('h % 4')}, ')')", "value": f"concat('v', {s('h % 2')})",
         "type_full_name": f"concat('T', {s('h % 5')})", "filename": f"concat('f', {s('h % 3')}, '.c')", "is_external": "h % 2 = 0", "modifier_type": p(MODS, "h % 10"), "control_structure_type": p(CONTROLS, "h % 13"),
         "dispatch_type": p(["STATIC_DISPATCH", "DYNAMIC_DISPATCH", "INLINED"], "h % 3"), "method_full_name": f"concat('pkg.T', {s('h % 4')})", "alias_type_full_name": "CASE WHEN h % 3 = 0 THEN 'A' END",
         "canonical_name": f"concat('c', {s('h % 3')})", "evaluation_strategy": p(["BY_VALUE", "BY_REFERENCE", "BY_SHARING"], "h % 3"), "is_variadic": "h % 5 = 0",
-        "order": f"cast(1 + h % 4 AS {i})", "index": f"cast(h % 4 AS {i})", "argument_index": f"cast((h + k) % 4 AS {i})", "line_number": f"cast(h AS {i})", "line_number_end": f"CASE WHEN h % 7 > 0 THEN cast(h + k % 4 AS {i}) END",
+        "order": f"cast(1 + h % 4 AS {i})", "index": f"cast(h % 4 AS {i})", "argument_index": f"cast((h + k) % 4 AS {i})", "line_number": f"cast(h AS {i})", "line_number_end": f"CASE WHEN h % 7 > 0 THEN cast(h + k % 4 + CASE WHEN h % 11 = 0 THEN 2000 ELSE 0 END AS {i}) END",
         "column_number": f"cast(h % 20 AS {i})", "content": f"CASE WHEN (7 * k + g) % {len(LABELS)} = {LABELS.index('FILE')} THEN CASE WHEN h % 3 = 0 THEN '<empty>' ELSE 'abcdefghijklmnopqrstuvwxyz' END END",
         "offset": f"cast(h % 9 AS {i})", "offset_end": f"cast(h % 9 + k % 6 AS {i})",
     }
@@ -466,6 +469,31 @@ family(
     r2 AS (SELECT e.graph_id, e.dst AS id FROM e JOIN r1 ON r1.graph_id = e.graph_id AND r1.id = e.src WHERE etype IN ('REF', 'ARGUMENT')), r3 AS (SELECT e.graph_id, e.dst AS id FROM e JOIN r2 ON r2.graph_id = e.graph_id AND r2.id = e.src WHERE etype IN ('REF', 'ARGUMENT'))""",
 )
 
+# Scanners.
+
+_CALLS_OF = lambda regex: _hops("<CALL:CALL", _n(f"label = 'METHOD' AND regexp_full_match(name, '{regex}')"))
+_DANGER = {"call-to-gets": "(?i)gets", "call-to-scanf": "(?i)scanf", "call-to-strcat": "(?i)(strcat|strncat)", "call-to-strcpy": "(?i)(strcpy|strncpy)", "call-to-strtok": "(?i)strtok", "call-to-getwd": "(?i)getwd", "call-to-strcpy-ghidra": "(.*_)?(strcpy|strncpy).*", "call-to-exec": "exec"}
+_INTERNAL = "m.label = 'METHOD' AND NOT m.is_external AND m.name <> '<global>'"
+_MEASURED = lambda what, least: f"SELECT m.graph_id, m.id FROM up JOIN n m ON m.graph_id = up.graph_id AND m.id = up.t JOIN n x ON x.graph_id = up.graph_id AND x.id = up.f WHERE d > 0 AND {_INTERNAL} AND {what} GROUP BY 1, 2 HAVING count(*) > {least}"
+_NO_LITERAL = lambda regex, at: f"SELECT q.graph_id, q.id FROM ({_CALLS_OF(regex)}) q WHERE NOT EXISTS (SELECT 1 FROM e JOIN n x ON x.graph_id = e.graph_id AND x.id = e.dst WHERE e.graph_id = q.graph_id AND e.src = q.id AND etype = 'ARGUMENT' AND x.\"order\" = {at} AND x.label = 'LITERAL')"
+_FREED = "SELECT a.graph_id, a.id, x.label, x.name, x.code FROM (SELECT e.graph_id, e.dst AS id FROM (" + _CALLS_OF("(?i)(.*_)?free") + f") c JOIN e ON e.graph_id = c.graph_id AND e.src = c.id AND etype = 'ARGUMENT') a JOIN n x ON x.graph_id = a.graph_id AND x.id = a.id AND x.argument_index = 1 AND x.label IN {EXPR}"
+_SCANS = [*_DANGER, "format-controlled-printf", "too-many-params", "too-high-complexity", "too-long", "multiple-returns", "too-many-loops", "too-nested", "strlen-truncation", "signed-left-shift", "free-field-no-reassign", "free-returned-value", "free-follows-value-reuse"]
+family(
+    "scans", {s: (lambda c, s=s: scanners.REGISTRY[s].run(c)) for s in _SCANS},
+    {s: _CALLS_OF(r) for s, r in _DANGER.items()}
+    | {"format-controlled-printf": _NO_LITERAL("(?i)printf", 1) + " UNION ALL " + _NO_LITERAL("(?i)(sprintf|vsprintf)", 2), "too-many-params": _MEASURED("d = 1 AND x.label = 'METHOD_PARAMETER_IN'", 4), "too-high-complexity": _MEASURED("x.label = 'CONTROL_STRUCTURE'", 4),
+       "too-long": f"SELECT graph_id, id FROM n m WHERE {_INTERNAL} AND coalesce(line_number_end - line_number + 1, 0) > 1000", "multiple-returns": _MEASURED("x.label = 'RETURN'", 1), "too-many-loops": _MEASURED("x.label = 'CONTROL_STRUCTURE' AND x.control_structure_type IN ('FOR', 'DO', 'WHILE')", 4),
+       "too-nested": f"SELECT m.graph_id, m.id FROM n m JOIN (SELECT u.graph_id, u.t, u.f, count(*) AS k FROM up u JOIN up v ON v.graph_id = u.graph_id AND v.f = u.f AND v.d <= u.d JOIN n x ON x.graph_id = v.graph_id AND x.id = v.t AND x.label = 'CONTROL_STRUCTURE' GROUP BY 1, 2, 3) q ON q.graph_id = m.graph_id AND q.t = m.id WHERE {_INTERNAL} GROUP BY 1, 2 HAVING max(k) > 3",
+       "strlen-truncation": f"SELECT a.graph_id, a.a AS id FROM ({_CALLS_OF('(?i)strlen')}) q JOIN (SELECT upl.graph_id, f, t FROM upl LEFT JOIN stop USING (graph_id, f) WHERE d <= coalesce(s, 1000) AND label = 'CALL' AND name IN {_SET['assignment']}) b ON b.graph_id = q.graph_id AND b.f = q.id JOIN args a ON a.graph_id = b.graph_id AND a.c = b.t AND a.i = 1 "
+           "WHERE EXISTS (SELECT 1 FROM e JOIN n t ON t.graph_id = e.graph_id AND t.id = e.dst AND t.label = 'TYPE' AND t.full_name IN ('int', 'gint') WHERE e.graph_id = a.graph_id AND e.src = a.a AND etype = 'EVAL_TYPE')",
+       "signed-left-shift": "SELECT graph_id, id FROM n WHERE label = 'CALL' AND name IN ('<operator>.shiftLeft', '<operator>.assignmentShiftLeft') AND EXISTS (SELECT 1 FROM args a JOIN e ON e.graph_id = a.graph_id AND e.src = a.a AND etype = 'EVAL_TYPE' JOIN n t ON t.graph_id = e.graph_id AND t.id = e.dst AND t.label = 'TYPE' AND t.full_name IN ('int', 'long') WHERE a.graph_id = n.graph_id AND a.c = n.id AND a.i = 1) "
+           "AND (SELECT count(*) FROM args a WHERE a.graph_id = n.graph_id AND a.c = n.id AND a.label = 'LITERAL') <> 2",
+       "free-field-no-reassign": f"SELECT graph_id, id FROM ({_FREED}) f WHERE label = 'CALL' AND name IN ('<operator>.fieldAccess', '<operator>.indirectFieldAccess') AND NOT EXISTS (SELECT 1 FROM n k JOIN args a ON a.graph_id = k.graph_id AND a.c = k.id AND a.i = 1 JOIN n y ON y.graph_id = a.graph_id AND y.id = a.a WHERE k.graph_id = f.graph_id AND k.label = 'CALL' AND k.name IN {_SET['assignment']} AND y.code = f.code)",
+       "free-returned-value": f"SELECT graph_id, id FROM ({_FREED}) f WHERE label = 'IDENTIFIER' AND EXISTS (SELECT 1 FROM own o JOIN own p ON p.graph_id = o.graph_id AND p.m = o.m JOIN n i ON i.graph_id = p.graph_id AND i.id = p.id AND i.label = 'IDENTIFIER' AND i.name = f.name JOIN e ON e.graph_id = i.graph_id AND e.dst = i.id AND etype = 'ARGUMENT' JOIN n r ON r.graph_id = e.graph_id AND r.id = e.src AND r.label = 'RETURN' WHERE o.graph_id = f.graph_id AND o.id = f.id)",
+       "free-follows-value-reuse": f"SELECT graph_id, id FROM ({_FREED}) f WHERE label = 'IDENTIFIER' AND EXISTS (SELECT 1 FROM (SELECT e.graph_id, e.dst, arg_min(e.src, e.src) AS c FROM e WHERE etype = 'ARGUMENT' GROUP BY 1, 2) q JOIN n k ON k.graph_id = q.graph_id AND k.id = q.c AND k.label = 'CALL' JOIN pd ON pd.graph_id = q.graph_id AND pd.f = q.c JOIN n x ON x.graph_id = pd.graph_id AND x.id = pd.t AND x.label = 'IDENTIFIER' AND x.name = f.name WHERE q.graph_id = f.graph_id AND q.dst = f.id)"},
+    _UP + ", " + _ARGS + ", " + _OWN + ", " + _walk("pd", "POST_DOMINATE", True),
+)
+
 # Steps that give values.
 
 rows("number_of_lines", lambda c: c.method().number_of_lines(), "SELECT graph_id, id, coalesce(line_number_end - line_number + 1, 0)::INTEGER AS n_lines FROM n WHERE label = 'METHOD'")

@@ -4,7 +4,7 @@ import random
 from pyspark.sql import functions as F
 
 from codequarry.graph import access_path as ap
-from codequarry.graph import dataflow, special
+from codequarry.graph import dataflow, scanners, special
 from codequarry.graph.model import Graph
 from codequarry.graph.steps import Cpg
 from tests.test_graph import Build, ids
@@ -49,7 +49,7 @@ def test_special_steps(spark):
     assert ids(special.calls_on(special.web_views(cpg), "loadUrl")) == [8] and ids(special.resolved_entities(cpg.call("loadUrl"))) == [13]
     m = special.app_manifest(cpg)
     assert ids(special.uses_cleartext_traffic(m)) == [11] and ids(special.reads_external_storage(m)) == [11]
-    assert [r["name"] for r in special.exported_names(m, "activity").collect()] == [".A"]
+    assert special.reaches_default_category(m).collect() == [] and special.exported_receivers(m).collect() == []
     assert special.broadcast_receivers(cpg).is_empty() and special.exposed_to_script(cpg).is_empty()
 
 
@@ -86,3 +86,115 @@ def test_flows_are_not_cut(spark):
     at = lambda i: cpg.all().where(F.col("id") == chain[i])
     got = dataflow.reachable_by(at(-1), at(0)).collect()
     assert [r["path"] for r in got] == [chain]
+
+
+MANIFEST = """<manifest xmlns:android="http://schemas.android.com/apk/res/android"><uses-permission android:name="android.permission.READ_EXTERNAL_STORAGE"/>
+<application android:usesCleartextTraffic="true"><activity android:name="Main"><intent-filter><category android:name="android.intent.category.DEFAULT"/></intent-filter></activity>
+<activity android:name="Other" android:exported="true"/><receiver android:name=".Rec" android:exported="%s"><intent-filter/></receiver></application></manifest>"""
+
+
+def app(spark, exported="true", guarded=False, sdk=18, root="/system/xbin/su", first="RETURN"):
+    """A program that holds what the scanners of applications look for."""
+    nodes, edges = [], []
+
+    def node(label, under=None, **kw):
+        nodes.append(dict(graph_id=1, id=len(nodes), label=label, **kw))
+        if under is not None:
+            edges.append((1, under, len(nodes) - 1, "AST"))
+        return len(nodes) - 1
+
+    def edge(src, dst, kind):
+        edges.append((1, src, dst, kind))
+
+    def call(m, name, full="", code="", typ="", args=()):
+        c = node("CALL", m, name=name, method_full_name=full, code=code, type_full_name=typ)
+        edge(m, c, "CONTAINS")
+        for i, (label, kw) in args:
+            a = node(label, c, argument_index=i, **kw)
+            edge(c, a, "ARGUMENT")
+            edge(m, a, "CONTAINS")
+        return c
+
+    def argument(c, i):
+        return next(d for _, s, d, k in edges if k == "ARGUMENT" and s == c and nodes[d]["argument_index"] == i)
+
+    ident = lambda name, typ="": ("IDENTIFIER", dict(name=name, code=name, type_full_name=typ))
+    node("CONFIG_FILE", name="app/AndroidManifest.xml", content=MANIFEST % exported)
+    node("CONFIG_FILE", name="app/build.gradle", content=f"android {{\n  minSdk 1\n  targetSdk {sdk}\n}}")
+    main = node("TYPE_DECL", name="Main", full_name="a.Main")
+    m = node("METHOD", main, name="onCreate", full_name="a.Main.onCreate")
+    intent = call(m, "getIntent", typ="android.content.Intent")
+    run = call(m, "exec", typ="java.lang.Process", args=[(1, ident("cmd"))])
+    edge(intent, argument(run, 1), "REACHING_DEF")
+    rec = node("TYPE_DECL", name="Rec", full_name="a.Rec")
+    on = node("METHOD", rec, name="onReceive", full_name="a.Rec.onReceive")
+    node("METHOD_PARAMETER_IN", on, index=1, name="c", type_full_name="android.content.Context")
+    data = node("METHOD_PARAMETER_IN", on, index=2, name="i", type_full_name="android.content.Intent")
+    call(m, "registerReceiver", args=[(1, ident("r", "a.Rec")), (2, ident("f", "android.content.IntentFilter"))])
+    write = call(on, "write", args=[(0, ident("o", "java.io.FileOutputStream")), (1, ident("bytes"))])
+    edge(data, argument(write, 1), "REACHING_DEF")
+    storage = call(m, "getExternalStorageDirectory", args=[(0, ident("E", "android.os.Environment"))])
+    loader = node("LOCAL", m, name="l", type_full_name="dalvik.system.DexClassLoader")
+    made = call(m, "<init>", args=[(0, ident("l", "dalvik.system.DexClassLoader")), (1, ident("path"))])
+    edge(storage, argument(made, 1), "REACHING_DEF")
+    load = call(m, "loadClass", args=[(0, ident("l"))])
+    edge(argument(load, 0), loader, "REF")
+    invoke = call(m, "invoke", "java.lang.reflect.Method.invoke:java.lang.Object(java.lang.Object,java.lang.Object[])", args=[(1, ident("k"))])
+    edge(load, argument(invoke, 1), "REACHING_DEF")
+    view = node("LOCAL", m, name="w", type_full_name="android.webkit.WebView")
+    script = call(m, "setJavaScriptEnabled", args=[(1, ("LITERAL", dict(code="true")))])
+    settings = call(m, "getSettings", args=[(0, ident("w"))])
+    edge(script, settings, "ARGUMENT")
+    nodes[settings]["argument_index"] = 0
+    edge(argument(settings, 0), view, "REF")
+    url = call(m, "loadUrl", args=[(0, ident("w")), (1, ("LITERAL", dict(code='"http://x"')))])
+    edge(argument(url, 0), view, "REF")
+    add = call(m, "addJavascriptInterface", args=[(0, ident("w")), (1, ident("b", "a.Bridge"))])
+    edge(argument(add, 0), view, "REF")
+    bridge = node("TYPE_DECL", name="Bridge", full_name="a.Bridge")
+    open_ = node("METHOD", bridge, name="debug", full_name="a.Bridge.debug")
+    node("ANNOTATION", open_, full_name="android.webkit.JavascriptInterface")
+    cmd = node("METHOD_PARAMETER_IN", open_, index=1, name="cmd")
+    shell = call(open_, "exec", typ="java.lang.Process", args=[(1, ident("cmd"))])
+    edge(cmd, argument(shell, 1), "REACHING_DEF")
+    extra, start = node("METHOD", name="getParcelableExtra", full_name="b.e"), node("METHOD", name="startActivity", full_name="b.s")
+    get, go = call(m, "getParcelableExtra", code="getIntent().getParcelableExtra()"), call(m, "startActivity", args=[(1, ident("x"))])
+    edge(get, extra, "CALL"), edge(go, start, "CALL"), edge(get, argument(go, 1), "REACHING_DEF")
+    if guarded:
+        edge(node("CALL", node("CONTROL_STRUCTURE", m, control_structure_type="IF"), name="<operator>.equals"), go, "CDG")
+    check = node("METHOD", main, name="isRooted", full_name="a.Main.isRooted")
+    exists = call(check, "exists", "java.io.File.exists:boolean()", args=[(0, ident("f"))])
+    su = node("LITERAL", check, code=f'"{root}"')
+    edge(su, argument(exists, 0), "REACHING_DEF")
+    edge(call(m, "isRooted"), check, "CALL")
+    node("METHOD", name="<init>", full_name="java.net.URL.<init>:void(java.lang.String)")
+    for code in ('"http://a"', '"https://a"', '"ftp://a"'):
+        edge(call(m, "<init>", args=[(1, ("LITERAL", dict(code=code)))]), [n["id"] for n in nodes if n.get("full_name", "").startswith("java.net")][0], "CALL")
+    verify = node("METHOD", main, name="verify", full_name="a.v", signature="boolean(java.lang.String,javax.net.ssl.SSLSession)")
+    local = node("LOCAL", verify, name="c")
+    copy = call(verify, "<operator>.assignment", "<operator>.assignment", args=[(1, ident("c")), (2, ident("p"))])
+    for i in (1, 2):
+        edge(argument(copy, i), local, "REF")
+    end = node(first, verify, code="1" if first == "LITERAL" else "return true")
+    edge(verify, argument(copy, 1), "CFG"), edge(argument(copy, 1), argument(copy, 2), "CFG"), edge(argument(copy, 2), copy, "CFG"), edge(copy, end, "CFG")
+    schema = "graph_id long, id long, label string, name string, full_name string, code string, type_full_name string, method_full_name string, signature string, content string, control_structure_type string, argument_index int, index int"
+    cols = [c.split()[0] for c in schema.split(", ")]
+    g = Graph.of(spark.createDataFrame([tuple(n.get(c) for c in cols) for n in nodes], schema), spark.createDataFrame(edges, "graph_id long, src long, dst long, etype string"))
+    return g, dict(exec=run, write=write, invoke=invoke, shell=shell, get=get, rooted=check, end=end, nodes=nodes)
+
+
+def test_application_scanners(spark):
+    g, x = app(spark)
+    run = lambda g, s: ids(scanners.REGISTRY[s].run(Cpg(g)))
+    assert run(g, "intent-to-runtime-exec") == [x["exec"]] and run(g, "broadcast-to-file-write") == [x["write"]]
+    assert run(g, "external-storage-to-dex-classloader") == [x["invoke"]] and run(g, "insecure-load-url-to-exec") == [x["shell"]]
+    assert run(g, "intent-redirection") == [x["get"]] and run(g, "root-detection-via-file-checks") == [x["rooted"]]
+    assert len(run(g, "fragment-injection")) == 1 and run(g, "ineffective-certificate-check") == [x["end"]]
+    assert [x["nodes"][i]["name"] for i in run(g, "usage-of-insecure-protocol")] == ["<init>"]
+
+
+def test_applications_without_findings(spark):
+    g, x = app(spark, exported="false", guarded=True, sdk=19, root="/system/bin/ls", first="CALL")
+    for s in ("broadcast-to-file-write", "intent-redirection", "root-detection-via-file-checks", "fragment-injection", "ineffective-certificate-check"):
+        assert ids(scanners.REGISTRY[s].run(Cpg(g))) == [], s
+    assert ids(scanners.REGISTRY["ineffective-certificate-check"].run(Cpg(app(spark, first="LITERAL")[0]))) != []
