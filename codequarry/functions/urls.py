@@ -8,17 +8,21 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from dataclasses import dataclass
+from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from codequarry.session import Scratch
+
 
 @dataclass(frozen=True)
 class Rule:
     host: str
     when: Callable[[Column], Column]
     rewrite: Callable[[Column], Column] | None = None  # None: the page is looked up
-    redirect: bool = False
+    redirect: str = ""  # "short": where the URL names no commit; "always"
+    then: Callable[[Column], Column] | None = None  # rewrites what the page names
     again: bool = False  # what the page names goes through the rules once more
     most: int | None = None  # drop the page's links beyond so many
 
@@ -90,10 +94,11 @@ def is_github_commit(u: Column) -> Column:
     return u.rlike(r"^https?://github\.com/[\w-]+/[\w-]+/commit/[0-9a-f]+")
 
 
+# Hosts and the parts of their URLs, in the order in which the rules are tried.
 RULES = [
     Rule("github.com", lambda u: is_github_commit(github(u)), github),
     Rule("github.com", lambda u: github(u).rlike(r"^https?://github\.com/[\w-]+/[\w-]+/(pull|issues)/[0-9a-f]+")),
-    Rule("git.kernel.org", _any, _kernel, redirect=True),
+    Rule("git.kernel.org", _any, _kernel, redirect="short"),
     Rule("sourceware.org", _has("h="), _sub(SEMICOLON)),
     Rule("sourceware.org", _has("sourceware.org/bugzilla/show_bug.cgi")),
     Rule("android.googlesource.com", lambda u: ~u.rlike(r"\.(txt|java|cpp)$"), _sub((",", ""))),
@@ -105,14 +110,14 @@ RULES = [
     Rule("git.moodle.org", _has("a=search")),
     Rule("cgit.freedesktop.org", _has("commit"), lambda u: u),
     Rule("cgit.freedesktop.org", _has("diff"), _sub(("diff", "commit"))),
-    Rule("git.gnome.org", lambda u: u != "https://gitlab.gnome.org/users/sign_in", _gnome, redirect=True),
+    Rule("git.gnome.org", lambda u: u != "https://gitlab.gnome.org/users/sign_in", _gnome, redirect="always"),
     Rule("git.openssl.org", _has("commit"), _sub(SEMICOLON, TO_COMMIT)),
     Rule("git.savannah.gnu.org", _has("commit", "patch"), _sub(SEMICOLON, TO_COMMIT, ("a=commit_plain", "a=commit"), ("patch", "commit"))),
     Rule("git.ghostscript.com", _any, _ghostscript),
     Rule("gitlab.gnome.org", lambda u: u.contains("commit") & ~u.rlike(r"\.(c|patch)$"), _gnome),
-    Rule("gitlab.gnome.org", lambda u: ~u.rlike(r"\.(c|patch)$")),
+    Rule("gitlab.gnome.org", lambda u: ~u.rlike(r"\.(c|patch)$"), then=_gnome, most=10),
     Rule("gitlab.freedesktop.org", lambda u: F.regexp_replace(u, r".diffs\?commit_id.*$", "").contains("commit"), _cgit),
-    Rule("gitlab.freedesktop.org", _any),
+    Rule("gitlab.freedesktop.org", _any, then=_cgit, most=10),
     Rule("src.chromium.org", _has("viewvc")),
     Rule("git.qemu.org", _has("commit"), _to_github("qemu/qemu", SEMICOLON, TO_COMMIT, ("id=", "h="), ("gitweb.cgi", ""))),
     Rule("gitlab.com", _has("/commit/"), lambda u: F.regexp_replace(u, r"[?#].*$", "")),
@@ -153,25 +158,29 @@ def _rules_where(test: Callable[[Rule], bool]) -> list[int]:
     return [i for i, r in enumerate(RULES) if test(r)]
 
 
-def mine(references: DataFrame, links: DataFrame | None = None, redirects: DataFrame | None = None, depth: int = 2) -> DataFrame:
+def mine(references: DataFrame, links: DataFrame | None = None, redirects: DataFrame | None = None) -> DataFrame:
     """(record, url): the different fix-commit URLs of each record's references(record, url).
 
     links(page, url) has what looked-up pages name, redirects(url, final) where short links lead; without them such
     references give nothing, or stand for themselves. A pull request or issue of a repository is left alone where the
-    record names a commit of it. Pages of trackers are mined again, up to depth times.
+    record names a commit of it. What pages of trackers name is mined again, as far as that leads; a URL is followed
+    once for each record, which ends circles.
     """
-    now = references.where("url IS NOT NULL").select("record", "url").distinct()
+    scratch = Scratch(references.sparkSession)
     slug = lambda u: F.regexp_extract(github(u), r"^https?://github\.com/([\w-]+/[\w-]+)/", 1)
-    out = None
-    for level in range(depth + 1):
+    now = references.where("url IS NOT NULL").select("record", "url").distinct()
+    if links is not None:
+        now = scratch.save(now)
+    seen, out = [now], None
+    while True:
         # a generator keeps the rule from being worked out anew in each of the branches that ask for it
         r = now.select("record", F.inline(F.array(F.struct("url", rule_number(F.col("url")).alias("rule"))))).where("rule IS NOT NULL")
         if redirects is not None:
-            short = F.col("rule").isin(_rules_where(lambda x: x.redirect)) & ~F.col("url").contains("commit")
+            short = F.col("rule").isin(_rules_where(lambda x: x.redirect == "always")) | (F.col("rule").isin(_rules_where(lambda x: x.redirect == "short")) & ~F.col("url").contains("commit"))
             r = r.join(redirects.select(F.col("url").alias("_short"), "final"), F.col("url") == F.col("_short"), "left").withColumn("url", F.when(short, F.coalesce("final", "url")).otherwise(F.col("url"))).drop("_short", "final")
         direct = r.select("record", rewritten(F.col("url"), F.col("rule")).alias("url")).where("url IS NOT NULL")
         out = direct if out is None else out.unionByName(direct)
-        if links is None or level == depth:
+        if links is None:
             break
         pages = r.where(F.col("rule").isin(_rules_where(lambda x: x.rewrite is None)))
         named = r.where(is_github_commit(github(F.col("url")))).select("record", slug(F.col("url")).alias("_slug")).distinct()
@@ -183,9 +192,17 @@ def mine(references: DataFrame, links: DataFrame | None = None, redirects: DataF
         for i, k in limits:
             too_many = too_many | ((F.col("rule") == i) & (F.col("_n") > k))
         found = found.join(many.where(~too_many).select("record", "page", "rule"), ["record", "page", "rule"], "left_semi")
+        to = F.col("_to")
+        for i, x in enumerate(RULES):
+            if x.then is not None:
+                to = F.when(F.col("rule") == i, x.then(F.col("_to"))).otherwise(to)
         again = F.col("rule").isin(_rules_where(lambda x: x.again))
-        out = out.unionByName(found.where(~again).select("record", F.col("_to").alias("url")))
-        now = found.where(again).select("record", F.col("_to").alias("url")).distinct()
+        out = out.unionByName(found.where(~again).select("record", to.alias("url")))
+        next_ = found.where(again).select("record", F.col("_to").alias("url")).distinct().join(reduce(DataFrame.unionByName, seen), ["record", "url"], "left_anti")
+        now = scratch.save(next_)
+        if now.isEmpty():
+            break
+        seen.append(now)
     return out.distinct()
 
 
@@ -196,14 +213,13 @@ def page_links(text: Column) -> Column:
 
 def host_frequency(urls: DataFrame, least: int = 50, newest: int = 50) -> DataFrame:
     """(host, n, newest): hosts of more than `least` URLs, with the last `newest` different ones by ordinal; urls has ordinal
-    and url. The last are kept by the aggregate itself, not from a gathered list."""
+    and url. The last of each of 64 parts of a host are kept first, so that no task sees all URLs of a host."""
     h = urls.select(host(F.col("url")).alias("host"), "ordinal", "url")
     n = h.groupBy("host").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > least)
     per = h.groupBy("host", "url").agg(F.max("ordinal").alias("last")).join(n, "host")
-    from pyspark.sql import Window
-
-    rank = F.row_number().over(Window.partitionBy("host").orderBy(F.desc("last")))
-    kept = per.withColumn("_r", rank).where(F.col("_r") <= newest)
+    rank = lambda *by: F.row_number().over(Window.partitionBy(*by).orderBy(F.desc("last")))
+    some = per.withColumn("_part", F.pmod(F.xxhash64("url"), F.lit(64))).withColumn("_r", rank("host", "_part")).where(F.col("_r") <= newest)
+    kept = some.withColumn("_r", rank("host")).where(F.col("_r") <= newest)
     return kept.groupBy("host", "n").agg(F.transform(F.array_sort(F.collect_list(F.struct("last", "url"))), lambda x: x["url"]).alias("newest"))
 
 

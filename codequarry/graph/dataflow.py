@@ -40,35 +40,120 @@ def semantics_table(spark, text: str) -> DataFrame:
     return spark.createDataFrame(parse_semantics(text), "method string, src int, dst int, passthrough boolean, regex boolean")
 
 
-#: Flows of common operators: the target takes the value; arithmetic passes its arguments on.
-DEFAULT_SEMANTICS = """
-"<operator>.assignment" 2->1
-"<operator>.assignmentPlus" 2->1 1->1
-"<operator>.assignmentMinus" 2->1 1->1
+# Flows between the arguments of operators and of common C and Java calls. A method that is not named moves any
+# argument to any. ceil gives nothing back, as its users know it.
+OPERATOR_SEMANTICS = """
 "<operator>.addition" 1->-1 2->-1
-"<operator>.subtraction" 1->-1 2->-1
-"<operator>.multiplication" 1->-1 2->-1
-"<operator>.division" 1->-1 2->-1
-"<operator>.cast" 1->-1 2->-1
 "<operator>.addressOf" 1->-1
-"<operator>.indirection" 1->-1
-"<operator>.indexAccess" 1->-1
-"<operator>.fieldAccess" 1->-1
+"<operator>.assignment" 2->1 2->-1
+"<operator>.assignmentAnd" 2->1 1->1 2->-1
+"<operator>.assignmentArithmeticShiftRight" 2->1 1->1 2->-1
+"<operator>.assignmentDivision" 2->1 1->1 2->-1
+"<operator>.assignmentExponentiation" 2->1 1->1 2->-1
+"<operator>.assignmentLogicalShiftRight" 2->1 1->1 2->-1
+"<operator>.assignmentMinus" 2->1 1->1 2->-1
+"<operator>.assignmentModulo" 2->1 1->1 2->-1
+"<operator>.assignmentMultiplication" 2->1 1->1 2->-1
+"<operator>.assignmentOr" 2->1 1->1 2->-1
+"<operator>.assignmentPlus" 2->1 1->1 2->-1
+"<operator>.assignmentShiftLeft" 2->1 1->1 2->-1
+"<operator>.assignmentXor" 2->1 1->1 2->-1
+"<operator>.cast" 1->-1 2->-1
+"<operator>.computedMemberAccess" 1->-1
 "<operator>.conditional" 2->-1 3->-1
-"<operator>.postIncrement" 1->1
-"<operator>.preIncrement" 1->1
+"<operator>.elvis" 1->-1 2->-1
+"<operator>.notNullAssert" 1->-1
+"<operator>.fieldAccess" 1->-1
+"<operator>.getElementPtr" 1->-1
+"<operator>.incBy" 1->1 2->1 3->1 4->1
+"<operator>.indexAccess" 1->-1
+"<operator>.indirectComputedMemberAccess" 1->-1
+"<operator>.indirectFieldAccess" 1->-1
+"<operator>.indirectIndexAccess" 1->-1 2->1
+"<operator>.indirectMemberAccess" 1->-1
+"<operator>.indirection" 1->-1
+"<operator>.memberAccess" 1->-1
+"<operator>.pointerShift" 1->-1
+"<operator>.postDecrement" 1->1 1->-1
+"<operator>.postIncrement" 1->1 1->-1
+"<operator>.preDecrement" 1->1 1->-1
+"<operator>.preIncrement" 1->1 1->-1
 "<operator>.sizeOf"
-"<operator>.equals"
-"<operator>.lessThan"
-"<operator>.greaterThan"
-"memcpy" 2->1 2->-1
-"strcpy" 2->1 2->-1
-"strncpy" 2->1 2->-1
-"strcat" 1->1 2->1 1->-1 2->-1
-"strlen" 1->-1
-"malloc" 1->-1
+"<operators>.assignmentExponentiation" 2->1 1->1
+"<operators>.assignmentModulo" 2->1 1->1
+"<operators>.assignmentShiftLeft" 2->1 1->1
+"<operators>.assignmentLogicalShiftRight" 2->1 1->1
+"<operators>.assignmentArithmeticShiftRight" 2->1 1->1
+"<operators>.assignmentAnd" 2->1 1->1
+"<operators>.assignmentOr" 2->1 1->1
+"<operators>.assignmentXor" 2->1 1->1
+"<operator>.tupleLiteral" PASSTHROUGH
+"<operator>.dictLiteral" PASSTHROUGH
+"<operator>.setLiteral" PASSTHROUGH
+"<operator>.listLiteral" PASSTHROUGH
+"""
+C_SEMANTICS = """
+"abs" 1->1 1->-1
+"abort"
+"asctime" 1->1 1->-1
+"asctime_r" 1->1 1->-1
+"atof" 1->1 1->-1
+"atoi" 1->1 1->-1
+"atol" 1->1 1->-1
+"calloc" 1->-1 2->-1
+"ceil" 1->1
+"clock"
+"ctime" 1->-1
+"ctime64" 1->-1
+"ctime_r" 1->-1
+"ctime64_r" 1->-1
+"difftime" 1->-1 2->-1
+"difftime64" 1->-1 2->-1
+"div" PASSTHROUGH
+"exit" 1->1
+"exp" 1->-1
+"fabs" 1->-1
+"fclose" 1->1 1->-1
+"fdopen" 1->-1 2->-1
+"feof" 1->1 1->-1
+"ferror" 1->1 1->-1
+"fflush" 1->1 1->-1
+"fgetc" 1->1 1->-1
+"fwrite" 1->1 1->-1 2->-1 3->-1 4->-1
 "free" 1->1
+"getc" 1->1
+"scanf" 2->2
+"strcmp" 1->1 1->-1 2->2 2->-1
+"strlen" 1->1 1->-1
+"strncpy" 1->1 2->2 3->3 1->-1 2->-1
+"strncat" 1->1 1->-1 2->2 2->-1
+"""
+JAVA_SEMANTICS = """
+"java.lang.String.split:java.lang.String[](java.lang.String)" PASSTHROUGH 0->0
+"java.lang.String.split:java.lang.String[](java.lang.String,int)" PASSTHROUGH 0->0
+"java.lang.String.compareTo:int(java.lang.String)" PASSTHROUGH 0->0
+"java.io.PrintWriter.print:void(java.lang.String)" 0->0 1->1
+"java.io.PrintWriter.println:void(java.lang.String)" 0->0 1->1
+"java.io.PrintStream.println:void(java.lang.String)" 0->0 1->1
+"java.io.PrintStream.print:void(java.lang.String)" PASSTHROUGH 0->0
+"android.text.TextUtils.isEmpty:boolean(java.lang.String)" 0->-1 1->-1
+"java.sql.PreparedStatement.prepareStatement:java.sql.PreparedStatement(java.lang.String)" 1->-1
+"java.sql.PreparedStatement.prepareStatement:setDouble(int,double)" 1->1 2->2
+"java.sql.PreparedStatement.prepareStatement:setFloat(int,float)" 1->1 2->2
+"java.sql.PreparedStatement.prepareStatement:setInt(int,int)" 1->1 2->2
+"java.sql.PreparedStatement.prepareStatement:setLong(int,long)" 1->1 2->2
+"java.sql.PreparedStatement.prepareStatement:setShort(int,short)" 1->1 2->2
+"java.sql.PreparedStatement.prepareStatement:setString(int,java.lang.String)" 1->1 2->2
+"org.apache.http.HttpRequest.<init>:void(org.apache.http.RequestLine)" 1->1 1->0
+"org.apache.http.HttpRequest.<init>:void(java.lang.String,java.lang.String)" 1->1 1->0 2->0
+"org.apache.http.HttpRequest.<init>:void(java.lang.String,java.lang.String,org.apache.http.ProtocolVersion)" 1->1 1->0 2->2 2->0 3->3 3->0
+"org.apache.http.HttpResponse.getStatusLine:org.apache.http.StatusLine()" 0->-1
+"org.apache.http.HttpResponse.setStatusLine:void(org.apache.http.StatusLine)" 1->0 1->1 0->-1
+"org.apache.http.HttpResponse.setReasonPhrase:void(java.lang.String)" 1->0 1->1 0->-1
+"org.apache.http.HttpResponse.getEntity:org.apache.http.HttpEntity()" 0->-1
+"org.apache.http.HttpResponse.setEntity:void(org.apache.http.HttpEntity)" 1->0 1->1
 """
+DEFAULT_SEMANTICS = OPERATOR_SEMANTICS + C_SEMANTICS + JAVA_SEMANTICS
 
 
 def _uses(graph: Graph) -> DataFrame:
@@ -101,14 +186,26 @@ def _allowed(src, dst):
     return F.col("pairs").isNull() | F.exists("pairs", lambda p: (p["src"] == src) & (p["dst"] == dst))
 
 
-def reaching_definitions(graph: Graph, semantics: DataFrame | None = None, most_definitions: int = 4000) -> DataFrame:
+def reaching_definitions(graph: Graph, semantics: DataFrame | None = None, most_definitions: int | None = 4000) -> DataFrame:
     """REACHING_DEF edges (graph_id, src, dst, etype, variable): a definition to each use that it reaches.
 
     Definitions are a method's parameters at its entry and the identifiers among the arguments of calls; a later definition
     of the variable kills the earlier. Uses are arguments, also of returns and control structures. An argument defined by a
-    method is the node the edge starts from, a parameter by its node. Methods with more definitions are left out, as for
-    their size no result is worth its time.
+    method is the node the edge starts from, a parameter by its node. A method with more than most_definitions
+    definitions gives no edges, as its users expect; over_definitions() names these methods, and None leaves none out.
     """
+    rows = _facts(graph, semantics)
+    return _reaching(rows, most_definitions)
+
+
+def over_definitions(graph: Graph, semantics: DataFrame | None = None, most_definitions: int = 4000) -> DataFrame:
+    """(graph_id, method, definitions) of the methods that reaching_definitions() leaves out for their number of definitions."""
+    n = _facts(graph, semantics).where("kind = 'd'").groupBy("graph_id", "method").agg(F.count(F.lit(1)).alias("definitions"))
+    return n.where(F.col("definitions") > most_definitions)
+
+
+def _facts(graph: Graph, semantics: DataFrame | None) -> DataFrame:
+    """(graph_id, method, src, dst, var, kind): flow edges (e), and definitions (d) and uses (u) as (place, node, variable)."""
     uses = with_semantics(graph, _uses(graph), semantics)
     defs = uses.where("defined AND label = 'IDENTIFIER'").select("graph_id", "at", F.col("arg").alias("node"), "var")
     calls = graph.nodes.where("label = 'CALL'").select("graph_id", F.col("id").alias("at"))
@@ -120,8 +217,10 @@ def reaching_definitions(graph: Graph, semantics: DataFrame | None = None, most_
     flow = _flow(graph)
     ends = flow.select("graph_id", "method", F.col("src").alias("at")).unionByName(flow.select("graph_id", "method", F.col("dst").alias("at"))).distinct()
     facts = d.unionByName(u).join(ends, ["graph_id", "at"]).select("graph_id", "method", F.col("at").alias("src"), F.col("node").alias("dst"), "var", "kind")
-    rows = flow.select("graph_id", "method", "src", "dst", F.lit(None).cast("string").alias("var"), F.lit("e").alias("kind")).unionByName(facts)
+    return flow.select("graph_id", "method", "src", "dst", F.lit(None).cast("string").alias("var"), F.lit("e").alias("kind")).unionByName(facts)
+
 
+def _reaching(rows: DataFrame, most_definitions: int | None) -> DataFrame:
     def frame(g: int, out: list[tuple[int, int, str]]) -> pd.DataFrame:
         ids = pd.DataFrame({"graph_id": [g] * len(out), "src": [o[0] for o in out], "dst": [o[1] for o in out]}, dtype="int64")
         return ids.assign(variable=pd.Series([o[2] for o in out], dtype=object))
@@ -130,7 +229,7 @@ def reaching_definitions(graph: Graph, semantics: DataFrame | None = None, most_
         g = int(pdf["graph_id"].iloc[0])
         succ, nodes = _succ(pdf[pdf["kind"] == "e"])
         dd = pdf[pdf["kind"] == "d"]
-        if len(dd) > most_definitions or not nodes:
+        if not nodes or (most_definitions is not None and len(dd) > most_definitions):
             return frame(g, [])
         var, at, by_var = {}, {}, {}
         for n, a, v in sorted(zip(dd["dst"].tolist(), dd["src"].tolist(), dd["var"].tolist())):
@@ -179,7 +278,7 @@ def flow_edges(graph: Graph, semantics: DataFrame | None = None) -> DataFrame:
     return flow.unionByName(within).unionByName(into).unionByName(back)
 
 
-def reachable_by(sinks: Traversal, sources: Traversal, semantics: DataFrame | None = None, most_calls: int = 4, most_steps: int | None = None, most_args: int = 1000) -> DataFrame:
+def reachable_by(sinks: Traversal, sources: Traversal, semantics: DataFrame | None = None, most_calls: int = 4, most_steps: int | None = None, most_args: int | None = 1000) -> DataFrame:
     """(graph_id, source, sink, path): for each pair the longest of the shortest walks of a value back from the sink.
 
     Backward from the sinks along flow_edges, a frontier at a time; the stack of call sites makes a value that came out of a
@@ -188,8 +287,9 @@ def reachable_by(sinks: Traversal, sources: Traversal, semantics: DataFrame | No
     """
     scratch = Scratch(sinks.df.sparkSession)
     e = scratch.save(flow_edges(sinks.graph, semantics).distinct())
-    # a call site with very many arguments is not expanded
-    wide = sinks.graph.etype("ARGUMENT").groupBy("graph_id", F.col("src").alias("call")).count().where(F.col("count") > most_args).select("graph_id", "call")
+    # a call site with more than most_args arguments is not expanded, as its users expect; with None every one is
+    limit = 2**62 if most_args is None else most_args
+    wide = sinks.graph.etype("ARGUMENT").groupBy("graph_id", F.col("src").alias("call")).count().where(F.col("count") > limit).select("graph_id", "call")
     e = e.join(wide, ["graph_id", "call"], "left_anti").select("graph_id", F.col("src").alias("s"), F.col("dst").alias("d"), "call", "kind")
     src = sources.df.select("graph_id", F.col("id").alias("node")).distinct()
     now = sinks.df.select("graph_id", F.col("id").alias("sink"), F.col("id").alias("node")).distinct().withColumn("stack", F.expr("cast(array() as array<bigint>)")).withColumn("path", F.array("node"))

@@ -247,6 +247,39 @@ def counts(ds: Dataset) -> DataFrame:
     return union.agg(*[F.max(F.get_json_object("j", f"$.{n}").cast("long")).alias(n) for n in names])
 
 
+# Commits.
+
+
+def both_sides(before: DataFrame, after: DataFrame, commit: str, path: str) -> DataFrame:
+    """(commit, path): the files that a commit has before and after it; a commit without any gives no row. Null paths are none."""
+    return before.where(F.col(path).isNotNull()).select(commit, path).distinct().join(after.select(commit, path).distinct(), [commit, path], "left_semi")
+
+
+def single_parent(parents: DataFrame, commit: str, parent: str) -> DataFrame:
+    """(commit, parent) of the commits with exactly one different parent: merges and first commits have no side to compare with."""
+    n = parents.groupBy(commit).agg(F.count_distinct(parent).alias("_n"), F.min(parent).alias(parent))
+    return n.where("_n = 1").select(commit, parent)
+
+
+def sides_and_files(commits: DataFrame, key: str, commit: str, parent: str, files: str) -> DataFrame:
+    """(key, side, hash, path): what has to be fetched of each commit: every file as it was before (the parent's) and after."""
+    sides = F.array(F.struct(F.lit("before").alias("side"), F.col(parent).alias("hash")), F.struct(F.lit("after").alias("side"), F.col(commit).alias("hash")))
+    rows = commits.select(key, F.explode(sides).alias("_s"), files).select(key, "_s.side", "_s.hash", F.explode(files).alias("path"))
+    return rows.where("hash IS NOT NULL AND path IS NOT NULL")
+
+
+def all_parsed(files: DataFrame, commit: str, file: str, parsed: DataFrame, parsed_file: str) -> DataFrame:
+    """(commit): commits of which every file is among the parsed ones; a commit without files gives no row."""
+    ok = parsed.select(F.col(parsed_file).alias(file)).distinct().withColumn("_ok", F.lit(True))
+    return files.select(commit, file).join(ok, file, "left").groupBy(commit).agg(F.bool_and(F.coalesce("_ok", F.lit(False))).alias("_all")).where("_all").select(commit)
+
+
+def commits_saying(commits: DataFrame, message: str, pattern: str, regex: bool = False) -> DataFrame:
+    """Commits whose message, in lower case, holds a text or matches an expression somewhere; null messages match nothing."""
+    low = F.lower(message)
+    return commits.where(low.rlike(pattern.lower()) if regex else low.contains(pattern.lower()))
+
+
 # Matching of functions before and after a commit.
 
 

@@ -195,6 +195,28 @@ def file_names(spark, d):
     return table(spark, d, "commit_file").select("ordinal", paths.base_name(F.col("file_path")).alias("base"), names.extension(F.col("file_path")).alias("ext"), F.coalesce(paths.is_test_path(F.col("file_path")), F.lit(False)).alias("is_test"))
 
 
+def both_sides_files(spark, d):
+    before = table(spark, d, "fix_commit").select(F.col("ordinal").alias("commit_ordinal"), F.explode("raw_file_paths").alias("file_path"))
+    return curation.both_sides(before, table(spark, d, "commit_file"), "commit_ordinal", "file_path")
+
+
+def single_parents(spark, d):
+    return curation.single_parent(table(spark, d, "fix_commit"), "commit_hash", "parent_commit_hash")
+
+
+def sides_and_files(spark, d):
+    return curation.sides_and_files(table(spark, d, "fix_commit"), "ordinal", "commit_hash", "parent_commit_hash", "raw_file_paths")
+
+
+def all_parsed(spark, d):
+    return curation.all_parsed(table(spark, d, "commit_file"), "commit_ordinal", "ordinal", table(spark, d, "func").where("func_name LIKE '%a%'"), "file_ordinal")
+
+
+def commits_saying(spark, d):
+    c = table(spark, d, "fix_commit")
+    return curation.commits_saying(c, "commit_msg", "Fix").select("ordinal", F.lit("text").alias("how")).unionByName(curation.commits_saying(c, "commit_msg", r"over(flow|run)|\bnull\b", True).select("ordinal", F.lit("regex").alias("how")))
+
+
 FILTERS = {
     "filter_test_files": _kept(curation.drop_test_files),
     "filter_large_changes": _kept(curation.drop_large_changes),
@@ -216,6 +238,7 @@ QUERIES = [
     diff_counts, repo_metrics, top_repos, top_cwes, year_repo_matrix, year_repo_matrix_20, year_cwe_matrix, severity_pivot, repo_cwe_stack, cwe_top_repos,
     monthly_counts, line_quantiles, line_sigma, line_sigma3, line_describe, lines_per_file, memory_share, dataset_totals, graph_success,
     both_sides_graphs, hosts, single_repo_years, repo_treemap, merged_names, comment_free, file_names,
+    both_sides_files, single_parents, sides_and_files, all_parsed, commits_saying,
 ]
 
 
@@ -394,5 +417,13 @@ def oracle_sql() -> dict[str, str]:
         "curate_file_names": f"SELECT ordinal, split_part(file_path, '/', -1) AS base, lower(regexp_extract(file_path, '\\.([^./]+)$', 1)) AS ext, coalesce({IS_TEST}, false) AS is_test FROM commit_file",
         "curate_comment_free": r"""SELECT ordinal, md5(regexp_replace(func, '("(?:\\.|[^"\\])*"|''(?:\\.|[^''\\])*'')|/\*(?:[^*]|\*+[^*/])*\*+/|//[^\n]*', '\1', 'g')) AS digest FROM func""",
     }
+    out |= {
+        "curate_both_sides_files": "SELECT DISTINCT r.ordinal AS commit_ordinal, r.p AS file_path FROM (SELECT ordinal, unnest(raw_file_paths) AS p FROM fix_commit) r JOIN commit_file c ON c.commit_ordinal = r.ordinal AND c.file_path = r.p",
+        "curate_single_parents": "SELECT commit_hash, min(parent_commit_hash) AS parent_commit_hash FROM fix_commit GROUP BY 1 HAVING count(DISTINCT parent_commit_hash) = 1",
+        "curate_sides_and_files": """SELECT * FROM (SELECT ordinal, 'before' AS side, parent_commit_hash AS hash, unnest(raw_file_paths) AS path FROM fix_commit UNION ALL SELECT ordinal, 'after', commit_hash, unnest(raw_file_paths) FROM fix_commit)
+            WHERE hash IS NOT NULL AND path IS NOT NULL""",
+        "curate_all_parsed": "SELECT DISTINCT commit_ordinal FROM commit_file c WHERE NOT EXISTS (SELECT 1 FROM commit_file x WHERE x.commit_ordinal = c.commit_ordinal AND x.ordinal NOT IN (SELECT file_ordinal FROM func WHERE func_name LIKE '%a%'))",
+        "curate_commits_saying": r"SELECT ordinal, 'text' AS how FROM fix_commit WHERE contains(lower(commit_msg), 'fix') UNION ALL SELECT ordinal, 'regex' FROM fix_commit WHERE regexp_matches(lower(commit_msg), 'over(flow|run)|\bnull\b')",
+    }
     out |= _chain_sql()
     return out

@@ -169,7 +169,8 @@ def test_control_dependence(spark, built):
 
 def test_data_flow(spark, built):
     g, n = built
-    sem = dataflow.semantics_table(spark, dataflow.DEFAULT_SEMANTICS)
+    # strcpy has no default: without a line of its own any of its arguments would flow to any
+    sem = dataflow.semantics_table(spark, dataflow.DEFAULT_SEMANTICS + '"strcpy" 2->1 2->-1')
     ddg = dataflow.reaching_definitions(g, sem)
     got = {(r["src"], r["dst"]) for r in ddg.collect()}
     assert (n["x1"], n["x2"]) in got and (n["y2"], n["y3"]) in got and (n["y2"], n["y4"]) in got and (n["p"], n["pc"]) not in got  # a condition is no argument here
