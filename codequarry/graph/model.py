@@ -314,5 +314,5 @@ class Traversal:
     def head(self):
         return self.df.orderBy(*KEY).first()
 
-    def to_json(self) -> DataFrame:
-        return self.df.select(*KEY, F.to_json(F.struct("*")).alias("json"))
+    def to_json(self, pretty: bool = False) -> DataFrame:
+        return self.df.select(*KEY, F.to_json(F.struct("*"), {"pretty": "true"} if pretty else {}).alias("json"))
