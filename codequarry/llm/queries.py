@@ -100,6 +100,11 @@ def p8_pieces(spark: SparkSession, d: str) -> DataFrame:
     return packing.pack(with_token_counts(docs, "doc_id", "text"), "doc_id", "n", dict(sorted(setting(spark, d, "container_tokens").items())), attention=ATTENTION, count=docs.count())
 
 
+def p8_cuts(spark: SparkSession, d: str) -> DataFrame:
+    """Where every document is cut."""
+    return p8_pieces(spark, d).select(F.col("id").alias("doc_id"), "container", "piece", "pieces", "first", "tokens")
+
+
 def p8_check(spark: SparkSession, d: str) -> DataFrame:
     return packing.bin_checks(p8_pieces(spark, d), setting(spark, d, "container_tokens"), attention=ATTENTION)
 
@@ -122,6 +127,11 @@ def p9_found(spark: SparkSession, d: str) -> DataFrame:
     return p9_leaks(spark, d).select(F.col("doc").alias("doc_id"), "item_id")
 
 
+def p9_matched(spark: SparkSession, d: str) -> DataFrame:
+    """How many of an item's distinct runs a document holds, and how many there are."""
+    return p9_leaks(spark, d).select(F.col("doc").alias("doc_id"), "item_id", "matched", "runs")
+
+
 def p9_clean(spark: SparkSession, d: str) -> DataFrame:
     return leaks.without_leaks(table(spark, d, "documents"), "doc_id", p9_leaks(spark, d)).select("doc_id")
 
@@ -131,6 +141,11 @@ def p10_measures(spark: SparkSession, d: str) -> DataFrame:
     return repetition.measures(docs, "doc_id", "text", ["language"]).withColumnRenamed("doc", "doc_id")
 
 
+def p10_shares(spark: SparkSession, d: str) -> DataFrame:
+    """The repeated letter words of each document."""
+    return p10_measures(spark, d).select("doc_id", "n_words", "n_repeated")
+
+
 def p10_found(spark: SparkSession, d: str) -> DataFrame:
     return repetition.repetitive(table(spark, d, "documents"), "doc_id", "text", 0.45).select(F.col("doc").alias("doc_id"))
 
@@ -144,7 +159,7 @@ def p10_rejected(spark: SparkSession, d: str) -> DataFrame:
 
 
 def queries() -> dict:
-    return {f.__name__: f for f in (p2_found, p2_groups, p3_found, p3_flags, p3_files, p3_rates, p5_found, p5_split, p5_shares, p5_check, p6_found, p6_groups, p7_found, p8_found, p8_pieces, p8_fill, p8_check, p9_found, p9_leaks, p9_clean, p10_found, p10_measures, p10_rejected)}
+    return {f.__name__: f for f in (p2_found, p2_groups, p3_found, p3_flags, p3_files, p3_rates, p5_found, p5_split, p5_shares, p5_check, p6_found, p6_groups, p7_found, p8_found, p8_pieces, p8_fill, p8_cuts, p8_check, p9_found, p9_leaks, p9_matched, p9_clean, p10_found, p10_measures, p10_shares, p10_rejected)}
 
 
 #: Repository of a row, in SQL.
@@ -166,6 +181,20 @@ def oracle_sql() -> dict[str, str]:
             SELECT item AS container, sum(n)::BIGINT AS tokens, sum(greatest(1, ceil(n / amount)))::BIGINT AS pieces, 0::BIGINT AS over_tokens, 0::BIGINT AS over_items, 0::BIGINT AS over_attention
             FROM (SELECT doc_id, {TOKENS} AS n FROM documents WHERE text IS NOT NULL) d JOIN job_setting s ON s.setting = 'container_tokens' GROUP BY 1""",
         "p5_check": "SELECT count(*) AS records, 0::BIGINT AS without, 0::BIGINT AS cut_cves, 0::BIGINT AS cut_repositories FROM fix_commit",
+        "p8_cuts": f"""
+            SELECT doc_id, item AS container, p::INTEGER AS piece, k::INTEGER AS pieces, (p * cap)::BIGINT AS first, least(cap, n - p * cap)::BIGINT AS tokens
+            FROM (SELECT doc_id, item, n, amount::BIGINT AS cap, greatest(1, ceil(n / amount))::BIGINT AS k, unnest(range(greatest(1, ceil(n / amount))::BIGINT)) AS p
+                FROM (SELECT doc_id, {TOKENS} AS n FROM documents WHERE text IS NOT NULL) d JOIN job_setting s ON s.setting = 'container_tokens')""",
+        "p9_matched": f"""
+            WITH d AS ({grams.format("text", id="doc_id", t="documents")}), e AS ({grams.format("passage", id="item_id", t="eval_item")}),
+            n AS (SELECT item_id, count(*) AS n FROM e GROUP BY 1)
+            SELECT doc_id, item_id, count(*)::INTEGER AS matched, n::INTEGER AS runs FROM d JOIN e USING (g) JOIN n USING (item_id) GROUP BY doc_id, item_id, n HAVING count(*) >= 0.45 * n""",
+        "p10_shares": f"""
+            WITH w AS (SELECT doc_id, {WORDS.format("text")} AS w FROM documents WHERE text IS NOT NULL),
+            r AS (SELECT doc_id, unnest(range(1, len(w) - 6)) AS i, w FROM w WHERE len(w) >= 8),
+            g AS (SELECT doc_id, i, row_number() OVER (PARTITION BY doc_id, array_to_string(w[i:i + 7], ' ') ORDER BY i) > 1 AS again FROM r),
+            c AS (SELECT doc_id, count(DISTINCT p) AS k FROM (SELECT doc_id, unnest(range(i, i + 8)) AS p FROM g WHERE again) GROUP BY 1)
+            SELECT w.doc_id, len(w)::BIGINT AS n_words, coalesce(k, 0)::BIGINT AS n_repeated FROM w LEFT JOIN c USING (doc_id)""",
         "p9_clean": f"""
             WITH d AS ({grams.format("text", id="doc_id", t="documents")}), e AS ({grams.format("passage", id="item_id", t="eval_item")}),
             n AS (SELECT item_id, count(*) AS n FROM e GROUP BY 1)
