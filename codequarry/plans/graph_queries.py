@@ -240,16 +240,6 @@ sql("idom", """SELECT graph_id, arg_max(d, k) AS src, v AS dst FROM (SELECT x.gr
     dom AS (SELECT a.graph_id, a.v AS d, b.v FROM reach a JOIN reach b USING (graph_id) JOIN r0 USING (graph_id) WHERE a.v <> b.v AND b.v <> r0.m AND (a.v = r0.m OR NOT EXISTS (SELECT 1 FROM cut c WHERE c.graph_id = a.graph_id AND c.d = a.v AND c.v = b.v)))""")
 
 
-@q("control_dependence")
-def _(g):
-    return passes.control_dependence(_with_contains(g)).select("graph_id", "src", "dst")
-
-
-@q("post_order")
-def _(g):
-    return passes.post_order(_with_contains(g)).groupBy("graph_id", "method").agg(F.max("number").alias("last"))
-
-
 @q("reaching_definitions")
 def _(g):
     return dataflow.reaching_definitions(_with_contains(g)).select("graph_id", "src", "dst", "variable")
@@ -327,6 +317,13 @@ def _(g):
     return exports.dot(g, "cfg").select("graph_id", F.length("dot").alias("chars"))
 
 
+_ESC = "replace(replace(replace(replace(replace({}, '&', '&amp;'), '<', '&lt;'), '>', '&gt;'), '\"', '&quot;'), chr(10), '<BR/>')"
+_TITLE = "concat_ws(', ', n.label, CASE WHEN n.label IN ('METHOD', 'MEMBER') THEN n.name ELSE n.code END)"
+sql("dot", f"""SELECT graph_id, (length('digraph "g" {{' || chr(10) || 'node [shape="rect"];' || chr(10)) + sum(len) + count(*) - 1 + length(chr(10) || '}}' || chr(10)))::INTEGER AS chars FROM (
+    SELECT n.graph_id, length('"' || n.id || '" [label = <' || {_ESC.format(_TITLE)} || '> ]') AS len FROM n WHERE EXISTS (SELECT 1 FROM e WHERE e.graph_id = n.graph_id AND etype = 'CFG' AND n.id IN (src, dst))
+    UNION ALL SELECT graph_id, length('  "' || src || '" -> "' || dst || '"' || CASE WHEN coalesce(variable, '') <> '' THEN ' [ label = "' || {_ESC.format('variable')} || '" ]' ELSE ' ' END) FROM e WHERE etype = 'CFG') GROUP BY 1""")
+
+
 @q("graphml")
 def _(g):
     return exports.graphml(g).select("graph_id", F.length("xml").alias("chars"))

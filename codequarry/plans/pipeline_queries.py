@@ -149,6 +149,10 @@ def oracle_sql() -> dict[str, str]:
         "p1_repo_profile": _profile_sql("func", "repo_name", "commit_hash", True),
         "p1_commit_profile": _profile_sql("func", "commit_hash", "func_name", True),
         "p1_fix_commit_profile": _profile_sql("fix_commit", "repo_name", "commit_hash", False),
+        "p1_fix_commit_hash_profile": _profile_sql("fix_commit", "commit_hash", "cve_ordinal", False),
+        "p4_record": "SELECT record_id, 0::BIGINT AS node, NULL::BIGINT AS parent_node, NULL::INTEGER AS ordinal, '' AS pos_path, "
+            + ", ".join(f"CASE WHEN json_type(j->'{f}') NOT IN ('OBJECT', 'ARRAY', 'NULL') THEN j->>'{f}' END AS {f}" for f in "cve_id description publish_date last_modify_date cvss_vector cvss_base_score cvss_base_severity cvss_is_v3".split())
+            + " FROM (SELECT record_id, payload::JSON AS j FROM raw_record WHERE kind = 'cve_record' AND json_valid(payload)) WHERE json_type(j) = 'OBJECT'",
         "p1_length_percentiles": """
             WITH r AS (SELECT repo_name, length(func)::BIGINT AS n_chars, row_number() OVER (PARTITION BY repo_name ORDER BY length(func)) AS rn,
                        count(*) OVER (PARTITION BY repo_name) AS n FROM func WHERE repo_name IS NOT NULL AND func IS NOT NULL)
