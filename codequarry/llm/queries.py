@@ -152,8 +152,7 @@ def p10_found(spark: SparkSession, d: str) -> DataFrame:
 
 def p10_rejected(spark: SparkSession, d: str) -> DataFrame:
     """Documents outside the fertility band of their script, or repetitive. The script is that of the text: lang is not always right."""
-    docs = table(spark, d, "documents").withColumn("script", repetition.script(F.col("text")))
-    measured = Scratch(spark).save(repetition.measures(docs, "doc_id", "text", ["script"]))
+    measured = Scratch(spark).save(repetition.measures(table(spark, d, "documents"), "doc_id", "text"))
     out = repetition.rejected(measured, "script", repetition.bands(measured, "script"))
     return out.where("odd OR repetitive").select(F.col("doc").alias("doc_id"), "script", "odd", "repetitive")
 

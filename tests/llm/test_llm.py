@@ -531,5 +531,15 @@ def test_bands_reject(spark):
     assert out[999] and len(out) == len(rows) and sum(out.values()) == 1
     alike = repetition.measures(df.where("doc_id < 998"), "doc_id", "text", ["lang"])
     assert not any(r["odd"] for r in repetition.rejected(alike, "lang", repetition.bands(alike, "lang")).collect())
-    s = {r["doc_id"]: r["s"] for r in df.select("doc_id", repetition.script(F.col("text")).alias("s")).collect()}
+    s = {r["doc"]: r["script"] for r in m.collect()}
     assert s[999] == "Han" and s[0] == "Latin"
+
+
+def test_scripts(spark):
+    texts = ["", "12 !", "abc", "Grüße ñandú", "слово и дело", "一龥㐀 x", "سلام", "ελλάδα", "ab一二", "ab一二三", "a" + "ж" * 3, "é", "٣٤", "abc ελλάδα", "日本語のテキスト", "x\U0002a6d6"]
+    names = {"Latin": "IsLatin", "Cyrillic": "IsCyrillic", "Han": "IsHan", "Arabic": "IsArabic"}
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, t string")
+    letters = lambda p: F.regexp_count("t", F.lit(p))
+    for r in df.select("t", letters(r"\p{L}").alias("all"), *[letters(rf"[\p{{{p}}}&&\p{{L}}]").alias(n) for n, p in names.items()]).collect():
+        best = max(names, key=lambda n: r[n])
+        assert repetition.script(r["t"]) == ("None" if not r["all"] else best if 2 * r[best] >= r["all"] else "Other"), r["t"]
