@@ -169,7 +169,7 @@ def with_semantics(graph: Graph, uses: DataFrame, semantics: DataFrame | None) -
     semantic for the call every argument is both; with one, what it says. The table of semantics is small by nature and
     broadcast."""
     if semantics is None:
-        return uses.withColumn("used", F.lit(True)).withColumn("defined", F.lit(True)).withColumn("pairs", F.lit(None).cast("array<struct<src:int,dst:int>>"))
+        return uses.withColumn("used", F.lit(True)).withColumn("defined", F.lit(True)).withColumn("pairs", F.lit(None).cast("array<struct<src:int,dst:int>>")).withColumn("pass", F.lit(False))
     calls = graph.nodes.where("label = 'CALL'").select("graph_id", F.col("id").alias("at"), F.coalesce("method_full_name", "name").alias("method"))
     s = F.broadcast(semantics.withColumnRenamed("method", "_m"))
     hit = calls.join(s, F.when(F.col("regex"), F.rlike("method", F.concat(F.lit("^(?:"), F.col("_m"), F.lit(")$")))).otherwise(F.col("method") == F.col("_m")))
@@ -178,12 +178,40 @@ def with_semantics(graph: Graph, uses: DataFrame, semantics: DataFrame | None) -
     free = F.col("ins").isNull() | (F.col("pass") & (F.col("idx") != RECEIVER))
     known = lambda c: free | F.coalesce(F.array_contains(c, F.coalesce("idx", F.lit(-99))), F.lit(False))
     j = j.withColumn("used", known("ins")).withColumn("defined", known("outs"))
-    return j.withColumn("pairs", F.when(F.coalesce("pass", F.lit(False)), F.lit(None)).otherwise(F.col("pairs"))).drop("ins", "outs", "pass")
+    return j.withColumn("pass", F.coalesce("pass", F.lit(False))).drop("ins", "outs")
 
 
 def _allowed(src, dst):
-    """Whether the call's semantics let argument src flow to dst (-1: to the call's value)."""
-    return F.col("pairs").isNull() | F.exists("pairs", lambda p: (p["src"] == src) & (p["dst"] == dst))
+    """Whether the call's semantics let argument src flow to dst (-1: to the call's value). PASSTHROUGH lets every argument but
+    the receiver flow to itself and to the value."""
+    through = F.col("pass") & (src != RECEIVER) & ((src == dst) | (dst == RETURN))
+    return F.col("pairs").isNull() | F.coalesce(through, F.lit(False)) | F.coalesce(F.exists("pairs", lambda p: (p["src"] == src) & (p["dst"] == dst)), F.lit(False))
+
+
+def arguments_used_and_defined(graph: Graph, semantics: DataFrame | None = None) -> DataFrame:
+    """(graph_id, id, used, defined): whether its call uses and defines an argument."""
+    return with_semantics(graph, _uses(graph), semantics).select("graph_id", F.col("arg").alias("id"), "used", "defined")
+
+
+def same_call(graph: Graph) -> DataFrame:
+    """(graph_id, a, b): different arguments of one call."""
+    e = graph.etype("ARGUMENT").join(graph.nodes.where("label = 'CALL'").select("graph_id", F.col("id").alias("src")), ["graph_id", "src"], "left_semi")
+    return e.select("graph_id", "src", F.col("dst").alias("a")).join(e.select("graph_id", "src", F.col("dst").alias("b")), ["graph_id", "src"]).where("a <> b").select("graph_id", "a", "b").distinct()
+
+
+def defined_flows(graph: Graph, semantics: DataFrame | None = None) -> DataFrame:
+    """(graph_id, a, b): arguments of one call of which the call lets the first flow into the second."""
+    u = with_semantics(graph, _uses(graph), semantics)
+    to = u.select("graph_id", "at", F.col("arg").alias("b"), F.col("idx").alias("j"))
+    return u.select("graph_id", "at", F.col("arg").alias("a"), F.col("idx").alias("i"), "pairs", "pass").join(to, ["graph_id", "at"]).where(_allowed(F.col("i"), F.col("j"))).select("graph_id", "a", "b").distinct()
+
+
+def result_pairs(found: DataFrame, graph: Graph) -> DataFrame:
+    """(graph_id, source, sink, steps): the paths of reachable_by() as code and line of each node, repeats in a row once."""
+    each = found.select("graph_id", "source", "sink", F.posexplode("path").alias("pos", "id"))
+    n = graph.nodes.select("graph_id", "id", F.struct(F.coalesce("code", "name").alias("code"), F.col("line_number").alias("line")).alias("s"))
+    rows = each.join(n, ["graph_id", "id"]).groupBy("graph_id", "source", "sink").agg(F.array_sort(F.collect_list(F.struct("pos", "s"))).alias("p"))
+    return rows.select("graph_id", "source", "sink", F.transform(F.filter("p", lambda x, i: (i == 0) | ~x["s"].eqNullSafe(F.try_element_at("p", i)["s"])), lambda x: x["s"]).alias("steps"))
 
 
 def reaching_definitions(graph: Graph, semantics: DataFrame | None = None, most_definitions: int | None = 4000) -> DataFrame:
@@ -264,7 +292,7 @@ def flow_edges(graph: Graph, semantics: DataFrame | None = None) -> DataFrame:
     uses = with_semantics(graph, _uses(graph), semantics)
     calls = n.where("label = 'CALL'").select("graph_id", F.col("id").alias("at"))
     a = uses.join(calls, ["graph_id", "at"], "left_semi")
-    froms = a.where("used").select("graph_id", "at", F.col("arg").alias("src"), F.col("idx").alias("i"), "pairs")
+    froms = a.where("used").select("graph_id", "at", F.col("arg").alias("src"), F.col("idx").alias("i"), "pairs", "pass")
     tos = a.where("defined AND label = 'IDENTIFIER'").select("graph_id", "at", F.col("arg").alias("dst"), F.col("idx").alias("j"))
     within = froms.join(tos, ["graph_id", "at"]).where((F.col("src") != F.col("dst")) & _allowed(F.col("i"), F.col("j")))
     up = froms.where(_allowed(F.col("i"), F.lit(RETURN))).select("graph_id", "src", F.col("at").alias("dst"))

@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from codequarry.graph import dataflow, exports, passes
+from codequarry.graph import cfg, dataflow, passes
 from codequarry.graph.model import KEY, Graph
 from codequarry.graph.steps import Cpg
 from codequarry.plans import step_queries
@@ -109,6 +109,56 @@ q("ddg_slice", lambda g: dataflow.backward_slice(Cpg(g.with_edges(Scratch(g.node
     "SELECT DISTINCT graph_id, id FROM (SELECT graph_id, node AS id FROM args WHERE loc = 21 UNION SELECT rd.graph_id, rd.src FROM rd JOIN args a ON a.graph_id = rd.graph_id AND a.node = rd.dst AND a.loc = 21 UNION SELECT r2.graph_id, r2.src FROM rd r2 JOIN rd ON rd.graph_id = r2.graph_id AND rd.src = r2.dst JOIN args a ON a.graph_id = rd.graph_id AND a.node = rd.dst AND a.loc = 21)", _reaching("TRUE", "TRUE"))
 
 
+q("used_and_defined", lambda g: dataflow.arguments_used_and_defined(g, _semantics(g)), f"SELECT graph_id, node AS id, {_USED} AS used, {_DEFINED} AS defined FROM args", _ARGS)
+q("same_call", dataflow.same_call, "SELECT a.graph_id, a.node AS a, b.node AS b FROM args a JOIN args b ON b.graph_id = a.graph_id AND b.loc = a.loc AND b.node <> a.node", _ARGS)
+q("defined_flows", lambda g: dataflow.defined_flows(g, _semantics(g)), """SELECT a.graph_id, a.node AS a, b.node AS b FROM args a JOIN args b ON b.graph_id = a.graph_id AND b.loc = a.loc
+    WHERE a.call = 'unknown' OR (a.call = '<operator>.listLiteral' AND a.i = b.i) OR (a.call = '<operator>.assignment' AND a.i = 2 AND b.i = 1) OR (a.call IN ('strlen', '<operator>.postIncrement', 'free') AND a.i = 1 AND b.i = 1)""", _ARGS)
+q("result_pairs", lambda g: dataflow.result_pairs(g.nodes.where("id = 103").select("graph_id", F.col("id").alias("source"), F.col("id").alias("sink"), F.expr("array(102L, 102L, 103L, 106L)").alias("path")), g).select("graph_id", F.array_join(F.transform("steps", lambda x: x["code"]), ",").alias("codes")),
+    """SELECT a.graph_id, CASE WHEN a.var = b.var THEN a.var ELSE a.var || ',' || b.var END || CASE WHEN b.var = c.var THEN '' ELSE ',' || c.var END AS codes FROM args a JOIN args b ON b.graph_id = a.graph_id AND b.node = 103 JOIN args c ON c.graph_id = a.graph_id AND c.node = 106 WHERE a.node = 102""", _ARGS)
+
+# Control flow made from syntax trees. Each construct is a tree and the flow that it has, both stated by hand: 0 is the method,
+# 1 its body, 99 its return.
+
+#: name: (nodes as id, label, name, kind of control structure, parent, order), edges)
+C, I = "CALL", "IDENTIFIER"
+CONSTRUCTS: dict[str, tuple[list[tuple], list[tuple[int, int]]]] = {
+    "sequence": ([(2, C, "a", None, 1, 1), (3, I, "x", None, 2, 1), (4, C, "b", None, 1, 2)], [(0, 3), (3, 2), (2, 4), (4, 99)]),
+    "if": ([(2, "CONTROL_STRUCTURE", None, "IF", 1, 1), (3, I, "c", None, 2, 1), (4, "BLOCK", None, None, 2, 2), (5, C, "a", None, 4, 1), (6, C, "b", None, 1, 2)], [(0, 3), (3, 5), (5, 6), (3, 6), (6, 99)]),
+    "if_else": ([(2, "CONTROL_STRUCTURE", None, "IF", 1, 1), (3, I, "c", None, 2, 1), (4, "BLOCK", None, None, 2, 2), (5, C, "a", None, 4, 1), (6, "CONTROL_STRUCTURE", None, "ELSE", 2, 3), (7, C, "b", None, 6, 1), (8, C, "d", None, 1, 2)], [(0, 3), (3, 5), (3, 7), (5, 8), (7, 8), (8, 99)]),
+    "while": ([(2, "CONTROL_STRUCTURE", None, "WHILE", 1, 1), (3, I, "c", None, 2, 1), (4, "BLOCK", None, None, 2, 2), (5, C, "a", None, 4, 1), (6, C, "b", None, 1, 2)], [(0, 3), (3, 5), (5, 3), (3, 6), (6, 99)]),
+    "do": ([(2, "CONTROL_STRUCTURE", None, "DO", 1, 1), (3, "BLOCK", None, None, 2, 1), (4, C, "a", None, 3, 1), (5, I, "c", None, 2, 2), (6, C, "b", None, 1, 2)], [(0, 4), (4, 5), (5, 4), (5, 6), (6, 99)]),
+    "for": ([(2, "CONTROL_STRUCTURE", None, "FOR", 1, 1), (3, C, "i", None, 2, 1), (4, I, "c", None, 2, 2), (5, C, "u", None, 2, 3), (6, "BLOCK", None, None, 2, 4), (7, C, "a", None, 6, 1)], [(0, 3), (3, 4), (4, 7), (7, 5), (5, 4), (4, 99)]),
+    "break": ([(2, "CONTROL_STRUCTURE", None, "WHILE", 1, 1), (3, I, "c", None, 2, 1), (4, "BLOCK", None, None, 2, 2), (5, "CONTROL_STRUCTURE", None, "BREAK", 4, 1), (6, C, "b", None, 1, 2)], [(0, 3), (3, 5), (5, 6), (3, 6), (6, 99)]),
+    "continue": ([(2, "CONTROL_STRUCTURE", None, "WHILE", 1, 1), (3, I, "c", None, 2, 1), (4, "BLOCK", None, None, 2, 2), (5, C, "a", None, 4, 1), (6, "CONTROL_STRUCTURE", None, "CONTINUE", 4, 2)], [(0, 3), (3, 5), (5, 6), (6, 3), (3, 99)]),
+    "switch": ([(2, "CONTROL_STRUCTURE", None, "SWITCH", 1, 1), (3, I, "c", None, 2, 1), (4, "BLOCK", None, None, 2, 2), (5, "JUMP_TARGET", "case 1", None, 4, 1), (6, C, "a", None, 4, 2), (7, "CONTROL_STRUCTURE", None, "BREAK", 4, 3), (8, "JUMP_TARGET", "default", None, 4, 4), (9, C, "b", None, 4, 5)],
+               [(0, 3), (3, 5), (5, 6), (6, 7), (7, 99), (3, 8), (8, 9), (9, 99)]),
+    "switch_without_default": ([(2, "CONTROL_STRUCTURE", None, "SWITCH", 1, 1), (3, I, "c", None, 2, 1), (4, "BLOCK", None, None, 2, 2), (5, "JUMP_TARGET", "case 1", None, 4, 1), (6, C, "a", None, 4, 2)], [(0, 3), (3, 5), (5, 6), (6, 99), (3, 99)]),
+    "return": ([(2, "CONTROL_STRUCTURE", None, "IF", 1, 1), (3, I, "c", None, 2, 1), (4, "BLOCK", None, None, 2, 2), (5, "RETURN", None, None, 4, 1), (6, I, "x", None, 5, 1), (7, C, "b", None, 1, 2)], [(0, 3), (3, 6), (6, 5), (5, 99), (3, 7), (7, 99)]),
+    "goto": ([(2, C, "a", None, 1, 1), (3, "CONTROL_STRUCTURE", "goto out;", "GOTO", 1, 2), (4, C, "b", None, 1, 3), (5, "JUMP_TARGET", "out", None, 1, 4), (6, C, "d", None, 1, 5)], [(0, 2), (2, 3), (3, 5), (4, 5), (5, 6), (6, 99)]),
+    "and": ([(2, C, "<operator>.logicalAnd", None, 1, 1), (3, I, "x", None, 2, 1), (4, I, "y", None, 2, 2)], [(0, 3), (3, 4), (3, 2), (4, 2), (2, 99)]),
+    "or": ([(2, C, "<operator>.logicalOr", None, 1, 1), (3, I, "x", None, 2, 1), (4, I, "y", None, 2, 2)], [(0, 3), (3, 4), (3, 2), (4, 2), (2, 99)]),
+    "conditional": ([(2, C, "<operator>.conditional", None, 1, 1), (3, I, "c", None, 2, 1), (4, I, "x", None, 2, 2), (5, I, "y", None, 2, 3)], [(0, 3), (3, 4), (3, 5), (4, 2), (5, 2), (2, 99)]),
+    "try": ([(2, "CONTROL_STRUCTURE", None, "TRY", 1, 1), (3, "BLOCK", None, None, 2, 1), (4, C, "a", None, 3, 1), (5, "CONTROL_STRUCTURE", None, "CATCH", 2, 2), (6, C, "b", None, 5, 1), (7, C, "d", None, 1, 2)], [(0, 4), (4, 6), (4, 7), (6, 7), (7, 99)]),
+    "nothing": ([], [(0, 99)]),
+}
+
+
+def flow_constructs(spark: SparkSession, d: str) -> DataFrame:
+    """One method of one kind of construct for each graph record."""
+    names = list(CONSTRUCTS)
+    ids = table(spark, d, "raw_record").where("kind = 'graph'").select(F.col("record_id").alias("graph_id")).distinct().withColumn("kind", F.col("graph_id") % len(names))
+    frame = [(0, "METHOD", "m", None, None, 1), (1, "BLOCK", None, None, 0, 1), (99, "METHOD_RETURN", None, None, 0, 2)]
+    tree = [(k, *n) for k, name in enumerate(names) for n in [*frame, *CONSTRUCTS[name][0]]]
+    t = F.broadcast(spark.createDataFrame(tree, "kind long, id long, label string, name string, control_structure_type string, parent long, `order` int"))  # some rows for each construct
+    all_ = Scratch(spark).save(ids.join(t, "kind"))
+    nodes = all_.select("graph_id", "id", "label", "name", F.col("name").alias("code"), "control_structure_type", "order")
+    edges = all_.where("parent IS NOT NULL").select("graph_id", F.col("parent").alias("src"), F.col("id").alias("dst"), F.lit("AST").alias("etype"))
+    return cfg.control_flow(Graph.of(nodes, edges)).select("graph_id", "src", "dst")
+
+
+QUERIES["flow_constructs"] = flow_constructs
+ORACLES["flow_constructs"] = "SELECT record_id AS graph_id, src, dst FROM (SELECT DISTINCT record_id FROM raw_record WHERE kind = 'graph') JOIN (VALUES " + ", ".join(f"({k}, {a}::BIGINT, {b}::BIGINT)" for k, c in enumerate(CONSTRUCTS.values()) for a, b in c[1]) + f") v(kind, src, dst) ON record_id % {len(CONSTRUCTS)} = kind"
+
 # The passes that link by names, over the generated graphs with every label.
 
 
@@ -133,12 +183,16 @@ def _link(left: str, right: str) -> str:
 
 passes_family(
     "flow_linked_names",
-    {"type_refs": passes.type_refs, "eval_types": passes.eval_types, "aliases": passes.aliases, "method_refs": passes.method_refs, "static_calls": passes.static_calls, "naive_calls": passes.naive_calls, "contains": passes.contains},
+    {"type_refs": passes.type_refs, "eval_types": passes.eval_types, "aliases": passes.aliases, "method_refs": passes.method_refs, "static_calls": passes.static_calls, "naive_calls": passes.naive_calls, "contains": passes.contains,
+     "type_hierarchy": lambda g: passes.type_hierarchy(Graph(g.nodes.withColumn("inherits_from", F.when(F.col("label") == "TYPE_DECL", F.array("full_name", "canonical_name"))), g.edges)), "field_refs": passes.field_refs},
     {"type_refs": _link("full_name AS key FROM n WHERE label = 'TYPE'", "full_name AS key FROM n WHERE label = 'TYPE_DECL'"), "eval_types": _link("type_full_name AS key FROM n", "full_name AS key FROM n WHERE label = 'TYPE'"),
      "aliases": _link("alias_type_full_name AS key FROM n WHERE label = 'TYPE_DECL'", "full_name AS key FROM n WHERE label = 'TYPE'"), "method_refs": _link("method_full_name AS key FROM n WHERE label = 'METHOD_REF'", "full_name AS key FROM n WHERE label = 'METHOD'"),
      "static_calls": _link("method_full_name AS key FROM n WHERE label = 'CALL' AND dispatch_type <> 'DYNAMIC_DISPATCH'", "full_name AS key FROM n WHERE label = 'METHOD'"),
      "naive_calls": _link("name AS key FROM n WHERE label = 'CALL' AND NOT EXISTS (SELECT 1 FROM e WHERE e.graph_id = n.graph_id AND e.src = n.id AND etype = 'CALL')", "name AS key FROM n WHERE label = 'METHOD'"),
-     "contains": f"WITH RECURSIVE {step_queries._UP} SELECT upl.graph_id, arg_min(t, d) AS src, f AS dst FROM upl JOIN n x ON x.graph_id = upl.graph_id AND x.id = upl.f AND x.label IN {step_queries.CFGN} AND x.label NOT IN ('METHOD', 'METHOD_RETURN', 'METHOD_PARAMETER_IN', 'METHOD_PARAMETER_OUT') WHERE d > 0 AND upl.label IN ('METHOD', 'TYPE_DECL', 'FILE') GROUP BY upl.graph_id, f"},
+     "contains": f"WITH RECURSIVE {step_queries._UP} SELECT upl.graph_id, arg_min(t, d) AS src, f AS dst FROM upl JOIN n x ON x.graph_id = upl.graph_id AND x.id = upl.f AND x.label IN {step_queries.CFGN} AND x.label NOT IN ('METHOD', 'METHOD_RETURN', 'METHOD_PARAMETER_IN', 'METHOD_PARAMETER_OUT') WHERE d > 0 AND upl.label IN ('METHOD', 'TYPE_DECL', 'FILE') GROUP BY upl.graph_id, f",
+     "type_hierarchy": _link("unnest([full_name, canonical_name]) AS key FROM n WHERE label = 'TYPE_DECL'", "full_name AS key FROM n WHERE label = 'TYPE'"),
+     "field_refs": """SELECT q.graph_id, q.src, m.id AS dst FROM (SELECT a.graph_id, a.id AS src, max(x.type_full_name) FILTER (WHERE x.argument_index = 1) AS typ, max(coalesce(x.canonical_name, x.code)) FILTER (WHERE x.argument_index = 2) AS field FROM n a JOIN e ON e.graph_id = a.graph_id AND e.src = a.id AND etype = 'ARGUMENT' JOIN n x ON x.graph_id = e.graph_id AND x.id = e.dst
+        WHERE a.name IN ('<operator>.fieldAccess', '<operator>.indirectFieldAccess') GROUP BY 1, 2) q JOIN n d ON d.graph_id = q.graph_id AND d.label = 'TYPE_DECL' AND d.full_name = q.typ JOIN e ON e.graph_id = d.graph_id AND e.src = d.id AND etype = 'AST' JOIN n m ON m.graph_id = e.graph_id AND m.id = e.dst AND m.label = 'MEMBER' AND m.name = q.field"""},
 )
 
 
