@@ -5,9 +5,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from codequarry.functions import abstraction, text, urls
+from codequarry.functions import abstraction, cve, text, urls
 from codequarry.graph import cfg
 from codequarry.plans.graph_queries import graph_of
+from codequarry.plans.step_queries import _pick
 from codequarry.session import Scratch, ship, table
 from codequarry.sources import records
 from codequarry.streaming import ingest
@@ -91,6 +92,35 @@ def text_redirects(spark, d):
     return records.resolve_redirects(c.select(name(o).alias("url")), hops)
 
 
+#: Parts of raw records by ordinal; what comes of each is stated in the SQL.
+RAW = {
+    "vulnStatus": ['"Analyzed"', '"Modified"', '"Rejected"', '"Analyzed"', '"Modified"'],
+    "descriptions": ['[{"lang":"en","value":"one"}]', '[{"lang":"es","value":"x"},{"lang":"en","value":"two"}]', '[{"lang":"es","value":"x"}]', '[{"lang":"en","value":"first"},{"lang":"en","value":"second"}]'],
+    "metrics": [
+        '{"cvssMetricV2":[{"type":"Secondary","baseSeverity":"LOW","cvssData":{"vectorString":"v1","baseScore":1.0}},{"type":"Primary","baseSeverity":"HIGH","cvssData":{"vectorString":"v2","baseScore":7.5}}]}',
+        '{"cvssMetricV31":[{"type":"Primary","cvssData":{"vectorString":"w1","baseScore":2.0,"baseSeverity":"LOW"}},{"type":"Primary","cvssData":{"vectorString":"w2","baseScore":9.8,"baseSeverity":"CRITICAL"}}]}',
+        '{"cvssMetricV2":[{"type":"Primary","baseSeverity":"MEDIUM","cvssData":{"vectorString":"v3","baseScore":5.0}}],"cvssMetricV31":[{"type":"Primary","cvssData":{"vectorString":"w3","baseScore":9.0,"baseSeverity":"CRITICAL"}}]}',
+        '{}',
+        '{"cvssMetricV31":[{"type":"Secondary","cvssData":{"vectorString":"w4","baseScore":3.1,"baseSeverity":"LOW"}}]}',
+        '{"cvssMetricV2":[{"type":"Secondary","baseSeverity":"LOW","cvssData":{"vectorString":"v5","baseScore":1.2}},{"type":"Secondary","baseSeverity":"HIGH","cvssData":{"vectorString":"v6","baseScore":8.0}}]}',
+    ],
+    "weaknesses": [
+        '[{"type":"Primary","description":[{"lang":"en","value":"CWE-79"},{"lang":"en","value":"CWE-20"}]}]', '[{"type":"Primary","description":[{"lang":"en","value":"NVD-CWE-noinfo"}]},{"type":"Secondary","description":[{"lang":"en","value":"CWE-22"}]}]',
+        '[{"type":"Primary","description":[{"lang":"en","value":"NVD-CWE-Other"}]}]', 'null', '[]', '[{"type":"Secondary","description":[{"lang":"en","value":"CWE-1"},{"lang":"es","value":"CWE-2"}]}]',
+        '[{"type":"Primary","description":[{"lang":"en","value":"CWE-9"},{"lang":"en","value":"CWE-9"},{"lang":"en","value":"NVD-CWE-Other"}]}]',
+    ],
+    "references": ['[{"url":"a"},{"url":"a"},{"url":"b"}]', '[]', '[{"url":"c"}]'],
+}
+
+
+def text_raw_records(spark, d):
+    """Raw records of every form, one for each CVE."""
+    parts = ", ".join(f"'\"{k}\":', {_pick(v, f'ordinal % {len(v)}', True)}, ','" for k, v in RAW.items())
+    j = F.expr(f"concat('{{', {parts}, '\"id\":\"', cve_id, '-', ordinal, '\",\"published\":\"p\",\"lastModified\":\"m\"}}')")
+    raw = table(spark, d, "cve").select(F.from_json(j, cve.RAW_SCHEMA).alias("r")).select("r.*")
+    return cve.records(raw).select("cve_id", "description", F.col("cvss.vector").alias("vector"), F.col("cvss.base_score").alias("score"), F.col("cvss.base_severity").alias("severity"), F.col("cvss.is_v3").alias("is_v3"), F.array_join("cwe_ids", ",").alias("cwes"), F.array_join("urls", ",").alias("urls"))
+
+
 def text_platforms(spark, d):
     u = table(spark, d, "fix_commit").where("git_url IS NOT NULL").unionByName(_github(spark, d).select(F.col("url").alias("git_url")).where("git_url IS NOT NULL"), allowMissingColumns=True)
     return u.groupBy(urls.platform(F.col("git_url")).alias("platform")).agg(F.count(F.lit(1)).alias("n"))
@@ -142,13 +172,17 @@ def stream_commits(spark, d):
 
 
 def queries() -> dict:
-    return {f.__name__: f for f in (text_mined_urls, text_mined_hosts, text_redirects, text_platforms, text_commit_hashes, text_host_frequency, text_abstracted, text_functions, text_without_comments, text_languages, graph_built_flow, stream_commits)}
+    return {f.__name__: f for f in (text_raw_records, text_mined_urls, text_mined_hosts, text_redirects, text_platforms, text_commit_hashes, text_host_frequency, text_abstracted, text_functions, text_without_comments, text_languages, graph_built_flow, stream_commits)}
 
 
 def oracle_sql() -> dict[str, str]:
     quoted = lambda x: "'" + x.replace("'", "''") + "'"
     mined = " UNION ALL ".join(f"SELECT ordinal AS record, replace({quoted(u)}, '{{h}}', commit_hash) AS url FROM fix_commit WHERE commit_hash IS NOT NULL AND ordinal % {len(KINDS)} = {k}" for k, kind in enumerate(KINDS) for u in kind[3])
     return {
+        "text_raw_records": """SELECT cve_id || '-' || ordinal AS cve_id, ['one', 'two', '', 'first'][ordinal % 4 + 1] AS description, ['v2', 'w2', 'v3', NULL, 'w4', 'v5'][ordinal % 6 + 1] AS vector,
+            [7.5, 9.8, 5.0, NULL, 3.1, 1.2][ordinal % 6 + 1]::DOUBLE AS score, ['HIGH', 'CRITICAL', 'MEDIUM', NULL, 'LOW', 'LOW'][ordinal % 6 + 1] AS severity, [false, true, false, NULL, true, false][ordinal % 6 + 1] AS is_v3,
+            ['CWE-20,CWE-79', 'CWE-22', 'CWE-Other', NULL, NULL, 'CWE-1', 'CWE-9'][ordinal % 7 + 1] AS cwes, ['a,b', NULL, 'c'][ordinal % 3 + 1] AS urls
+            FROM cve WHERE ordinal % 5 <> 2 AND ordinal % 7 NOT IN (3, 4) AND ordinal % 3 <> 1""",
         "text_mined_hosts": mined,
         # of the circles from 1 to 6, 201 to 206 ... only what leads into them, up to 50, stands for itself
         "text_redirects": """SELECT 'https://s/' || ordinal AS url, 'https://s/' || CASE WHEN (ordinal - 1) % 200 < 50 AND (ordinal - 1) - (ordinal - 1) % 200 + 6 <= (SELECT max(ordinal) FROM fix_commit) THEN ordinal ELSE ordinal - (ordinal - 1) % 50 END AS final FROM fix_commit""",
