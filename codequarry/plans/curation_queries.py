@@ -371,7 +371,7 @@ def oracle_sql() -> dict[str, str]:
         "curate_flat_rows": f"WITH {FLAT} SELECT ordinal, cve_id, repo_name, commit_hash, file_path, language, func_name, is_vul, commit_date, cvss_base_score, len(cwe_ids)::INTEGER AS n_cwe FROM flat",
         "curate_simple_rows": f"WITH {FLAT} SELECT ordinal, cve_id, repo_name, git_url, file_path, func_name, sig AS parameter_list_signature, return_type, is_vul FROM flat",
         "curate_repo_types": f"""SELECT {MERGED} AS repo, CASE WHEN count(DISTINCT k) > 1 THEN 'mix' ELSE min(k) END AS kind
-            FROM (SELECT *, {_kind(has(paths.C_FILES), has(paths.CPP_FILES))} AS k FROM fix_commit WHERE repo_name IS NOT NULL) GROUP BY 1""",
+            FROM (SELECT *, {_kind(has(['c']), has(['cc', 'cpp', 'cxx', 'hpp', 'hxx', 'hh']))} AS k FROM fix_commit WHERE repo_name IS NOT NULL) GROUP BY 1""",
         "curate_accepted_files": """SELECT ordinal, path FROM (SELECT ordinal, unnest(raw_file_paths) AS path FROM fix_commit WHERE len(raw_file_paths) <= 50)
             WHERE contains(split_part(path, '/', -1), '.') AND split_part(path, '.', -1) IN ('h', 'c', 'cc', 'cpp', 'cxx', 'hpp', 'hxx', 'hh')""",
         "curate_within_cve_dedup": f"""SELECT arg_min(ordinal, (length({MERGED.replace("repo_name", "r")}), ordinal)) AS ordinal FROM (SELECT *, coalesce(repo_name, '') AS r FROM fix_commit) GROUP BY cve_ordinal, commit_hash""",

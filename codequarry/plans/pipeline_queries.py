@@ -145,7 +145,7 @@ def _graph(name: str) -> str:
 def oracle_sql() -> dict[str, str]:
     out = {
         "p1_found": f"""SELECT repo_name FROM func WHERE repo_name IS NOT NULL GROUP BY 1
-            HAVING count(*) > {HOT_SHARE} * (SELECT count(*) FROM func)""",
+            HAVING count(*) > 0.025 * (SELECT count(*) FROM func)""",
         "p1_repo_profile": _profile_sql("func", "repo_name", "commit_hash", True),
         "p1_commit_profile": _profile_sql("func", "commit_hash", "func_name", True),
         "p1_fix_commit_profile": _profile_sql("fix_commit", "repo_name", "commit_hash", False),
