@@ -193,17 +193,67 @@ def _spent(number: np.ndarray, owner: np.ndarray, n: int) -> tuple[np.ndarray, n
     return np.bincount(own, minlength=n), np.bincount(own, weights=-p * np.log2(p), minlength=n)
 
 
-REPETITIVE = "doc long, n_words long, n_tokens long, token_entropy double, n_repeated long, repeated_share double"
+def run_entropy(token: np.ndarray, begins: np.ndarray, owner: np.ndarray, n_words: np.ndarray, least: float, run: int) -> tuple[np.ndarray, np.ndarray]:
+    """(bits of entropy of each document's runs of n tokens that begin with a word, the highest that a repeated share of `least` > 0 leaves).
+
+    token: the tokens of the documents' words, word by word and document by document; begins: whether a token is the first
+    of its word; n is half of `run`, down to a power of two. Such a run lies in n words at most. Of a repeated run's words, up
+    to the next one's begin, all but the last n - 1 have theirs within it, so that it occurred before: (run - n + 1) / run of all
+    repeated words. With R of these, N runs of tokens have at most N - R * (run - n + 1) / run different ones, and the highest entropy
+    where all of them are equally frequent, as far as whole numbers allow. Documents without a run of n tokens are outside.
+    """
+    n = 1 << max(run // 2, 1).bit_length() - 1
+    m = max(len(token) - n + 1, 0)
+    use = np.flatnonzero(begins[:m] & (owner[:m] == owner[len(owner) - m :]))
+    owner = owner[use]
+    token, bits, k = token if n > 1 else token[use], int(token.max(initial=1)).bit_length(), 1
+    while k < n:  # runs of twice as many tokens; equal runs have one number of at most 32 bits
+        token = token[use] << bits | token[use + k] if 2 * k == n else token[:-k] << bits | token[k:]
+        if 2 * bits > 32:
+            token = np.unique(token, return_inverse=True)[1]
+        bits, k = min(2 * bits, 32), 2 * k
+    _, entropy = _spent(token, owner, len(n_words))
+    total = np.bincount(owner, minlength=len(n_words))
+    repeated = np.ceil(least * n_words - 1e-9).astype(np.int64)
+    types = np.maximum(total + -repeated * (run - n + 1) // run, 1)
+    often, more = np.divmod(np.maximum(total, 1), types)
+    spent = (types - more) * often * np.log2(np.maximum(often, 1)) + more * (often + 1) * np.log2(often + 1)
+    return entropy, np.where(total > 0, np.log2(np.maximum(total, 1)) - spent / np.maximum(total, 1), -1.0)
+
+
+def in_bands(number: np.ndarray, n_words: np.ndarray, each: np.ndarray, flat: np.ndarray, least: float, run: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(documents inside both bands of `repetitive`, their numbers of tokens, their entropies of runs of tokens).
+
+    number: the documents' words, one after another; each, flat: the words' tokens (see _Tokens.arrays).
+    """
+    owner = np.repeat(np.arange(len(n_words), dtype=np.int64), n_words)
+    n_types, _ = _spent(number, owner, len(n_words))
+    near = np.flatnonzero((n_words > 0) & (n_types <= (1 - least) * n_words + 1e-9))
+    inside = np.isin(owner, near)
+    number, owner = number[inside], np.searchsorted(near, owner[inside])
+    long = each[number]
+    at = np.cumsum(long) - long
+    token = flat[np.repeat((np.cumsum(each) - each)[number] - at, long) + np.arange(int(long.sum()))]
+    begins = np.zeros(len(token), bool)
+    begins[at] = True
+    owner = np.repeat(owner, long)
+    entropy, most = run_entropy(token, begins, owner, n_words[near], least, run)
+    keep = entropy <= most + 1e-6
+    return near[keep], np.bincount(owner, minlength=len(near))[keep], entropy[keep]
+
+
+REPETITIVE = "doc long, n_words long, n_tokens long, run_entropy double, n_repeated long, repeated_share double"
 
 
 def repetitive(docs: DataFrame, doc_id: str, text: str, least: float = 0.45, run: int = 8, vocabulary: str = VOCABULARY) -> DataFrame:
-    """(doc, n_words, n_tokens, token_entropy, n_repeated, repeated_share) of the documents whose repeated share (see measures)
+    """(doc, n_words, n_tokens, run_entropy, n_repeated, repeated_share) of the documents whose repeated share (see measures)
     is at least `least` > 0.
 
-    First a band of fertility: with W letter words of T tokens of a public vocabulary, a document whose share is s has at
-    most (1 - s) * W different words, as the first place of a word is never repeated, and at most T - s * W different
-    tokens, so its token entropy is at most log2(T - s * W). Documents outside the band are rejected, which loses none; for
-    the others the exact share is measured. Every letter word is measured, whatever the document's length. Texts without
+    Two bands, each over what the one before it leaves. With W letter words, a document whose share is s has at most
+    (1 - s) * W different words, as the first place of a word is never repeated. The second is one of fertility under a public
+    vocabulary: s leaves the entropy of the document's runs of tokens a highest value (see run_entropy). Unlike that of single
+    tokens, whose highest value the first band implies, it depends on the order of words. Documents outside a band are rejected, which loses none;
+    for the others the exact share is measured. Every letter word is measured, whatever the document's length. Texts without
     letter words, null texts and null ids give no row; rows with one id are documents of their own.
     """
     vocabulary = send_vocabulary(docs.sparkSession, vocabulary)
@@ -220,28 +270,16 @@ def repetitive(docs: DataFrame, doc_id: str, text: str, least: float = 0.45, run
                 words = [letter_words(t) for t in batch.column(1).to_pylist()]
                 n_words = np.array([len(w) for w in words], np.int64)
                 number = np.fromiter(map(known.__getitem__, itertools.chain.from_iterable(words)), np.int64, int(n_words.sum()))
-                owner = np.repeat(np.arange(len(words), dtype=np.int64), n_words)
-                n_types, _ = _spent(number, owner, len(words))
-                # the band of different words, then that of the tokens' entropy
-                near = np.flatnonzero((n_words > 0) & (n_types <= (1 - least) * n_words + 1e-9))
-                if not len(near):
+                rows, n_tokens, entropy = in_bands(number, n_words, *known.arrays(), least, run)
+                if not len(rows):
                     continue
-                inside = np.isin(owner, near)
-                number, owner = number[inside], np.searchsorted(near, owner[inside])
-                each, flat = known.arrays()
-                begin = np.cumsum(each) - each
-                long = each[number]
-                token = flat[np.repeat(begin[number] - (np.cumsum(long) - long), long) + np.arange(int(long.sum()))]
-                n_tokens = np.bincount(np.repeat(owner, long), minlength=len(near))
-                _, entropy = _spent(token, np.repeat(owner, long), len(near))
-                keep = entropy <= np.log2(np.maximum(n_tokens - least * n_words[near], 1)) + 1e-9
-                number, sizes = number[keep[owner]], n_words[near[keep]]
+                sizes = n_words[rows]
+                number = number[np.isin(np.repeat(np.arange(len(words), dtype=np.int64), n_words), rows)]
                 repeated = repeated_words(_mixed(number.astype(np.uint64) + np.uint64(1)), sizes, run)
                 ok = repeated >= least * sizes
-                rows = near[keep][ok]
                 yield pa.RecordBatch.from_arrays([
-                    batch.column(0).take(pa.array(rows)), pa.array(sizes[ok]), pa.array(n_tokens[keep][ok]), pa.array(entropy[keep][ok]), pa.array(repeated[ok]), pa.array(repeated[ok] / sizes[ok]),
-                ], names=["doc", "n_words", "n_tokens", "token_entropy", "n_repeated", "repeated_share"])
+                    batch.column(0).take(pa.array(rows[ok])), pa.array(sizes[ok]), pa.array(n_tokens[ok]), pa.array(entropy[ok]), pa.array(repeated[ok]), pa.array(repeated[ok] / sizes[ok]),
+                ], names=["doc", "n_words", "n_tokens", "run_entropy", "n_repeated", "repeated_share"])
 
     return use.mapInArrow(run_, REPETITIVE)
 

@@ -523,6 +523,48 @@ def test_repetition_brute(spark):
     assert repetition.repetitive(df.limit(0), "doc_id", "text").count() == 0
 
 
+def bands_of(texts, least, run=8, size=3):
+    """What in_bands gives for texts whose words are cut into tokens of `size` letters."""
+    split = [re.findall("[a-z]+", t) for t in texts]
+    pieces = {w: [w[j : j + size] for j in range(0, len(w), size)] for s in split for w in s}
+    number, token = {w: i for i, w in enumerate(pieces)}, {x: i for i, x in enumerate({x: 0 for p in pieces.values() for x in p})}
+    each, flat = [len(p) for p in pieces.values()], [token[x] for p in pieces.values() for x in p]
+    return repetition.in_bands(*(np.array(x, np.int64) for x in ([number[w] for s in split for w in s], [len(s) for s in split], each, flat)), least, run)
+
+
+@pytest.mark.parametrize("run", [1, 2, 3, 4, 5, 8, 16])
+def test_bands_lose_none(run):
+    rng = random.Random(run)
+    texts = ["", "a", "a " * 9, "abc " * 17]
+    for _ in range(400):
+        s = [rng.choice("abcdefghij") * rng.randrange(1, 4) for _ in range(rng.randrange(1, 60))]
+        s += s[rng.randrange(len(s)) :] * rng.randrange(0, 4)
+        for _ in range(rng.randrange(0, 4)):  # parts again, with other words between
+            at = rng.randrange(len(s))
+            s += [rng.choice("klmnop") * rng.randrange(1, 9) for _ in range(rng.randrange(3))] + s[at : at + rng.randrange(run, 2 * run + 1)]
+        texts.append(" ".join(s))
+    shares = [brute_share(t, run) for t in texts]
+    for least in (0.05, 0.3, 0.45, 0.9, 1.0):
+        true = {i for i, (n, k) in enumerate(shares) if n and k >= least * n}
+        for size in (1, 2, 9):
+            inside = {*bands_of(texts, least, run, size)[0].tolist()}
+            assert true <= inside <= {i for i, (n, _) in enumerate(shares) if n}
+        assert true or least > 0.9
+
+
+def test_band_of_runs_rejects():
+    """Few different words in ever new orders: the words' number and the single tokens' entropy let them pass, the runs' entropy does not."""
+    rng = random.Random(5)
+    texts = [" ".join(rng.choice("abcdefghij") * rng.randrange(1, 7) for _ in range(400)) for _ in range(50)]
+    for t in texts:
+        w = t.split()
+        assert len(set(w)) <= 0.55 * len(w) and brute_share(t)[1] < 0.45 * len(w)
+    assert len(bands_of(texts, 0.45)[0]) == 0
+    again = [f"{t} {t}" for t in texts]
+    rows, n_tokens, entropy = bands_of([*texts, *again], 0.45)
+    assert rows.tolist() == [*range(50, 100)] and (n_tokens >= 800).all() and (entropy < 10).all()
+
+
 def test_bands_reject(spark):
     rows = [(i, "plain words of a text number " + " ".join(chr(97 + (i * 7 + j) % 26) * 3 for j in range(20)), "en") for i in range(300)] + [(999, "一龥㐀䶿" * 40, "en"), (998, "text", None)]
     df = spark.createDataFrame(rows, "doc_id long, text string, lang string")
