@@ -49,6 +49,7 @@ class Graph:
     nodes: DataFrame
     edges: DataFrame
     _pairs: dict = field(default_factory=dict, compare=False, repr=False)
+    _above: dict = field(default_factory=dict, compare=False, repr=False)
 
     @staticmethod
     def of(nodes: DataFrame, edges: DataFrame) -> Graph:
@@ -97,21 +98,21 @@ class Graph:
             parts, k = [scratch.save(e.withColumn("depth", F.lit(1)))], 1
             front = parts[0]
             while not front.isEmpty():
-                known = union(parts)
+                known = shuffled(union(parts))
                 on = front.where(F.col("depth") == k).select("graph_id", "id", F.col("to").alias("mid"))
                 then = known.select("graph_id", F.col("id").alias("mid"), "to", F.col("depth").alias("more"))
                 new = on.join(then, ["graph_id", "mid"]).groupBy("graph_id", "id", "to").agg((F.min("more") + k).alias("depth"))
                 front = scratch.save(new.join(known.select("graph_id", "id", "to"), ["graph_id", "id", "to"], "left_anti"))
                 parts.append(front)
                 k *= 2
-            self._pairs[key] = union(parts)
+            self._pairs[key] = shuffled(union(parts))
         return self._pairs[key]
 
     def above(self, stops: Column) -> DataFrame:
         """(graph_id, id, above, depth): the nearest proper ancestor in the syntax tree that meets a condition, one for each node
         that has one. Pointers jump over twice as many levels in each round, and a node is one row in all of them."""
         scratch = Scratch(self.nodes.sparkSession)
-        stop = self.nodes.where(stops).select("graph_id", F.col("id").alias("to"), F.lit(True).alias("done")).distinct()
+        stop = shuffled(self.nodes.where(stops).select("graph_id", F.col("id").alias("to"), F.lit(True).alias("done")).distinct())
         up = self.etype("AST").select("graph_id", F.col("dst").alias("id"), F.col("src").alias("to")).distinct()
         now = up.join(stop, ["graph_id", "to"], "left").select("graph_id", "id", "to", F.lit(1).alias("depth"), F.coalesce("done", F.lit(False)).alias("done"))
         now = scratch.save(now)
@@ -120,12 +121,18 @@ class Graph:
             rounds += 1
             if rounds > 60:
                 raise RuntimeError("the syntax tree has a circle")
-            then = now.select("graph_id", F.col("id").alias("to"), F.col("to").alias("to2"), F.col("depth").alias("more"), F.col("done").alias("done2"))
+            then = shuffled(now.select("graph_id", F.col("id").alias("to"), F.col("to").alias("to2"), F.col("depth").alias("more"), F.col("done").alias("done2")))
             going = now.where("NOT done").join(then, ["graph_id", "to"]).select("graph_id", "id", F.col("to2").alias("to"), (F.col("depth") + F.col("more")).alias("depth"), F.col("done2").alias("done"))
             nxt = scratch.save(now.where("done").unionByName(going))
             scratch.drop(now)
             now = nxt
-        return now.select("graph_id", "id", F.col("to").alias("above"), "depth")
+        return shuffled(now.select("graph_id", "id", F.col("to").alias("above"), "depth"))
+
+    def above_label(self, label: str) -> DataFrame:
+        """above() for the nodes with a label, written once for this graph."""
+        if label not in self._above:
+            self._above[label] = self.above(F.col("label") == label)
+        return self._above[label]
 
     def closure(self, types: list[str], starts: DataFrame | None = None, reverse: bool = False, most: int | None = None) -> DataFrame:
         """(graph_id, id, to, depth): what is reached over edges of some types, the start itself left out unless a cycle
@@ -156,6 +163,12 @@ class Graph:
         return union(parts)
 
 
+def shuffled(df: DataFrame) -> DataFrame:
+    """df, to be joined by a shuffle: Spark goes by the size of its files, where few columns of a million rows take less than
+    a limit for broadcasts, and the driver would hold the rows themselves."""
+    return df.hint("merge")
+
+
 def union(parts: list[DataFrame]) -> DataFrame:
     out = parts[0]
     for p in parts[1:]:

@@ -181,14 +181,14 @@ class Steps(Traversal):
         if with_self:
             up = up.unionByName(self.graph.nodes.select("graph_id", F.col("id").alias("_leaf"), F.col("id").alias("_far"), F.lit(0).alias("depth")))
         start = self.df.select("graph_id", F.col("id").alias("_leaf"), (F.col("label") == "METHOD").alias("_own"), *self.carry)
-        stop = self.graph.above(F.col("label") == "METHOD").select("graph_id", F.col("id").alias("_leaf"), F.col("depth").alias("_stop"))
+        stop = self.graph.above_label("METHOD").select("graph_id", F.col("id").alias("_leaf"), F.col("depth").alias("_stop"))
         rows = start.join(up, ["graph_id", "_leaf"]).join(stop, ["graph_id", "_leaf"], "left")
         ends = rows.where(F.col("depth") <= F.when(F.col("_own"), 0).otherwise(F.coalesce("_stop", F.lit(2**31 - 1))))
         return self._at(ends.select(F.col("graph_id").alias("_g"), "_far", *self.carry), None)
 
     def nearest(self, label: str) -> Steps:
         """The nearest proper ancestor with a label."""
-        up = self.graph.above(F.col("label") == label).select("graph_id", "id", F.col("above").alias("_far"))
+        up = self.graph.above_label(label).select("graph_id", "id", F.col("above").alias("_far"))
         ends = self.df.select(*KEY, *self.carry).join(up, KEY).select(F.col("graph_id").alias("_g"), "_far", *self.carry)
         return self._at(ends, None)
 

@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from codequarry.graph import scanners
-from codequarry.graph.model import KEY, Graph
+from codequarry.graph.model import KEY, Graph, shuffled, union
 from codequarry.graph.steps import Cpg, Steps
 from codequarry.session import Scratch, table
 
@@ -84,7 +84,7 @@ def built(spark: SparkSession, d: str) -> Graph:
         edge = F.explode(F.array(*[F.struct(F.lit(t).alias("etype"), F.expr(f"CASE WHEN {cond} THEN cast({dst} AS bigint) END").alias("dst")) for t, cond, dst in _edge_parts()]))
         edges = base.select(F.col("g").alias("graph_id"), F.col("k").alias("src"), edge.alias("e")).select("graph_id", "src", "e.dst", "e.etype").where(f"dst IS NOT NULL AND dst < {K} AND dst <> src")
         g = Graph.of(nodes, edges)
-        _built[key] = Graph(scratch.save(g.nodes), scratch.save(g.edges))
+        _built[key] = Graph(shuffled(scratch.save(g.nodes)), shuffled(scratch.save(g.edges)))
     return _built[key]
 
 
@@ -96,17 +96,23 @@ QUERIES: dict = {}
 ORACLES: dict[str, str] = {}
 
 
-def family(name: str, steps: dict, sql: dict[str, str], ctes: str = "") -> None:
-    """One query for many steps: (step, graph_id, n, ids): how many nodes a step gives in each graph, and the sum of their ids."""
+def _counted(df: DataFrame) -> DataFrame:
+    return df.groupBy("step", "graph_id").agg(F.count(F.lit(1)).alias("n"), F.sum("id").alias("ids"))
+
+
+def family(name: str, steps: dict, sql: dict[str, str], ctes: str = "", apart: bool = False) -> None:
+    """One query for many steps: (step, graph_id, n, ids): how many nodes a step gives in each graph, and the sum of their ids.
+    Apart, each step is counted and written before the next one is planned: for steps of many joins, all of whose plans at once
+    are too much for the driver."""
     assert list(steps) == list(sql), (set(steps) ^ set(sql))
 
     def query(spark: SparkSession, d: str) -> DataFrame:
-        g, out = built(spark, d), None
+        g, scratch, parts = built(spark, d), Scratch(spark), []
         for step, f in steps.items():
             t = f(Cpg(g))
             df = (t.df if hasattr(t, "df") else t).select(F.lit(step).alias("step"), "graph_id", "id")
-            out = df if out is None else out.unionByName(df)
-        return out.groupBy("step", "graph_id").agg(F.count(F.lit(1)).alias("n"), F.sum("id").alias("ids"))
+            parts.append(scratch.save(_counted(df)) if apart else df)
+        return union(parts) if apart else _counted(union(parts))
 
     QUERIES[f"steps_{name}"] = query
     parts = " UNION ALL ".join(f"SELECT '{step}' AS step, graph_id, id FROM ({s})" for step, s in sql.items())
@@ -355,7 +361,7 @@ family(
      "control_structures": "SELECT up.graph_id, x.id FROM up JOIN n x ON x.graph_id = up.graph_id AND x.id = up.f WHERE d > 0 AND x.label = 'CONTROL_STRUCTURE'", "control_structures_code": "SELECT up.graph_id, x.id FROM up JOIN n x ON x.graph_id = up.graph_id AND x.id = up.f WHERE d > 0 AND x.label = 'CONTROL_STRUCTURE' AND regexp_full_match(x.code, 'b.*')",
      "locals": "SELECT u.graph_id, x.id FROM upl u JOIN n x ON x.graph_id = u.graph_id AND x.id = u.f WHERE u.d > 0 AND u.t > 0 AND u.label = 'BLOCK' AND x.label = 'LOCAL'",
      "top_level_expressions": _hops(">AST:BLOCK >AST:EXPR")},
-    _UP,
+    _UP, apart=True,
 )
 _IN_METHOD = {f"contained_{s}": x for s, x in _CONTROLS.items()}
 family(
