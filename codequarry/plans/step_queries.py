@@ -455,7 +455,7 @@ family(
        "subscript": "SELECT up.graph_id, up.f AS id FROM args JOIN up ON up.graph_id = args.graph_id AND up.t = args.a JOIN n x ON x.graph_id = up.graph_id AND x.id = up.f AND x.label = 'IDENTIFIER' WHERE i = 2",
        "uses_constant_offset": "SELECT args.graph_id, args.c AS id FROM args JOIN up ON up.graph_id = args.graph_id AND up.t = args.a JOIN n x ON x.graph_id = up.graph_id AND x.id = up.f WHERE i = 2 GROUP BY 1, 2 HAVING count(*) FILTER (WHERE x.label = 'IDENTIFIER') > 0 OR count(*) FILTER (WHERE x.label = 'LITERAL') = 1",
        "field_identifier": "SELECT graph_id, a AS id FROM args WHERE i = 2 AND label = 'FIELD_IDENTIFIER'", "pointer": "SELECT args.graph_id, a AS id FROM args JOIN n ON n.graph_id = args.graph_id AND n.id = args.c AND n.name = '<operator>.indirection' WHERE i = 1"},
-    _UP + ", " + _ARGS,
+    _UP + ", " + _ARGS, apart=True,
 )
 
 # Combinators.
